@@ -39,7 +39,7 @@ def boolize(df: DataFrame, cols) -> DataFrame:
     scalar row (one row, proven size) — no driver-side branch.
     """
     known = list(BOOL_TRUE + BOOL_FALSE)
-    share = df.agg(*[F.avg(F.lower(F.col(c).cast("string")).isin(known).cast("double")).alias(f"__s_{c}")
+    share = df.agg(*[F.avg(F.coalesce(F.lower(F.col(c).cast("string")).isin(known), F.lit(False)).cast("double")).alias(f"__s_{c}")
                      for c in cols])
     out = df.join(F.broadcast(share))  # one-row aggregate
     for c in cols:

@@ -55,7 +55,7 @@ def key_loose(c) -> Column:
 def key_word(c) -> Column:
     """NFKD, lower, drop marks, drop whitespace/hyphen/underscore and non-word chars."""
     t = F.regexp_replace(F.lower(strip_marks(_col(c))), r"[\s\-_]+", "")
-    return F.regexp_replace(t, r"(?U)[^\w]", "")
+    return F.regexp_replace(t, r"[^\p{L}\p{N}_]", "")
 
 
 def join_key(c, mode: str = "basic") -> Column:

@@ -150,7 +150,7 @@ def artists(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- tracks × part artists (playlists)
 SQL_PLAYLIST_TRACKS = (
     "SELECT o_orderkey AS track_id, 'Track ' || CAST(o_orderkey AS VARCHAR) AS track_name, "
-    "'[' || string_agg('''' || p_name || ' ' || p_brand || '''', ', ' ORDER BY l_linenumber) || ']' AS artists, "
+    "'[' || string_agg('''' || p_name || ' ' || p_brand || '''', ', ' ORDER BY l_linenumber, p_name || ' ' || p_brand) || ']' AS artists, "
     "60.0 + CAST(o_orderkey % 121 AS DOUBLE) AS tempo, CAST(o_orderkey % 101 AS DOUBLE) / 100.0 AS valence, "
     "o_totalprice AS popularity "
     "FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey "
