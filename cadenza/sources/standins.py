@@ -151,7 +151,7 @@ def artists(spark: SparkSession, d: str) -> DataFrame:
 SQL_PLAYLIST_TRACKS = (
     "SELECT o_orderkey AS track_id, 'Track ' || CAST(o_orderkey AS VARCHAR) AS track_name, "
     "'[' || string_agg('''' || p_name || ' ' || p_brand || '''', ', ' ORDER BY l_linenumber, p_name || ' ' || p_brand) || ']' AS artists, "
-    "60.0 + CAST(o_orderkey % 121 AS DOUBLE) AS tempo, CAST(o_orderkey % 101 AS DOUBLE) / 100.0 AS valence, "
+    "60.0 + CAST(o_orderkey % 121 AS DOUBLE) AS tempo, CAST(o_orderkey % 97 AS DOUBLE) / 97.0 AS valence, "
     "o_totalprice AS popularity "
     "FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey "
     "GROUP BY o_orderkey, o_totalprice")
@@ -174,7 +174,7 @@ def playlist_tracks(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("Track "), F.col("o_orderkey").cast("string")).alias("track_name"),
         "artists",
         (F.lit(60.0) + (F.col("o_orderkey") % 121).cast("double")).alias("tempo"),
-        ((F.col("o_orderkey") % 101).cast("double") / 100.0).alias("valence"),
+        ((F.col("o_orderkey") % 97).cast("double") / 97.0).alias("valence"),
         F.col("o_totalprice").alias("popularity"))
 
 
