@@ -49,6 +49,7 @@ def event_log(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- item catalog
 SQL_ITEMS = ("SELECT p_partkey AS item_id, p_name || ' ' || p_brand AS item_name, "
              "CAST(p_size AS DOUBLE) AS size, p_retailprice AS price, "
+             "CAST(CAST(round(p_retailprice * 100) AS BIGINT) AS DOUBLE) AS price_cents, "
              "CASE WHEN p_type IN ('SMALL', 'LARGE') THEN 'yes' ELSE 'no' END AS explicit_text, "
              "'[''' || replace(p_name, ' ', ''', ''') || ''']' AS genres_text, p_type "
              "FROM part")
@@ -61,6 +62,7 @@ def items(spark: SparkSession, d: str) -> DataFrame:
         F.concat_ws(" ", "p_name", "p_brand").alias("item_name"),
         F.col("p_size").cast("double").alias("size"),
         F.col("p_retailprice").alias("price"),
+        F.round(F.col("p_retailprice") * 100).cast("long").cast("double").alias("price_cents"),
         F.when(F.col("p_type").isin("SMALL", "LARGE"), "yes").otherwise("no").alias("explicit_text"),
         F.concat(F.lit("['"), F.replace("p_name", F.lit(" "), F.lit("', '")), F.lit("']")).alias("genres_text"),
         "p_type")
