@@ -55,20 +55,22 @@ def per_user_split(ranked: DataFrame, truth: DataFrame, k: int, rank_col: str =
 
 
 def per_user_list(scored: DataFrame, k: int, score_col: str = "score", label_col: str = "label",
-                  tie_col: str = "item_id") -> DataFrame:
-    """Per-user list-family metrics over (user_id, item_id, score, label)."""
-    by_score = Window.partitionBy("user_id").orderBy(F.col(score_col).desc(), F.col(tie_col).asc())
-    by_label = Window.partitionBy("user_id").orderBy(F.col(label_col).desc(), F.col(tie_col).asc())
+                  tie_col: str = "item_id", extra_keys=()) -> DataFrame:
+    """Per-user list-family metrics over (user_id, item_id, score, label);
+    ``extra_keys`` (e.g. a sweep parameter) extend the group key."""
+    keys = [*extra_keys, "user_id"]
+    by_score = Window.partitionBy(*keys).orderBy(F.col(score_col).desc(), F.col(tie_col).asc())
+    by_label = Window.partitionBy(*keys).orderBy(F.col(label_col).desc(), F.col(tie_col).asc())
     cum = by_score.rowsBetween(Window.unboundedPreceding, 0)
     rel = F.col(label_col).cast("double")
-    d = (scored.select("user_id", tie_col, score_col, label_col)
+    d = (scored.select(*keys, tie_col, score_col, label_col)
                .withColumn("__pos", F.row_number().over(by_score))
                .withColumn("__ipos", F.row_number().over(by_label))
                .withColumn("__hits", F.sum(F.when(rel > 0, 1).otherwise(0)).over(cum))
-               .withColumn("__len", F.count(F.lit(1)).over(Window.partitionBy("user_id"))))
+               .withColumn("__len", F.count(F.lit(1)).over(Window.partitionBy(*keys))))
     kk = F.least(F.col("__len"), F.lit(k))
     d = d.withColumn("__k", kk)
-    agg = d.groupBy("user_id").agg(
+    agg = d.groupBy(*keys).agg(
         F.first("__k").alias("__k"),
         F.sum(F.when((F.col("__pos") <= F.col("__k")) & (rel > 0), 1).otherwise(0)).alias("__h"),
         F.sum(F.when((F.col("__pos") <= F.col("__k")) & (rel > 0), F.col("__hits") / F.col("__pos"))
@@ -79,7 +81,7 @@ def per_user_list(scored: DataFrame, k: int, score_col: str = "score", label_col
         F.sum(F.when(F.col("__ipos") <= F.col("__k"), (F.pow(F.lit(2.0), rel) - 1.0) * _disc("__ipos"))
                .otherwise(0.0)).alias("__idcg"))
     return agg.select(
-        "user_id",
+        *keys,
         F.when(F.col("__k") > 0, F.col("__h") / F.col("__k")).otherwise(F.lit(0.0)).alias("precision"),
         (F.col("__ap") / F.greatest(F.col("__npos"), F.lit(1))).alias("ap"),
         F.when(F.col("__idcg") > 0, F.col("__dcg") / F.col("__idcg")).otherwise(F.lit(0.0)).alias("ndcg"))
