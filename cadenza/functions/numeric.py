@@ -84,3 +84,11 @@ TEMPO_WIDTH, VALENCE_WIDTH = 80.0, 1.0
 def final_score(base, tempo_sim, valence_sim, w_base=W_BASE, w_tempo=W_TEMPO, w_valence=W_VALENCE) -> Column:
     """Weighted playlist score."""
     return w_base * _col(base) + w_tempo * _col(tempo_sim) + w_valence * _col(valence_sim)
+
+
+def stable_round(c, digits: int = 6) -> Column:
+    """round(x·10^d)/10^d — identical on engines that share IEEE arithmetic, so
+    scores that are equal up to float noise tie exactly and the ranking's unique
+    tie-breaker decides (used before ranking on sums of several terms)."""
+    f = float(10 ** digits)
+    return F.round(_col(c) * F.lit(f), 0) / F.lit(f)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.functions.numeric import TEMPO_WIDTH, VALENCE_WIDTH, clip01, final_score, similarity
+from cadenza.functions.numeric import TEMPO_WIDTH, VALENCE_WIDTH, clip01, final_score, similarity, stable_round
 
 PLAYLIST_LEN = 10
 CONTEXT_LEN = 20
@@ -45,7 +45,7 @@ def score_tracks(cands: DataFrame, taste: DataFrame) -> DataFrame:
     j = cands.join(taste, "user_id", "left")
     j = j.withColumn("tempo_sim", similarity("tempo", "mean_tempo", TEMPO_WIDTH))
     j = j.withColumn("valence_sim", similarity("valence", "mean_valence", VALENCE_WIDTH))
-    return j.withColumn("final_playlist_score", final_score("base_score", "tempo_sim", "valence_sim"))
+    return j.withColumn("final_playlist_score", stable_round(final_score("base_score", "tempo_sim", "valence_sim")))
 
 
 def playlists(scored: DataFrame, n: int = PLAYLIST_LEN, score_col: str = "final_playlist_score") -> DataFrame:
@@ -80,6 +80,6 @@ def context_playlists(scored: DataFrame, modes=tuple(CONTEXTS), n: int = CONTEXT
     for x in modes:
         e = context_score(x)
         expr = F.when(F.col("mode") == x, e) if expr is None else expr.when(F.col("mode") == x, e)
-    m = m.withColumn("mode_score", expr)
+    m = m.withColumn("mode_score", stable_round(expr))
     w = Window.partitionBy("mode", "user_id").orderBy(F.col("mode_score").desc(), F.col("track_id").asc())
     return m.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= n)

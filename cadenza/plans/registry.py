@@ -27,8 +27,8 @@ def r6(c) -> Column:
     """Outputs are rounded to 6 digits on both sides of the oracle check, as
     round(x·10⁶)/10⁶ — the same arithmetic on both engines, so equal doubles
     always round equally (a decimal-string rounding can split on ties)."""
-    x = F.col(c) if isinstance(c, str) else c
-    return F.round(x * F.lit(1e6), 0) / F.lit(1e6)
+    from cadenza.functions.numeric import stable_round
+    return stable_round(c, 6)
 
 
 def rounded(df: DataFrame, *cols: str) -> DataFrame:
