@@ -41,6 +41,8 @@ def numeric_profile(df: DataFrame, numerics, categories) -> DataFrame:
     aggs = [F.coalesce(F.sum(w * F.col(c)) / F.nullif(F.sum(F.when(F.col(c).isNotNull(), w)), F.lit(0.0)),
                        F.lit(0.0)).alias(f"uf_{c}") for c in numerics]
     aggs += [(F.sum(w * F.coalesce(F.col(c), F.lit(0.0))) / F.sum(w)).alias(f"uf_{c}") for c in categories]
+    if not aggs:
+        return df.select("user_id").distinct()
     return df.groupBy("user_id").agg(*aggs)
 
 
