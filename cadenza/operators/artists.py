@@ -32,8 +32,9 @@ def _fingerprint(t: DataFrame):
 
 def arrival_times(track_artists: DataFrame, artists: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(artist_id, t): -1 for artists with genres, the arrival track for imputed
-    ones, NULL for artists that never receive genres."""
-    ta = track_artists.select("track_id", "artist_id").distinct()
+    ones, NULL for artists that never receive genres. ``track_artists`` should be
+    materialised by the caller (it is read once per round)."""
+    ta = track_artists
     ids = artists.select("artist_id").union(ta.select("artist_id")).distinct()
     has = artists.where(F.size("genres") > 0).select("artist_id", F.lit(-1).cast("long").alias("t"))
     t = cut_lineage(ids.join(has, "artist_id", "left"))
@@ -54,7 +55,9 @@ def arrival_times(track_artists: DataFrame, artists: DataFrame, max_rounds: int
 def impute_genres(track_artists: DataFrame, artists: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(artist_id, t, genres sorted) for every artist seen in the catalog or tracks;
     genres stay NULL when nothing propagates."""
-    ta = track_artists.select("track_id", "artist_id").distinct()
+    # loop-invariant inputs are written once; every round reads them back
+    ta = cut_lineage(track_artists.select("track_id", "artist_id").distinct())
+    artists = cut_lineage(artists.select("artist_id", "genres"))
     t = arrival_times(ta, artists, max_rounds)
     imputed = t.where(F.col("t") >= 0)
     # dependencies: a (arrived at track t) ← b on track t with T(b) < t
@@ -62,7 +65,8 @@ def impute_genres(track_artists: DataFrame, artists: DataFrame, max_rounds: int
                   .join(ta.select(F.col("track_id").alias("ta"), F.col("artist_id").alias("b")), "ta")
                   .join(t.select(F.col("artist_id").alias("b"), F.col("t").alias("tb")), "b")
                   .where(F.col("tb") < F.col("ta")).select("a", "b"))
-    need = dep.groupBy("a").agg(F.count(F.lit(1)).alias("need"))
+    dep = cut_lineage(dep)
+    need = cut_lineage(dep.groupBy("a").agg(F.count(F.lit(1)).alias("need")))
     g = cut_lineage(artists.where(F.size("genres") > 0)
                     .select("artist_id", F.array_sort(F.array_distinct("genres")).alias("genres")))
     n_res = g.count()
