@@ -60,3 +60,24 @@ def topn_unseen_by_item_score(users: DataFrame, seen: DataFrame, item_scores: Da
     cand = (u.join(ranked, "__lvl").where(F.col("__ir") < F.col("__lim"))
              .select("user_id", "item_id", score_col))
     return topn(unseen(cand, seen), score_col, n)
+
+
+def in_dimension(df: DataFrame, dim: DataFrame, col: str, dim_col: str | None = None) -> DataFrame:
+    """Keep rows whose id exists in the dimension (0 ≤ id < n for dense ids) —
+    a semi join, not a driver-side range test."""
+    d = dim.select(F.col(dim_col or col).alias(col)).distinct()
+    return df.join(d, col, "left_semi")
+
+
+def lookup_user(users: DataFrame, user_id=None, username: str | None = None) -> DataFrame:
+    """P5: the dimension row of one user by id or by name; raises when absent.
+    The result is one row, safe to broadcast into the scoring join."""
+    if user_id is None and username is None:
+        raise ValueError("give user_id or username")
+    cond = (F.col("user_id") == F.lit(user_id)) if user_id is not None else (F.col("username") == F.lit(username))
+    hit = users.where(cond).limit(2)
+    n = hit.count()
+    if n != 1:
+        raise ValueError(f"user {user_id if user_id is not None else username!r} not found" if n == 0
+                         else "user lookup is ambiguous")
+    return hit

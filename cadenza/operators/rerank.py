@@ -125,7 +125,9 @@ class LambdaMART:
         data = cut_lineage(self._assemble(rows).withColumn("score", F.lit(0.0)))
         for r in range(self.rounds):
             lg = lambda_gradients(data, "score", "label")
-            d = data.join(lg, ["user_id", "item_id"]).withColumn("target", -F.col("grad"))
+            # the tree makes several passes over its input: materialise the round's
+            # targets once instead of re-running the λ step per pass
+            d = cut_lineage(data.join(lg, ["user_id", "item_id"]).withColumn("target", -F.col("grad")))
             tree = DecisionTreeRegressor(featuresCol="features", labelCol="target", maxDepth=self.depth,
                                          minInstancesPerNode=self.min_leaf, seed=self.seed + r,
                                          leafCol="leaf").fit(d)
@@ -164,3 +166,19 @@ def blend_topk(scored: DataFrame, alpha: float, k: int) -> DataFrame:
     """N10 + W8: final = α·ranker + (1−α)·als, top-k per user (rank 0-based)."""
     b = scored.withColumn("final_score", alpha_blend("ranker_score", "als_score", alpha))
     return topn(b, "final_score", k).select("user_id", "item_id", "final_score", "ranker_score", "als_score", "rank")
+
+
+def group_ordered(rows: DataFrame, score_col: str = "als_score") -> DataFrame:
+    """O3: rows clustered by user and ordered inside each partition — the layout a
+    group-wise ranker consumes (no global sort)."""
+    return rows.repartition("user_id").sortWithinPartitions("user_id", F.col(score_col).desc(), "item_id")
+
+
+def save_ranker(model, path: str) -> None:
+    """The PipelineModel carries the assembler, hence the feature list."""
+    model.write().overwrite().save(path)
+
+
+def load_ranker(path: str):
+    from pyspark.ml import PipelineModel
+    return PipelineModel.load(path)

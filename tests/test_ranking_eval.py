@@ -86,3 +86,12 @@ def test_metrics_in_unit_interval(spark):
         assert 0.0 <= r.precision <= 1.0 and 0.0 <= r.ap <= 1.0 and 0.0 <= r.ndcg <= 1.0 + 1e-12
     s = ev.summarize(ev.per_user_list(scored.where(F.lit(False)), 5), 5, "list").first()
     assert (s.users, s.precision_at_k) == (0, 0.0)
+
+
+def test_lookup_user_and_dimension(spark):
+    users = spark.createDataFrame([(0, "ann"), (1, "bob")], "user_id long, username string")
+    assert rk.lookup_user(users, username="bob").first().user_id == 1
+    with pytest.raises(ValueError):
+        rk.lookup_user(users, user_id=7)
+    df = spark.createDataFrame([(0,), (5,)], "user_id long")
+    assert [r.user_id for r in rk.in_dimension(df, users, "user_id").collect()] == [0]
