@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-Q = 6
+Q = 12
 
 
 def _grams(df: DataFrame, id_col: str, text_col: str, q: int, lengths) -> DataFrame:
