@@ -172,3 +172,19 @@ def q_rerank_scores(spark, d):
 def q_feature_importance(spark, d):
     model = rr.fit_pointwise(rerank_table(spark, d, "val"), seed=qi.SEED, max_iter=10, max_depth=4)
     return rr.feature_importance(model)
+
+
+@query("als_eval_summary")
+def q_als_eval_summary(spark, d):
+    """ALS candidates (cosine, unseen) scored against val and test, split family."""
+    from cadenza.operators import evaluate as ev
+    model, train = _als_model(spark, d)
+    _, splits, _ = _inputs(spark, d)
+    inter = st.interactions(spark, d)
+    ranked = al.als_candidates(model, inter.select("user_id"), train, qi.K, cosine=True)
+    out = None
+    for name in ("val", "test"):
+        s = ev.summarize(ev.per_user_split(ranked, it.split_of(splits, name), qi.K), qi.K, "split")
+        s = s.withColumn("eval_split", F.lit(name))
+        out = s if out is None else out.unionByName(s)
+    return rounded(out, "precision_at_k", "map_at_k", "ndcg_at_k")

@@ -19,7 +19,7 @@ def test_entry_runs(spark):
 
 def test_registry_consistent():
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q) and len(q) >= 90
+    assert set(o) <= set(q) and len(q) >= 95 and len(o) >= 89
 
 
 @pytest.mark.parametrize("name", CHECK)
