@@ -72,10 +72,16 @@ def impute_genres(track_artists: DataFrame, artists: DataFrame, max_rounds: int
     n_res = g.count()
     for _ in range(max_rounds):
         open_ = dep.join(g.select(F.col("artist_id").alias("a")), "a", "left_anti")
-        got = (open_.join(g.select(F.col("artist_id").alias("b"), F.col("genres").alias("gb")), "b")
-                    .groupBy("a").agg(F.count(F.lit(1)).alias("have"), F.flatten(F.collect_list("gb")).alias("u")))
-        new = (got.join(need, "a").where(F.col("have") == F.col("need"))
-                  .select(F.col("a").alias("artist_id"), F.array_sort(F.array_distinct("u")).alias("genres")))
+        # an artist is ready when all its dependencies have genres: a count, no lists
+        have = (open_.join(g.select(F.col("artist_id").alias("b")), "b", "left_semi")
+                     .groupBy("a").agg(F.count(F.lit(1)).alias("have")))
+        ready = have.join(need, "a").where(F.col("have") == F.col("need")).select("a")
+        # union of genres: exploded and de-duplicated per (artist, genre) before any
+        # per-artist list, so a list is bounded by the genre vocabulary
+        gx = g.select(F.col("artist_id").alias("b"), F.explode("genres").alias("genre"))
+        new = (open_.join(ready, "a", "left_semi").join(gx, "b").select("a", "genre").distinct()
+                    .groupBy("a").agg(F.array_sort(F.collect_list("genre")).alias("genres"))
+                    .withColumnRenamed("a", "artist_id"))
         g = cut_lineage(g.unionByName(new))
         m = g.count()
         if m == n_res:
@@ -101,10 +107,12 @@ def exploded_rows(tracks: DataFrame, track_artists: DataFrame, artist_genres: Da
 
 def mode_of(df: DataFrame, keys, col: str) -> DataFrame:
     """Most frequent non-null value per group; ties → smallest value (the
-    engine's own ``mode`` is not used: tie behaviour differs between engines)."""
+    engine's own ``mode`` is not used: tie behaviour differs between engines).
+    Counts per value, then the minimum of (−count, value) — two partial
+    aggregations, so a huge group never sits in one task."""
     c = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*keys).orderBy(F.col("__c").desc(), F.col(col).asc())
-    return c.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "__c")
+    best = c.groupBy(*keys).agg(F.min(F.struct((-F.col("__c")).alias("n"), F.col(col).alias("v"))).alias("__b"))
+    return best.select(*keys, F.col("__b.v").alias(col))
 
 
 def per_genre(rows: DataFrame, numerics, categories) -> DataFrame:

@@ -87,8 +87,7 @@ def popularity_by_name(named: DataFrame, items: DataFrame, mode: str = "word") -
     deduplicated to the first row per key (smallest id); then distinct users and
     Σ plays per id. Unmatched names are dropped."""
     it = items.select("item_id", join_key("item_name", mode).alias("__key")).where(F.col("__key").isNotNull())
-    w = Window.partitionBy("__key").orderBy(F.col("item_id").asc())
-    first = it.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    first = it.groupBy("__key").agg(F.min("item_id").alias("item_id"))  # first row per key, skew-safe
     j = named.withColumn("__key", join_key("artist", mode)).join(first, "__key")
     return j.groupBy("item_id").agg(F.countDistinct("username").cast("long").alias("item_pop_users"),
                                     F.sum("plays").alias("item_pop_plays"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.plans.ordering import global_rank
+from cadenza.plans.ordering import attach_scalars, global_rank
 
 
 def topn(df: DataFrame, score_col: str, n: int, rank_col: str = "rank", base: int = 0,
@@ -57,6 +57,9 @@ def topn_unseen_by_item_score(users: DataFrame, seen: DataFrame, item_scores: Da
               .withColumn("__lim", F.lit(n) + F.coalesce(F.col("__m"), F.lit(0)))
               .withColumn("__lvl", F.explode(F.sequence(
                   F.lit(0), F.floor(F.log2((F.col("__lim") - 1 + nn) / nn)).cast("int")))))
+    # prune the item side to ranks some user can need (< max limit): a one-row bound
+    bound = u.agg(F.max("__lim").alias("__maxlim"))
+    ranked = attach_scalars(ranked, bound).where(F.col("__ir") < F.col("__maxlim")).drop("__maxlim")
     cand = (u.join(ranked, "__lvl").where(F.col("__ir") < F.col("__lim"))
              .select("user_id", "item_id", score_col))
     return topn(unseen(cand, seen), score_col, n)
