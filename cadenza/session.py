@@ -27,9 +27,37 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_PKG_DIR = os.path.dirname(os.path.abspath(__file__))
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``cadenza`` importable in the Python workers (executors): zip the
+    package once per SparkContext and register it with ``addPyFile`` — what
+    ``--py-files`` does at submit time. Python UDFs defined in the package are
+    pickled by reference and need it on every executor."""
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    if getattr(sc, "_cadenza_shipped", False):
+        return
+    import zipfile
+    out = os.path.join(tempfile.mkdtemp(prefix="cadenza-pkg-"), "cadenza.zip")
+    root = os.path.dirname(_PKG_DIR)
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(_PKG_DIR):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    sc._cadenza_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local tests)
     fall back to a fresh scratch folder."""

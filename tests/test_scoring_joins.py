@@ -42,3 +42,16 @@ def test_lambda_gradients_balance(spark):
     assert sum(v[0] for k, v in g.items() if k[0] == 1) == pytest.approx(0.0, abs=1e-12)
     assert g[(1, 1)][0] < 0 and g[(1, 0)][0] > 0  # positives pushed up, negatives down
     assert g[(2, 1)] == (0.0, 0.0)
+
+
+def test_top_cols_with_ties():
+    from cadenza.operators.scoring import _top_cols
+    rng = np.random.default_rng(1)
+    S = rng.integers(0, 4, size=(50, 30)).astype(float)
+    S[3, :] = -np.inf
+    S[4, :25] = -np.inf
+    iid = rng.permutation(1000)[:30]
+    rows, cols = _top_cols(S, iid, 7)
+    for i in range(50):
+        exp = sorted(range(30), key=lambda j: (-S[i, j], iid[j]))[:7]
+        assert list(cols[rows == i]) == exp
