@@ -41,7 +41,8 @@ def boolize(df: DataFrame, cols) -> DataFrame:
     known = list(BOOL_TRUE + BOOL_FALSE)
     share = df.agg(*[F.avg(F.coalesce(F.lower(F.col(c).cast("string")).isin(known), F.lit(False)).cast("double")).alias(f"__s_{c}")
                      for c in cols])
-    out = df.join(F.broadcast(share))  # one-row aggregate
+    from cadenza.plans.ordering import attach_scalars
+    out = attach_scalars(df, share)  # one-row aggregate as a scalar subquery
     for c in cols:
         low = F.lower(F.col(c).cast("string"))
         mapped = F.when(low.isin(list(BOOL_TRUE)), F.lit(1.0)).when(low.isin(list(BOOL_FALSE)), F.lit(0.0)).otherwise(F.lit(0.0))

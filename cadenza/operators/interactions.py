@@ -149,7 +149,7 @@ def bm25_weight(train: DataFrame, universe: DataFrame | None = None, k1: float =
     n_users, dfreq = _weight_inputs(train, universe)
     ulen = train.groupBy("user_id").agg(F.sum("plays").alias("__len"))
     tot = train.agg(F.sum("plays").alias("__tot"))
-    scal = n_users.join(tot).select("__N", (F.col("__tot") / F.col("__N")).alias("__avg"))
+    scal = attach_scalars(n_users, tot).select("__N", (F.col("__tot") / F.col("__N")).alias("__avg"))
     x = F.col("plays")
     out = attach_scalars(train.join(dfreq, "item_id").join(ulen, "user_id"), scal)
     idf = F.log(F.col("__N")) - F.log1p(F.col("__df").cast("double"))

@@ -17,10 +17,13 @@ from cadenza.session import cut_lineage
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate to every row of ``df``.
 
-    ``one_row`` must be a global aggregate (exactly one row, a proven size), so
-    the broadcast is a few bytes and the join is linear in ``df``.
+    ``one_row`` must be a global aggregate (exactly one row). It becomes a single
+    scalar subquery (``DataFrame.scalar``): Spark runs it once and inlines the
+    value as a literal — no join, no global window, no driver-side branch.
     """
-    return df.join(F.broadcast(one_row))
+    cols = one_row.columns
+    s = one_row.select(F.struct(*cols).alias("__scalars")).scalar()
+    return df.withColumn("__scalars", s).withColumns({c: F.col(f"__scalars.{c}") for c in cols}).drop("__scalars")
 
 
 def global_rank(df: DataFrame, order_cols, rank_col: str = "grank") -> DataFrame:
