@@ -57,29 +57,29 @@ def per_user_split(ranked: DataFrame, truth: DataFrame, k: int, rank_col: str =
 def per_user_list(scored: DataFrame, k: int, score_col: str = "score", label_col: str = "label",
                   tie_col: str = "item_id", extra_keys=()) -> DataFrame:
     """Per-user list-family metrics over (user_id, item_id, score, label);
-    ``extra_keys`` (e.g. a sweep parameter) extend the group key."""
+    ``extra_keys`` (e.g. a sweep parameter) extend the group key.
+
+    Only bounded pieces of a list are ever sorted: its length and positive count
+    are aggregates, and precision, AP and DCG need the top k by score, the ideal
+    DCG the top k by label — both ``row_number() <= k`` (a partial
+    ``WindowGroupLimit`` before the shuffle), so a huge list is not sorted in one task."""
     keys = [*extra_keys, "user_id"]
+    rel = F.col(label_col).cast("double")
+    base = scored.select(*keys, tie_col, score_col, label_col)
+    cnt = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__len"),
+                                  F.sum(F.when(rel > 0, 1).otherwise(0)).alias("__npos"))
     by_score = Window.partitionBy(*keys).orderBy(F.col(score_col).desc(), F.col(tie_col).asc())
+    top = base.withColumn("__pos", F.row_number().over(by_score)).where(F.col("__pos") <= k)
+    top = top.withColumn("__hits", F.sum(F.when(rel > 0, 1).otherwise(0)).over(
+        Window.partitionBy(*keys).orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)))
+    at = top.groupBy(*keys).agg(
+        F.sum(F.when(rel > 0, 1).otherwise(0)).alias("__h"),
+        F.sum(F.when(rel > 0, F.col("__hits") / F.col("__pos")).otherwise(0.0)).alias("__ap"),
+        F.sum((F.pow(F.lit(2.0), rel) - 1.0) * _disc("__pos")).alias("__dcg"))
     by_label = Window.partitionBy(*keys).orderBy(F.col(label_col).desc(), F.col(tie_col).asc())
-    cum = by_score.rowsBetween(Window.unboundedPreceding, 0)
-    rel = F.col(label_col).cast("double")
-    d = (scored.select(*keys, tie_col, score_col, label_col)
-               .withColumn("__pos", F.row_number().over(by_score))
-               .withColumn("__ipos", F.row_number().over(by_label))
-               .withColumn("__hits", F.sum(F.when(rel > 0, 1).otherwise(0)).over(cum))
-               .withColumn("__len", F.count(F.lit(1)).over(Window.partitionBy(*keys))))
-    kk = F.least(F.col("__len"), F.lit(k))
-    d = d.withColumn("__k", kk)
-    agg = d.groupBy(*keys).agg(
-        F.first("__k").alias("__k"),
-        F.sum(F.when((F.col("__pos") <= F.col("__k")) & (rel > 0), 1).otherwise(0)).alias("__h"),
-        F.sum(F.when((F.col("__pos") <= F.col("__k")) & (rel > 0), F.col("__hits") / F.col("__pos"))
-               .otherwise(0.0)).alias("__ap"),
-        F.sum(F.when(rel > 0, 1).otherwise(0)).alias("__npos"),
-        F.sum(F.when(F.col("__pos") <= F.col("__k"), (F.pow(F.lit(2.0), rel) - 1.0) * _disc("__pos"))
-               .otherwise(0.0)).alias("__dcg"),
-        F.sum(F.when(F.col("__ipos") <= F.col("__k"), (F.pow(F.lit(2.0), rel) - 1.0) * _disc("__ipos"))
-               .otherwise(0.0)).alias("__idcg"))
+    itop = base.withColumn("__ipos", F.row_number().over(by_label)).where(F.col("__ipos") <= k)
+    ai = itop.groupBy(*keys).agg(F.sum((F.pow(F.lit(2.0), rel) - 1.0) * _disc("__ipos")).alias("__idcg"))
+    agg = cnt.join(at, keys).join(ai, keys).withColumn("__k", F.least(F.col("__len"), F.lit(k)))
     return agg.select(
         *keys,
         F.when(F.col("__k") > 0, F.col("__h") / F.col("__k")).otherwise(F.lit(0.0)).alias("precision"),
