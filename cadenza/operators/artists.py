@@ -54,42 +54,55 @@ def arrival_times(track_artists: DataFrame, artists: DataFrame, max_rounds: int
 
 def impute_genres(track_artists: DataFrame, artists: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(artist_id, t, genres sorted) for every artist seen in the catalog or tracks;
-    genres stay NULL when nothing propagates."""
+    genres stay NULL when nothing propagates.
+
+    Every artist arriving at track t receives the same union
+    U(t) = ⋃ { genres(b) : b on t, T(b) < t }, where genres(b) is b's own when
+    T(b) = −1, else U(T(b)). So the union is resolved per arrival track: its
+    contributions are (track, source) pairs — at most one per track × artist row,
+    never artist × co-artist pairs — and a track resolves once all its sources
+    have. Genre sets are handled exploded, so a list is bounded by the genre
+    vocabulary."""
     # loop-invariant inputs are written once; every round reads them back
     ta = cut_lineage(track_artists.select("track_id", "artist_id").distinct())
     artists = cut_lineage(artists.select("artist_id", "genres"))
     t = arrival_times(ta, artists, max_rounds)
-    imputed = t.where(F.col("t") >= 0)
-    # dependencies: a (arrived at track t) ← b on track t with T(b) < t
-    dep = (imputed.select(F.col("artist_id").alias("a"), F.col("t").alias("ta"))
-                  .join(ta.select(F.col("track_id").alias("ta"), F.col("artist_id").alias("b")), "ta")
-                  .join(t.select(F.col("artist_id").alias("b"), F.col("t").alias("tb")), "b")
-                  .where(F.col("tb") < F.col("ta")).select("a", "b"))
-    dep = cut_lineage(dep)
-    need = cut_lineage(dep.groupBy("a").agg(F.count(F.lit(1)).alias("need")))
-    g = cut_lineage(artists.where(F.size("genres") > 0)
-                    .select("artist_id", F.array_sort(F.array_distinct("genres")).alias("genres")))
-    n_res = g.count()
+    arrival = t.where(F.col("t") >= 0).select(F.col("t").alias("track_id")).distinct()
+    src_kind = F.when(F.col("tb") < 0, F.lit("a")).otherwise(F.lit("t"))
+    src_id = F.when(F.col("tb") < 0, F.col("artist_id").cast("string")).otherwise(F.col("tb").cast("string"))
+    contrib = cut_lineage(
+        ta.join(arrival, "track_id", "left_semi")
+          .join(t.select("artist_id", F.col("t").alias("tb")), "artist_id")
+          .where(F.col("tb") < F.col("track_id"))
+          .select("track_id", src_kind.alias("kind"), src_id.alias("sid")).distinct())
+    need = contrib.groupBy("track_id").agg(F.count(F.lit(1)).alias("need"))
+    own = (artists.where(F.size("genres") > 0)
+                  .select(F.lit("a").alias("kind"), F.col("artist_id").cast("string").alias("sid"),
+                          F.explode("genres").alias("genre")).distinct())
+    union_rows = cut_lineage(own.limit(0).select(F.col("sid").cast("long").alias("track_id"), "genre"))
+    done = 0
     for _ in range(max_rounds):
-        open_ = dep.join(g.select(F.col("artist_id").alias("a")), "a", "left_anti")
-        # an artist is ready when all its dependencies have genres: a count, no lists
-        have = (open_.join(g.select(F.col("artist_id").alias("b")), "b", "left_semi")
-                     .groupBy("a").agg(F.count(F.lit(1)).alias("have")))
-        ready = have.join(need, "a").where(F.col("have") == F.col("need")).select("a")
-        # union of genres: exploded and de-duplicated per (artist, genre) before any
-        # per-artist list, so a list is bounded by the genre vocabulary
-        gx = g.select(F.col("artist_id").alias("b"), F.explode("genres").alias("genre"))
-        new = (open_.join(ready, "a", "left_semi").join(gx, "b").select("a", "genre").distinct()
-                    .groupBy("a").agg(F.array_sort(F.collect_list("genre")).alias("genres"))
-                    .withColumnRenamed("a", "artist_id"))
-        g = cut_lineage(g.unionByName(new))
-        m = g.count()
-        if m == n_res:
+        known = own.unionByName(union_rows.select(F.lit("t").alias("kind"), F.col("track_id").cast("string").alias("sid"),
+                                                  "genre"))
+        ks = known.select("kind", "sid").distinct()
+        open_ = contrib.join(union_rows.select("track_id").distinct(), "track_id", "left_anti")
+        have = open_.join(ks, ["kind", "sid"], "left_semi").groupBy("track_id").agg(F.count(F.lit(1)).alias("have"))
+        ready = have.join(need, "track_id").where(F.col("have") == F.col("need")).select("track_id")
+        new = (open_.join(ready, "track_id", "left_semi").join(known, ["kind", "sid"])
+                    .select("track_id", "genre").distinct())
+        union_rows = cut_lineage(union_rows.unionByName(new))
+        m = union_rows.select("track_id").distinct().count()
+        if m == done:
             break
-        n_res = m
+        done = m
     else:
         raise RuntimeError(f"genre resolution did not converge in {max_rounds} rounds")
-    return t.join(g, "artist_id", "left")
+    per_track = union_rows.groupBy("track_id").agg(F.array_sort(F.collect_list("genre")).alias("ug"))
+    base = artists.where(F.size("genres") > 0).select(
+        "artist_id", F.array_sort(F.array_distinct("genres")).alias("g0"))
+    return (t.join(base, "artist_id", "left")
+             .join(per_track, t["t"] == per_track["track_id"], "left")
+             .select("artist_id", "t", F.coalesce(F.col("g0"), F.col("ug")).alias("genres")))
 
 
 def genres_or_unknown(imputed: DataFrame) -> DataFrame:
