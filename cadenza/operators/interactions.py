@@ -111,7 +111,7 @@ def split_exact(inter: DataFrame, val_ratio: float = 0.1, test_ratio: float = 0.
     _check_ratios(val_ratio, test_ratio)
     h = inter.withColumn("__h", split_hash_col(seed))
     ranked = global_rank(h, ["__h", "user_id", "item_id"], "__r")
-    n = inter.agg(F.count(F.lit(1)).alias("__n"))
+    n = ranked.agg(F.count(F.lit(1)).alias("__n"))  # from the checkpointed frame, not a recompute
     sizes = n.select(
         (F.col("__n") - F.bround(F.col("__n") * val_ratio, 0).cast("long")
          - F.bround(F.col("__n") * test_ratio, 0).cast("long")).alias("__ntr"),

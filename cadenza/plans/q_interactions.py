@@ -203,10 +203,10 @@ def _sql_pop_topn(n: int) -> str:
 
 
 def pop_candidates(spark, d, n):
-    inter = st.interactions(spark, d)
-    train = it.split_of(it.split_exact(inter, VAL, TEST, SEED), "train")
-    prior = pop.pop_prior(train, inter, "plays").withColumnRenamed("prior", "score")
-    return rk.topn_unseen_by_item_score(inter.select("user_id"), train, prior, n)
+    splits = it.split_exact(st.interactions(spark, d), VAL, TEST, SEED)  # checkpointed: reused below
+    train = it.split_of(splits, "train")
+    prior = pop.pop_prior(train, splits, "plays").withColumnRenamed("prior", "score")
+    return rk.topn_unseen_by_item_score(splits.select("user_id"), train, prior, n)
 
 
 @query("unseen_candidates", sql=_sql_pop_topn(K))
@@ -228,8 +228,7 @@ _TE = "TE AS (SELECT user_id, item_id FROM S WHERE split = 'test')"
     f") SELECT Q.user_id, Q.item_id, round(Q.prior, 6) AS score, Q.rank, "
     "CAST(CASE WHEN TE.item_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS label FROM Q LEFT JOIN TE USING (user_id, item_id)"))
 def q_label_join(spark, d):
-    inter = st.interactions(spark, d)
-    test = it.split_of(it.split_exact(inter, VAL, TEST, SEED), "test")
+    test = it.split_of(_splits(spark, d), "test")
     return rk.label_join(rounded(pop_candidates(spark, d, K), "score"), test)
 
 
@@ -362,10 +361,9 @@ def q_eval_delta(spark, d):
     "round(coalesce(avg(ap / m), 0.0), 6) AS map_at_k, "
     "round(coalesce(avg(CASE WHEN idcg > 0 THEN dcg / idcg ELSE 0.0 END), 0.0), 6) AS ndcg_at_k FROM PU"))
 def q_pop_eval_summary(spark, d):
-    inter = st.interactions(spark, d)
-    splits = it.split_exact(inter, VAL, TEST, SEED)
+    splits = it.split_exact(st.interactions(spark, d), VAL, TEST, SEED)
     train, test = it.split_of(splits, "train"), it.split_of(splits, "test")
-    prior = pop.pop_prior(train, inter, "plays").withColumnRenamed("prior", "score")
-    ranked = rk.topn_unseen_by_item_score(inter.select("user_id"), train, prior, K)
+    prior = pop.pop_prior(train, splits, "plays").withColumnRenamed("prior", "score")
+    ranked = rk.topn_unseen_by_item_score(splits.select("user_id"), train, prior, K)
     s = ev.summarize(ev.per_user_split(ranked, test, K), K, "split")
     return rounded(s, "precision_at_k", "map_at_k", "ndcg_at_k")

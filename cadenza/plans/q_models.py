@@ -35,9 +35,9 @@ def _inputs(spark, d):
 
 
 def rerank_candidates(spark, d, n=RR_N):
-    inter, splits, train = _inputs(spark, d)
-    prior = pop.pop_prior(train, inter, "plays").withColumnRenamed("prior", "score")
-    c = rk.topn_unseen_by_item_score(inter.select("user_id"), train, prior, n)
+    _, splits, train = _inputs(spark, d)
+    prior = pop.pop_prior(train, splits, "plays").withColumnRenamed("prior", "score")
+    c = rk.topn_unseen_by_item_score(splits.select("user_id"), train, prior, n)
     return c.select("user_id", "item_id", F.col("score").alias("als_score"), F.col("rank").alias("als_rank")), splits
 
 
@@ -128,11 +128,12 @@ def q_lambda_gradients(spark, d):
 
 
 # ---------------------------------------------------------------- models (rows-only checks)
-def _als_model(spark, d):
-    inter, splits, train = _inputs(spark, d)
+def _als_model(spark, d, with_splits=False):
+    _, splits, train = _inputs(spark, d)
     al.check_int_ids(train, "user_id", "item_id")
-    w = it.bm25_weight(train, inter).withColumnRenamed("weight", "plays")
-    return al.fit_als(w, "plays", ALS_RANK, ALS_REG, ALS_ALPHA, ALS_ITERS, qi.SEED), train
+    w = it.bm25_weight(train, splits).withColumnRenamed("weight", "plays")
+    model = al.fit_als(w, "plays", ALS_RANK, ALS_REG, ALS_ALPHA, ALS_ITERS, qi.SEED)
+    return (model, train, splits) if with_splits else (model, train)
 
 
 @query("als_factors")
@@ -178,10 +179,8 @@ def q_feature_importance(spark, d):
 def q_als_eval_summary(spark, d):
     """ALS candidates (cosine, unseen) scored against val and test, split family."""
     from cadenza.operators import evaluate as ev
-    model, train = _als_model(spark, d)
-    _, splits, _ = _inputs(spark, d)
-    inter = st.interactions(spark, d)
-    ranked = al.als_candidates(model, inter.select("user_id"), train, qi.K, cosine=True)
+    model, train, splits = _als_model(spark, d, with_splits=True)
+    ranked = al.als_candidates(model, splits.select("user_id"), train, qi.K, cosine=True)
     out = None
     for name in ("val", "test"):
         s = ev.summarize(ev.per_user_split(ranked, it.split_of(splits, name), qi.K), qi.K, "split")
