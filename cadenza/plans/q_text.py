@@ -219,7 +219,7 @@ _ALNUM = r"nullif(regexp_replace(lower(strip_accents({c})), '[^\p{{L}}\p{{N}}]',
     f"WITH K AS (SELECT DISTINCT {_ALNUM.format(c='artist_name')} AS key FROM ({st.SQL_CATALOG})), "
     f"LK AS (SELECT {_ALNUM.format(c='artist')} AS key FROM ({st.SQL_PLAY_LOG})), "
     "F AS (SELECT LK.key, K.key IS NOT NULL AND LK.key IS NOT NULL AS hit FROM LK LEFT JOIN K ON LK.key = K.key), "
-    "C AS (SELECT count(*) AS total_rows, sum(CAST(hit AS BIGINT)) AS mapped_rows, "
+    "C AS (SELECT count(*) AS total_rows, CAST(sum(CAST(hit AS BIGINT)) AS BIGINT) AS mapped_rows, "
     "count(DISTINCT coalesce(key, '')) AS unique_artist_keys, count(DISTINCT CASE WHEN hit THEN key END) "
     "AS unique_artist_keys_mapped FROM F) "
     "SELECT round_even(mapped_rows * 100.0 / greatest(total_rows, 1), 2) AS row_coverage_pct, "
