@@ -3,7 +3,6 @@ situation playlists (every mode for every user)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from cadenza.functions import text as tx
 from cadenza.operators import artists as ar

@@ -7,7 +7,6 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
