@@ -14,6 +14,8 @@ BROADCAST_ROWS = 200_000
 HEAVY = 1000
 #: Words of the contracts: runs of ASCII letters, digits and all non-ASCII characters.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words in a text that is not lower-cased.
+RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

@@ -18,7 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cadenza.llm.common import WORD, fresh, let, same, small, words
+from cadenza.llm.common import RAW_WORD, fresh, let, same, small, words
 from cadenza.session import cut_lineage
 
 WINDOW = 10
@@ -82,7 +82,7 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
     """One row per document: id, n_words, n_hit, items (sorted), contaminated."""
     found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **names)
     d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
-                    F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(WORD)).cast("long").alias("n_words"))
+                    F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(RAW_WORD)).cast("long").alias("n_words"))
     j = d.join(found, same(d, found, "id", "th"), "left")
     return j.select(d["id"], "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"),
@@ -104,7 +104,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     h = cut_lineage(h.groupBy("id", "th").agg(F.collect_set("k").alias(runs)).select(F.col("id").alias(id_col), F.col("th").alias(th), runs))
     j = rows.join(h, same(rows, h, id_col, th), "left")
     text = rows[text_col]
-    parts = F.zip_with(F.split(text, WORD, -1), F.concat(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array(F.lit(""))),
+    parts = F.zip_with(F.split(text, RAW_WORD, -1), F.concat(F.regexp_extract_all(text, F.lit(RAW_WORD), F.lit(0)), F.array(F.lit(""))),
                        lambda gap, word: F.struct(gap.alias("gap"), word.alias("word")))
     cut = let(parts, lambda p: F.array_join(F.transform(p, lambda x, i: F.when(
         F.array_contains(runs, i), F.when(F.array_contains(runs, i - 1), F.lit("")).otherwise(x["gap"])).otherwise(F.concat(x["gap"], x["word"]))), ""))
