@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontam, exact_dedup
+from cadenza.llm import decontam, exact_dedup, packing, quality
 from cadenza.llm.common import table
 from cadenza.llm.registry import ORACLES, QUERIES, query
 
@@ -14,6 +14,11 @@ UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+@query("op2_best_fit_packing")
+def op2(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op3_benchmark_decontamination", f"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UP}', '{LOW}'), '{WORD}') ws FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UP}', '{LOW}'), '{WORD}') ws FROM benchmark),
@@ -43,3 +48,12 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) text_sha
 def op4(spark, sf_dir):
     d = exact_dedup.decisions(table(spark, sf_dir, "documents"), digest_all=True)
     return d.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@query("op10_quality_knn")
+def op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
