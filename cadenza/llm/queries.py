@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontam, exact_dedup, packing, quality
+from cadenza.llm import decontam, exact_dedup, packing, quality, warc
 from cadenza.llm.common import table
 from cadenza.llm.registry import ORACLES, QUERIES, query
+from cadenza.session import ensure_checkpoint_dir
 
 __all__ = ["QUERIES", "ORACLES"]
 
@@ -50,6 +53,19 @@ def op4(spark, sf_dir):
     return d.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+@query("op9_warc_revisits", """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) b FROM pages),
+g AS (SELECT page_id, octet_length(b) n, sha256(b) d FROM p),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY d) first FROM g)
+SELECT page_id, CAST(n AS BIGINT) payload_bytes, d payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END record_type,
+       CASE WHEN n >= 100 AND page_id <> first THEN first END refers_to FROM m""")
+def op9(spark, sf_dir):
+    path = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    r = warc.archive_pages(table(spark, sf_dir, "pages"), path)
+    return r.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", F.col("original").alias("refers_to"))
+
+
 @query("op10_quality_knn")
 def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
