@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontam, exact_dedup, packing, quality, warc
+from cadenza.llm import decontam, exact_dedup, packing, pii, quality, warc
 from cadenza.llm.common import table
 from cadenza.llm.registry import ORACLES, QUERIES, query
 from cadenza.session import ensure_checkpoint_dir
@@ -17,6 +17,15 @@ UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+@query("op1_pii_sanitisation")
+def op1(spark, sf_dir):
+    r = pii.report(table(spark, sf_dir, "documents"))
+    base = pii.KINDS[:4]
+    counts = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(base)]
+    return r.select(F.col("id").alias("doc_id"), *counts, F.sha2(pii.digest(F.col("spans"), len(base)), 256).alias("base_sha256"),
+                    pii.digest(F.col("spans")).alias("spans"))
+
+
 @query("op2_best_fit_packing")
 def op2(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
