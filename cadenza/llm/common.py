@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cadenza.session import cut_lineage
 
@@ -77,6 +77,22 @@ def same(a: DataFrame, b: DataFrame, *cols: str) -> Column:
     return cond
 
 
+def drop_rows(docs: DataFrame, decided: DataFrame, text_hash: Column, id_col: str, hash_col: str) -> DataFrame:
+    """``docs`` without the rows that ``decided`` (id, a hash of the text, kept; a row per document) does not keep. Rows are told
+    apart by id and hash; of rows that share both, as many stay as were kept."""
+    h, n, k = fresh(docs, "__hash", "__n_drop", "__rank")
+    gone = decided.groupBy("id", hash_col).agg(F.count(F.lit(1)).alias("rows"), F.sum((~F.col("kept")).cast("long")).alias(n)).filter(F.col(n) > 0)
+    gone = cut_lineage(gone.select(F.col("id").alias(id_col), F.col(hash_col).alias(h), "rows", n))
+    rows = docs.withColumn(h, text_hash)
+    if gone.filter("rows > 1").isEmpty():  # ids and hashes tell the rows apart
+        drop = maybe_broadcast(gone.select(id_col, h))
+        return rows.join(drop, same(rows, drop, id_col, h), "left_anti").drop(h)
+    rows = rows.withColumn(k, F.row_number().over(Window.partitionBy(id_col, h).orderBy(F.lit(0))))
+    drop = gone.select(id_col, h, n)
+    kept = rows.join(drop, same(rows, drop, id_col, h), "left").filter(rows[k] > F.coalesce(drop[n], F.lit(0)))
+    return kept.select(*[rows[c] for c in docs.columns])
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge list: (node, label), label the smallest node reachable.
 
@@ -101,4 +117,5 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if nxt.count() == e.count() and nxt.exceptAll(e).isEmpty():
             break
         e = nxt
-    return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
+    roots = e.select("v").distinct()
+    return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots.select("v", F.col("v")))

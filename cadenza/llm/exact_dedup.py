@@ -14,9 +14,9 @@ empty result; other columns are ignored (``decisions``) or kept as they are (``d
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from cadenza.llm.common import fresh, join_counted, maybe_broadcast, same, small
+from cadenza.llm.common import drop_rows, join_counted, small
 from cadenza.session import cut_lineage
 
 PREFIX_CHARS = 256
@@ -66,15 +66,5 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", d
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    h, n, k = fresh(docs, "__digest", "__n_drop", "__rank")
-    gone = (decisions(docs, id_col, text_col).filter("digest is not null").groupBy("id", "digest")
-            .agg(F.count(F.lit(1)).alias("rows"), F.sum((~F.col("kept")).cast("long")).alias(n)).filter(F.col(n) > 0))
-    gone = cut_lineage(gone.select(F.col("id").alias(id_col), F.col("digest").alias(h), "rows", n))
-    rows = docs.withColumn(h, F.sha2(normalised(F.col(text_col)), 256))
-    if gone.filter("rows > 1").isEmpty():  # ids tell the rows apart
-        drop = maybe_broadcast(gone.select(id_col, h))
-        return rows.join(drop, same(rows, drop, id_col, h), "left_anti").drop(h)
-    rows = rows.withColumn(k, F.row_number().over(Window.partitionBy(id_col, h).orderBy(F.lit(0))))
-    drop = gone.select(id_col, h, n)
-    kept = rows.join(drop, same(rows, drop, id_col, h), "left").filter(rows[k] > F.coalesce(drop[n], F.lit(0)))
-    return kept.select(*[rows[c] for c in docs.columns])
+    decided = decisions(docs, id_col, text_col).filter("digest is not null")
+    return drop_rows(docs, decided, F.sha2(normalised(F.col(text_col)), 256), id_col, "digest")

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontam, exact_dedup, packing, pii, quality, warc
+from cadenza.llm import decontam, exact_dedup, jaccard, packing, pii, quality, warc
 from cadenza.llm.common import table
 from cadenza.llm.registry import ORACLES, QUERIES, query
 from cadenza.session import ensure_checkpoint_dir
@@ -62,6 +62,22 @@ def op4(spark, sf_dir):
     return d.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+@query("op8_ngram_jaccard_join", r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest([array_to_string(ws[i:i + least(5, len(ws)) - 1], ' ') FOR i IN range(1, len(ws) - least(5, len(ws)) + 2)]) g
+      FROM w WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) n FROM s GROUP BY doc_id),
+e AS (SELECT a.doc_id x, b.doc_id y FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+      JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+      GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+r(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) n_shingles, c.component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) component_id FROM r GROUP BY x) c USING (doc_id)""")
+def op8(spark, sf_dir):
+    r = jaccard.components_of(table(spark, sf_dir, "documents"))
+    return r.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 @query("op9_warc_revisits", """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) b FROM pages),
 g AS (SELECT page_id, octet_length(b) n, sha256(b) d FROM p),
