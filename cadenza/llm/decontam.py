@@ -43,50 +43,51 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """Verified occurrences: (id, th, start, end, items), positions in words, end exclusive; th is the text's hash."""
+         item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, every: bool = False) -> DataFrame:
+    """Verified occurrences: (id, th, n_words, start, end, items), positions in words, end exclusive; th is the text's hash.
+    ``every``: also a row per document with null start, end and items."""
     grams = benchmark_windows(benchmark, item_col, item_text, window)
     widths = sorted(r[0] for r in grams.select("width").distinct().collect()) or [window]  # at most `window` numbers
     d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
                     let(words(F.col(text_col)), lambda w: let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: F.struct(
                         w.alias("w"), F.concat(*[_window_hashes(h, k) for k in widths]).alias("hs")))).alias("x"))
-    d = d.select("id", "th", F.col("x.w").alias("w"), F.posexplode("x.hs").alias("at", "hash"))
+    ends = F.array(F.lit(None).cast("bigint")) if every else F.expr("cast(array() as array<bigint>)")
+    d = d.select("id", "th", F.col("x.w").alias("w"), F.concat("x.hs", ends).alias("hs"))
+    d = d.select("id", "th", "w", F.posexplode("hs").alias("at", "hash"))
     at = F.col("at")
     start, width, before = at, F.lit(widths[0]), F.lit(0)
     for shorter, k in zip(widths, widths[1:], strict=False):  # the windows of each width follow one another
         before = before + F.greatest(F.size("w") - shorter + 1, F.lit(0))
         start, width = F.when(at >= before, at - before).otherwise(start), F.when(at >= before, F.lit(k)).otherwise(width)
+    at_place = {"start": start, "width": width, "n_words": F.size("w").cast("long")}
     if small(grams):
-        j = d.join(F.broadcast(grams.withColumnRenamed("width", "gw")), "hash")
-        j = j.withColumns({"start": start, "width": width})
-        j = j.filter((F.col("width") == F.col("gw")) & (F.slice("w", F.col("start") + 1, F.col("width")) == F.col("gram")))
+        j = d.join(F.broadcast(grams.withColumnRenamed("width", "gw")), "hash", "left") if every else d.join(F.broadcast(grams.withColumnRenamed("width", "gw")), "hash")
+        j = j.filter(F.col("gw").isNotNull() | F.col("hash").isNull()).withColumns(at_place)
+        j = j.filter(F.col("hash").isNull() | (F.col("width") == F.col("gw")) & (F.slice("w", F.col("start") + 1, F.col("width")) == F.col("gram")))
     else:
-        d = d.withColumns({"start": start, "width": width})
-        d = d.select("id", "th", "hash", "start", "width", F.slice("w", F.col("start") + 1, F.col("width")).alias("gram"))
-        j = d.join(grams, ["width", "hash", "gram"])
-    return j.select("id", "th", "start", (F.col("start") + F.col("width")).alias("end"), "items")
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
-    """(id, th, n_hit, items) of the documents with hits: words covered, and the sorted item ids as texts."""
-    h = hits(docs, benchmark, **names).repartition("id", "th")
-    h = h.groupBy("id", "th", "start").agg(F.max("end").alias("end"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+        d = d.withColumns(at_place)
+        d = d.select("id", "th", "n_words", "hash", "start", "width", F.when(F.col("hash").isNotNull(), F.slice("w", F.col("start") + 1, F.col("width"))).alias("gram"))
+        j = d.filter("hash is not null").join(grams, ["width", "hash", "gram"])
+        if every:
+            j = j.unionByName(d.filter("hash is null"), allowMissingColumns=True)
+    start = F.when(F.col("hash").isNotNull(), F.col("start"))
+    return j.select("id", "th", "n_words", start.alias("start"), (start + F.col("width")).alias("end"), "items")
+
+
+def report(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
+    """One row per document: id, n_words, n_hit (words covered), items (sorted ids as texts), contaminated. One read of the texts: the windows
+    that hit and one row per document are shuffled by document."""
+    h = hits(docs, benchmark, every=True, **names).repartition("id", "th")
+    h = h.groupBy("id", "th", "start").agg(F.max("end").alias("end"), F.max("n_words").alias("n_words"), F.count(F.lit(1)).alias("rows"),
+                                           F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     w = Window.partitionBy("id", "th").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     h = h.withColumn("new", F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce(F.max("end").over(w), F.lit(0)))))
-    return h.groupBy("id", "th").agg(
-        F.sum("new").cast("long").alias("n_hit"),
-        F.array_sort(F.transform(F.array_distinct(F.flatten(F.collect_set("items"))), lambda x: x.cast("string"))).alias("items"))
-
-
-def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names) -> DataFrame:
-    """One row per document: id, n_words, n_hit, items (sorted), contaminated."""
-    found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **names)
-    d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"),
-                    F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(RAW_WORD)).cast("long").alias("n_words"))
-    j = d.join(found, same(d, found, "id", "th"), "left")
-    return j.select(d["id"], "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                    F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"),
-                    (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+    none = F.expr("cast(array() as array<string>)")
+    items = F.array_sort(F.transform(F.array_distinct(F.flatten(F.collect_set("items"))), lambda x: x.cast("string")))
+    g = h.groupBy("id", "th").agg(F.max("n_words").alias("n_words"), F.sum(F.when(F.col("start").isNull(), 0).otherwise(F.col("new"))).cast("long").alias("n_hit"),
+                                  F.coalesce(items, none).alias("items"), F.max(F.when(F.col("start").isNull(), F.col("rows"))).alias("rows"))
+    g = g.select("id", "n_words", "n_hit", "items", (F.col("n_hit") > 0).alias("contaminated"), F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("copy"))
+    return g.drop("copy")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
