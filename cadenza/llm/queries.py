@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontam, exact_dedup, jaccard, packing, pii, quality, warc
+from cadenza.llm import decontam, exact_dedup, jaccard, packing, pii, quality, suffix, warc
 from cadenza.llm.common import table
 from cadenza.llm.registry import ORACLES, QUERIES, query
 from cadenza.session import ensure_checkpoint_dir
@@ -62,6 +62,12 @@ def op4(spark, sf_dir):
     return d.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+@query("op7_suffix_array_dedup")
+def op7(spark, sf_dir):
+    r = suffix.remove(table(spark, sf_dir, "documents"))
+    return r.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op8_ngram_jaccard_join", r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest([array_to_string(ws[i:i + least(5, len(ws)) - 1], ' ') FOR i IN range(1, len(ws) - least(5, len(ws)) + 2)]) g

@@ -6,10 +6,23 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+from cadenza.session import ensure_checkpoint_dir, ship_package
+
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Rows of an Arrow batch: bounds what a Python worker holds of texts at once.
+BATCH_ROWS = 1000
+
+
+def ready(spark) -> str:
+    """Prepares a session for the operators and returns the shared folder: the executors can import the package."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    ship_package(spark)
+    return ensure_checkpoint_dir(spark)
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
@@ -17,9 +30,7 @@ def query(name: str, sql: str | None = None):
 
         @functools.wraps(fn)
         def run(spark, sf_dir):
-            from cadenza.session import ensure_checkpoint_dir, ship_package
-            ensure_checkpoint_dir(spark)
-            ship_package(spark)  # executors import the package for its Python functions
+            ready(spark)
             return fn(spark, sf_dir)
         QUERIES[name] = run
         if sql is not None:
