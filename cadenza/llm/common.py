@@ -50,6 +50,15 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
+def placed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Start and end of matches numbered ``k`` from the pieces between them (``gap`` before each, ``len``), by a running sum
+    over the matches of a key; repeated rows count once."""
+    rows = rows.repartition(*keys).dropDuplicates([*keys, "k"])
+    w = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("start", F.coalesce(F.sum(F.col("gap") + F.col("len")).over(w), F.lit(0)) + F.col("gap"))
+    return rows.withColumn("end", F.col("start") + F.col("len"))
+
+
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Whether a (checkpointed) table is small enough for an explicit broadcast."""
     return df.limit(limit + 1).count() <= limit

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cadenza.llm.common import ascii_lower, fresh, join_counted, let, maybe_broadcast, same, words
+from cadenza.llm.common import ascii_lower, fresh, join_counted, let, maybe_broadcast, placed, same, words
 from cadenza.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -83,21 +83,13 @@ def _matches(text: Column, kind: str) -> Column:
     return F.when(F.contains(text, F.lit(NEEDS[kind])), found) if kind in NEEDS else found
 
 
-def _starts(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Positions of matches numbered k from the pieces (gap) before them; repeated rows count once."""
-    rows = rows.repartition(*keys).dropDuplicates([*keys, "k"])
-    w = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("start", F.coalesce(F.sum(F.col("gap") + F.col("len")).over(w), F.lit(0)) + F.col("gap"))
-    return rows.withColumn("end", F.col("start") + F.col("len"))
-
-
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, kind, start, end, value, near) of the personal data; near: the words around it."""
     text = F.coalesce(text_col, F.lit(""))
     none = F.expr("cast(array() as array<struct<kind:int,k:int,gap:int,len:int,ok:boolean,value:string,near:array<string>>>)")
     d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), F.explode(
         F.concat(*[F.coalesce(_matches(text, k), none) for k in PATTERNS])).alias("x")).select("id", "th", "x.*")
-    return _starts(d, ["id", "th", "kind"]).filter("ok").select("id", "th", "kind", "start", "end", "value", "near")
+    return placed(d, ["id", "th", "kind"]).filter("ok").select("id", "th", "kind", "start", "end", "value", "near")
 
 
 def disclosing_terms(docs: DataFrame, spans: DataFrame, text_col: str = "text", support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
@@ -127,7 +119,7 @@ def term_spans(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_c
     pattern = F.concat(F.lit(rf"(?<!{_WORD_CHAR})\Q"), "term", F.lit(rf"\E(?!{_WORD_CHAR})"))
     pieces = F.transform(F.split("t", pattern, -1), lambda g: F.length(g))
     d = d.select("id", "th", "term", "share", F.length("term").alias("len"), F.posexplode(let(pieces, lambda p: F.slice(p, 1, F.size(p) - 1))).alias("k", "gap"))
-    return _starts(d, ["id", "th", "term"]).select("id", "th", "start", "end", "share")
+    return placed(d, ["id", "th", "term"]).select("id", "th", "start", "end", "share")
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

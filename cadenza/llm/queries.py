@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontam, exact_dedup, jaccard, packing, pii, quality, suffix, warc, windows
+from cadenza.llm import decontam, exact_dedup, jaccard, packing, pii, quality, secrets, suffix, warc, windows
 from cadenza.llm.common import table
 from cadenza.llm.registry import ORACLES, QUERIES, query
 from cadenza.session import ensure_checkpoint_dir
@@ -62,6 +62,12 @@ def op4(spark, sf_dir):
     return d.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+@query("op5_secret_scan")
+def op5(spark, sf_dir):
+    r = secrets.scan(table(spark, sf_dir, "documents")).filter("secret")
+    return r.select(F.col("id").alias("doc_id"), "start", "end", F.sha2("value", 256).alias("value_sha256"), "probability")
+
+
 @query("op6_substring_dedup")
 def op6(spark, sf_dir):
     r = windows.near_passages(table(spark, sf_dir, "documents"))
