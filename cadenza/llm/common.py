@@ -108,24 +108,22 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge list: (node, label), label the smallest node reachable.
 
     Alternating large-star and small-star steps: each round links every node to the least node
-    of its neighbourhood, which needs a logarithmic number of rounds; hub nodes are only ever
-    aggregated (map-side minimum), and each round is cut by a reliable checkpoint."""
-    def both(e):
-        return e.select("u", "v").union(e.select(F.col("v"), F.col("u")))
-
+    of its neighbourhood, which needs a logarithmic number of rounds. Minima are combined map-side, the join on a
+    hub is one that AQE splits, and each round is cut by a reliable checkpoint."""
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
     e = cut_lineage(e)
     while True:
         # large star: neighbours above a node hang on the least of its neighbourhood
-        n = both(e)
-        m = n.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("n"))
-        big = join_counted(n, cut_lineage(m), ["u"], "n").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        big = cut_lineage(big.filter("u <> v").distinct())
+        n = e.union(e.select(F.col("v"), F.col("u")))
+        m = n.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        big = n.join(m, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         # small star: a node and its smaller neighbours hang on the least of them
-        m = cut_lineage(big.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
-        rest = join_counted(big, m, ["u"], "n").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        big = cut_lineage(big)
+        m = big.groupBy("u").agg(F.min("v").alias("m"))
+        rest = big.join(m, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         nxt = cut_lineage(rest.union(m.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        if nxt.count() == e.count() and nxt.exceptAll(e).isEmpty():
+        was, now = (x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (e, nxt))
+        if was == now:
             break
         e = nxt
     roots = e.select("v").distinct()

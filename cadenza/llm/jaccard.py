@@ -32,7 +32,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cadenza.llm.common import components, drop_rows, join_counted, maybe_broadcast
 from cadenza.session import cut_lineage
@@ -90,9 +90,9 @@ def _points(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _long_rows(make, names):
     """Record batches of about _ROWS rows from arrays that ``make`` yields."""
     def run(batches):
-        parts, rows = [], 0
+        parts, rows, seen = [], 0, set()
         for b in batches:
-            for arrays in make(b):
+            for arrays in make(b, seen):
                 parts.append(arrays)
                 rows += len(arrays[0])
                 if rows >= _ROWS:
@@ -105,18 +105,19 @@ def _long_rows(make, names):
 
 def _thinned(docs: DataFrame, text_col: str) -> DataFrame:
     """(sid) of the sets that share enough of their windows with other sets to have a link."""
-    def make(b):
+    def make(b, seen):
         for t in b.column(0):
             s = shingle_set(t.as_py())
-            if len(s):
+            sid = _digest(s)[:8]
+            if len(s) and sid not in seen:  # a task ships equal sets once
+                seen.add(sid)
                 w = s[:_window(len(s), max(1, len(s) // SLACK))].view(np.int64)
-                sid = np.frombuffer(_digest(s)[:8], np.int64)[0]
-                yield w, np.full(len(w), sid), np.full(len(w), len(s), np.int32)
+                yield w, np.full(len(w), np.frombuffer(sid, np.int64)[0]), np.full(len(w), len(s), np.int32)
 
     rows = docs.select(text_col).mapInArrow(_long_rows(make, ["token", "sid", "n"]), "token long, sid long, n int")
     rows = rows.repartition("token").dropDuplicates(["token", "sid"])
-    shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token")
-    common = rows.join(shared, "token").groupBy("sid").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
+    rows = rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("c > 1")
+    common = rows.groupBy("sid").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
     partner = F.ceil(F.col("n") * PERCENT / 100)  # the smallest size that a linked set can have
     return cut_lineage(common.filter(F.col("c") >= F.greatest(F.lit(1), F.floor(partner / SLACK))).select("sid"))
 
@@ -143,14 +144,14 @@ def _sets(docs: DataFrame, points: DataFrame, thin: DataFrame, id_col: str, text
 
 def _regions(sets: DataFrame) -> DataFrame:
     """(token, cid, n): the regions that each set belongs to."""
-    def make(b):
+    def make(b, _):
         for cid, s in zip(b.column("cid"), b.column("s"), strict=True):
             s = np.frombuffer(s.as_py(), np.int64)
             yield s, np.full(len(s), cid.as_py())
 
     rows = sets.select("cid", "s").mapInArrow(_long_rows(make, ["token", "cid"]), "token long, cid long").repartition("token")
-    df = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    held = rows.join(df, "token").groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+    rows = rows.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("df > 1")
+    held = rows.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
     held = held.join(sets.select("cid", "n"), "cid")
     alone = F.col("n") - F.size("t")
     window = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
@@ -159,7 +160,8 @@ def _regions(sets: DataFrame) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, both, n_a, n_b) for pairs (a, b) of set ids: the size of the intersection, on whole sets."""
+    """(a, b, both, n_a, n_b) for pairs (a, b) of set ids: the size of the intersection, on whole sets. A pivot of very many
+    pairs is a skewed key of a sort-merge join, which AQE splits."""
     def run(batches):
         for batch in batches:
             both = [len(np.intersect1d(np.frombuffer(x.as_py(), np.int64), np.frombuffer(y.as_py(), np.int64), assume_unique=True))
@@ -167,9 +169,7 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("a", "b", "n_a", "n_b")), pa.array(both, pa.int64())], ["a", "b", "n_a", "n_b", "both"])
 
     for side in ("a", "b"):
-        uses = cut_lineage(pairs.groupBy(side).agg(F.count(F.lit(1)).alias("uses")))
-        s = sets.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("s").alias(f"s_{side}")).join(uses, side)
-        pairs = join_counted(pairs, s, [side], "uses").drop("uses")
+        pairs = pairs.join(sets.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("s").alias(f"s_{side}")), side)
     return cut_lineage(pairs.mapInArrow(run, "a long, b long, n_a long, n_b long, both long"))
 
 
@@ -178,46 +178,50 @@ def _linked(compared: DataFrame) -> DataFrame:
     return compared.filter(100 * F.col("both") >= PERCENT * union).select("a", "b")
 
 
-def _labelled(members: DataFrame, edges: DataFrame) -> DataFrame:
-    """Members with the label of their component."""
-    labels = cut_lineage(components(edges))
-    m = members.drop("label").join(maybe_broadcast(labels.withColumnRenamed("node", "cid")), "cid", "left")
-    return cut_lineage(m.withColumn("label", F.coalesce("label", "cid")))
+def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """(node, label) after more links; ``labels`` has the nodes that had links before."""
+    if labels is None:
+        return cut_lineage(components(edges))
+    for side in ("a", "b"):  # links between components
+        edges = edges.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"l_{side}")), side, "left").withColumn(f"l_{side}", F.coalesce(f"l_{side}", side))
+    edges = cut_lineage(edges)
+    top = components(edges.select(F.col("l_a").alias("a"), F.col("l_b").alias("b"))).select(F.col("node").alias("label"), F.col("label").alias("top"))
+    new = edges.select(F.col("a").alias("node"), F.col("l_a").alias("label")).union(edges.select("b", "l_b")).distinct()
+    nodes = labels.union(new.join(labels, "node", "left_anti"))
+    return cut_lineage(nodes.join(top, "label", "left").select("node", F.coalesce("top", "label").alias("label")))
 
 
-def links(sets: DataFrame) -> DataFrame:
-    """Edges (a, b) whose components are those of the full join."""
+def labelled(sets: DataFrame) -> DataFrame:
+    """(node, label) of the components of the full join, for the sets that have links."""
     sizes = (F.col("n_a") * 100 >= F.col("n_b") * PERCENT) & (F.col("n_b") * 100 >= F.col("n_a") * PERCENT)
-    members = cut_lineage(_regions(sets).withColumn("label", F.col("cid")))
-    edges, near, past = None, None, None
+    home = _regions(sets)
+    members = home.withColumns({"label": F.col("cid"), "d": F.lit(0.0)})
+    labels, past = None, None
     while True:
         # regions whose members are in different components, and the pairs left in them
         by = members.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"), F.min("cid").alias("first"))
-        regions = by.groupBy("token").agg(F.sum("k").alias("members"), (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs"),
-                                          F.min(F.struct("label", "first")).alias("p"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
-        regions = cut_lineage(regions.select("token", "members", "pairs", F.col("p.first").alias("first")))
+        regions = by.groupBy("token").agg((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs"), F.sum("k").alias("members"),
+                                          F.min(F.struct("label", "first"))["first"].alias("first"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+        regions = cut_lineage(regions)
         left, size = regions.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum("members"), F.lit(0))).first()
         if not left or past is not None and (left <= 2 * PAIRS_PER_MEMBER * size or left >= past):
             break
         past = left
-        members = cut_lineage(join_counted(members, regions.select("token", "members", "first"), ["token"], "members").drop("members"))
-        star = members.filter("cid <> first").select(F.col("cid").alias("a"), F.col("first").alias("b"))
-        got = _compared(cut_lineage(star.distinct()), sets)
-        found = _linked(got)
-        edges = found if edges is None else edges.union(found)
-        edges = cut_lineage(edges.distinct())
+        members = cut_lineage(members.drop("d").join(regions.select("token", "first"), "token"))
+        got = _compared(members.filter("cid <> first").select(F.col("cid").alias("a"), F.col("first").alias("b")).distinct(), sets)
+        labels = _merged(labels, _linked(got))
         distance = 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))
-        near = got.select(F.col("a").alias("cid"), F.col("b").alias("first"), distance.alias("d"))
-        members = members.drop("d").join(near, ["cid", "first"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
-        members = _labelled(cut_lineage(members.drop("first")), edges)
+        members = members.drop("label").join(got.select(F.col("a").alias("cid"), F.col("b").alias("first"), distance.alias("d")), ["cid", "first"], "left")
+        members = members.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+        members = cut_lineage(members.select("token", "cid", "n", F.coalesce("label", "cid").alias("label"), F.coalesce("d", F.lit(0.0)).alias("d")))
     if left:
-        wide = members.join(regions.select("token"), "token", "left_semi").select("token", "cid", "n", "label", "d")
+        wide = members.join(regions.select("token"), "token", "left_semi")
         x, y = (wide.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "label", "d")]) for s in ("a", "b"))
         window = F.abs(F.col("d_a") - F.col("d_b")) * 100 <= 100 - PERCENT + 1e-6
         pairs = x.join(y, "token").filter((F.col("cid_a") < F.col("cid_b")) & (F.col("label_a") != F.col("label_b")) & sizes & window)
         pairs = cut_lineage(pairs.select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct())
-        edges = edges.union(_linked(_compared(pairs, sets)))
-    return edges if edges is not None else members.select(F.col("cid").alias("a"), F.col("cid").alias("b")).limit(0)
+        labels = _merged(labels, _linked(_compared(pairs, sets)))
+    return labels if labels is not None else home.select(F.col("cid").alias("node"), F.col("cid").alias("label")).limit(0)
 
 
 def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -225,7 +229,7 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     (whether the document is the one of its component that stays: the smallest id, first of repeated rows)."""
     points = cut_lineage(_points(docs, id_col, text_col))
     sets = _sets(docs, points, _thinned(docs, text_col), id_col, text_col)
-    labels = components(links(sets))
+    labels = labelled(sets)
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("tag").alias("tag"))).alias("first")
     classes = cut_lineage(points.filter("n > 0").groupBy("key").agg(first, F.count(F.lit(1)).alias("rows")))
     of = labels.join(sets.select(F.col("cid").alias("node"), "key"), "node").select("key", "label")

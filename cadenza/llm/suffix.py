@@ -25,7 +25,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from cadenza.llm.common import drop_rows, join_counted, maybe_broadcast, same, small
 from cadenza.session import cut_lineage
@@ -279,11 +279,12 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     one = drop_rows(d, copied.select("id", "th", (F.col("tag") == F.col("first")).alias("kept")), F.col("th"), "id", "th")
     one = one.select("id", "th", F.col("text").cast("binary").alias("t"))
     every = _all_runs(one, id_type).repartition("h")
-    rep = F.min(F.struct(F.col("id").isNull(), F.col("id").alias("id"), F.col("th").alias("th"), F.col("lo").alias("lo"), F.col("hi").alias("hi")))
-    kinds = every.groupBy("h", "fh").agg(F.count(F.lit(1)).alias("c"), rep.alias("x"))
-    groups = kinds.groupBy("h").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("k")).filter("total > 1")
-    kinds = cut_lineage(kinds.join(groups, "h").select("h", "fh", "c", "k", "x.id", "x.th", "x.lo", "x.hi"))
-    equal = every.join(kinds.filter("c > 1").select("h", "fh"), ["h", "fh"]).select("id", "th", "lo", "hi")
+    group, equal = Window.partitionBy("h"), Window.partitionBy("h", "fh")
+    every = every.withColumns({"c": F.count(F.lit(1)).over(equal), "nth": F.row_number().over(equal.orderBy(F.col("id").isNull(), "id", "th", "lo"))})
+    every = every.withColumns({"total": F.count(F.lit(1)).over(group), "k": F.sum((F.col("nth") == 1).cast("long")).over(group)})
+    every = cut_lineage(every.filter("total > 1").drop("total"))
+    kinds = every.filter("nth = 1")
+    equal = every.filter("c > 1").select("id", "th", "lo", "hi")
     fragments = cut_lineage(_fetch(one, kinds.filter("k > 1"), id_type))
     found = equal.unionByName(_by_suffix_arrays(fragments.filter(F.col("k") <= GROUP_RUNS), id_type))
     return copied.select("id", "th"), found.unionByName(_by_windows(fragments.filter(F.col("k") > GROUP_RUNS), id_type))
