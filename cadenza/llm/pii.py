@@ -101,13 +101,18 @@ def disclosing_terms(docs: DataFrame, spans: DataFrame, text_col: str = "text",
     entities = pairs.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("rows"))
     n_e = spans.select("kind", "value", "th").distinct().groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_e"))
     pairs = join_counted(pairs, cut_lineage(n_e.join(entities, ["kind", "value"])), ["kind", "value"], "rows").drop("rows")
+    n = float(docs.select(F.xxhash64(text).alias("th")).distinct().count())
+    # a term is in at least as many texts as it meets entities in: where that is too many already, it can't disclose enough
+    seen = met.select("term", "th").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
+    terms = pairs.groupBy("term").agg(F.count(F.lit(1)).alias("rows"))
+    most = F.col("n_et") * F.pow(F.lit(n) / F.col("n_e"), F.lit(1 - least)) * (1 + 1e-9)
+    pairs = cut_lineage(join_counted(pairs, cut_lineage(terms.join(seen, "term")), ["term"], "rows").drop("rows").filter(F.col("seen") <= most).drop("seen"))
     terms = cut_lineage(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("rows")))
     each = docs.select(F.xxhash64(text).alias("th"), F.explode(F.array_distinct(words(F.col(text_col)))).alias("term"))
     n_t = each.join(maybe_broadcast(terms.select("term")), "term", "left_semi").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     pairs = join_counted(pairs, cut_lineage(terms.join(n_t, "term")), ["term"], "rows")
-    n = docs.select(F.xxhash64(text).alias("th")).distinct().count()
-    ic = F.log(F.lit(float(n)) / F.col("n_e"))
-    share = F.when(ic > 0, F.log(F.col("n_et") * F.lit(float(n)) / (F.col("n_e") * F.col("n_t"))) / ic)
+    ic = F.log(F.lit(n) / F.col("n_e"))
+    share = F.when(ic > 0, F.log(F.col("n_et") * F.lit(n) / (F.col("n_e") * F.col("n_t"))) / ic)
     return pairs.groupBy("term").agg(F.max(share).alias("share")).filter(F.col("share") >= least)
 
 
