@@ -145,6 +145,11 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return j.select(d["id"], d["th"], F.coalesce("spans", none).alias("spans"))
 
 
+def count_of(spans_: Column, kind: str) -> Column:
+    no = KINDS.index(kind)
+    return F.size(F.filter(spans_, lambda x: x["kind"] == no))
+
+
 def digest(spans_: Column, kinds: int = len(KINDS)) -> Column:
     """kind:start:end of the spans of the first ``kinds`` kinds, comma-joined."""
     names = F.array(*[F.lit(k) for k in KINDS])

@@ -21,7 +21,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 def op1(spark, sf_dir):
     r = pii.report(table(spark, sf_dir, "documents"))
     base = pii.KINDS[:4]
-    counts = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(base)]
+    counts = [pii.count_of(F.col("spans"), name).cast("long").alias(f"n_{name}") for name in base]
     return r.select(F.col("id").alias("doc_id"), *counts, F.sha2(pii.digest(F.col("spans"), len(base)), 256).alias("base_sha256"),
                     pii.digest(F.col("spans")).alias("spans"))
 
