@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _col(c) -> Column:
@@ -11,17 +12,25 @@ def _col(c) -> Column:
 
 
 def safe_double(c) -> Column:
-    """text→number failures and NULL become 0.0 (ANSI-safe ``try_cast``)."""
-    return F.coalesce(_col(c).cast("string").try_cast("double"), F.lit(0.0))
+    """text→number failures, NaN and NULL become 0.0 (ANSI-safe ``try_cast``)."""
+    return F.coalesce(F.nanvl(_col(c).cast("string").try_cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def safe_id(c) -> Column:
-    """Bad ids become -1."""
-    return F.coalesce(_col(c).cast("string").try_cast("bigint"), F.lit(-1).cast("bigint"))
+    """Bad ids become -1; numbers that were read as floats lose their fraction, as an integer cast does."""
+    s = _col(c).cast("string")
+    return F.coalesce(s.try_cast("bigint"), s.try_cast("double").try_cast("bigint"), F.lit(-1).cast("bigint"))
+
+
+def number(df: DataFrame, c: str) -> Column:
+    """N1 by the column's type: numeric columns are cast, never turned into text."""
+    if isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType)):
+        return F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0))
+    return safe_double(c)
 
 
 def safe_numeric(df: DataFrame, cols) -> DataFrame:
-    return df.withColumns({c: safe_double(c) for c in cols if c in df.columns})
+    return df.withColumns({c: number(df, c) for c in cols if c in df.columns})
 
 
 # The recognised boolean spellings and the share needed to accept them.
@@ -31,7 +40,8 @@ BOOL_MIN_SHARE = 0.8
 
 
 def boolize(df: DataFrame, cols) -> DataFrame:
-    """Per column, a whole-column decision. If at least 80 % of the values
+    """Booleans become 1/0, and numeric columns stay as they are, NULL and NaN as 0.
+    A text column gets a whole-column decision: if at least 80 % of the values
     (NULL counts as unrecognised) are a known boolean spelling, map them to 1/0 and
     the rest to 0; otherwise coerce to a number with 0 for failures.
 
@@ -39,6 +49,11 @@ def boolize(df: DataFrame, cols) -> DataFrame:
     scalar row (one row, proven size) — no driver-side branch.
     """
     known = list(BOOL_TRUE + BOOL_FALSE)
+    typed = [c for c in cols if isinstance(df.schema[c].dataType, (T.NumericType, T.BooleanType))]
+    df = safe_numeric(df, typed)
+    cols = [c for c in cols if c not in typed]
+    if not cols:
+        return df
     share = df.agg(*[F.avg(F.coalesce(F.lower(F.col(c).cast("string")).isin(known), F.lit(False)).cast("double")).alias(f"__s_{c}")
                      for c in cols])
     from cadenza.plans.ordering import attach_scalars

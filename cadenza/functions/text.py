@@ -1,31 +1,21 @@
 """Text keys and list-as-text parsing.
 
-Only the Unicode compatibility decomposition (NFKD) with removal of combining
-marks has no built-in Spark function; it is one Arrow-batched ``pandas_udf``.
+Only the Unicode compatibility decomposition (NFKD) has no built-in Spark function; it is one Arrow-batched ``pandas_udf``.
 Everything else (case folding, character classes, splitting) is JVM-side.
 """
 
 from __future__ import annotations
 
-import unicodedata
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
-def _fold(s: str | None) -> str:
-    if s is None:
-        return ""
-    t = unicodedata.normalize("NFKD", s)
-    return "".join(ch for ch in t if not unicodedata.combining(ch))
-
-
 @F.pandas_udf(StringType())
-def strip_marks(s: pd.Series) -> pd.Series:
-    """NFKD + drop combining marks; NULL becomes the empty string."""
-    return s.map(_fold, na_action=None)
+def decompose(s: pd.Series) -> pd.Series:
+    """NFKD; NULL becomes the empty string. The marks go with the other signs that a key drops."""
+    return s.fillna("").str.normalize("NFKD")
 
 
 def _col(c) -> Column:
@@ -33,10 +23,14 @@ def _col(c) -> Column:
 
 
 def _folded(c) -> Column:
-    """strip_marks applied to a column; ships the package to the executors first."""
+    """``decompose`` applied to a column; ships the package to the executors first."""
     from cadenza.session import ship_package
     ship_package()
-    return strip_marks(_col(c))
+    return decompose(_col(c).cast("string"))
+
+
+#: The white space that text is trimmed of, as a character class for either engine.
+BLANKS = r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
 def normalize_alnum(c) -> Column:
@@ -51,7 +45,7 @@ def key_exact(c) -> Column:
 
 def key_basic(c) -> Column:
     """Lower case, trim every kind of surrounding whitespace."""
-    return F.regexp_replace(F.lower(_col(c).cast("string")), r"^\s+|\s+$", "")
+    return F.regexp_replace(F.lower(_col(c).cast("string")), f"^{BLANKS}+|{BLANKS}+$", "")
 
 
 def key_loose(c) -> Column:
@@ -75,19 +69,26 @@ def join_key(c, mode: str = "basic") -> Column:
 _LIST_JSON_OPTS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
 
 
+def _literal(s: Column) -> Column:
+    """The items of a list or tuple literal, without None; NULL if the text is none."""
+    listed = F.regexp_replace(F.regexp_replace(F.trim(s), r"^\((.*)\)$", "[$1]"), r",\s*\]$", "]")
+    bare = F.regexp_replace(listed, r"(?<=[\[,]|[\[,]\s)None(?=\s*[,\]])", "null")
+    items = F.coalesce(F.from_json(listed, "array<string>", _LIST_JSON_OPTS), F.from_json(bare, "array<string>", _LIST_JSON_OPTS))
+    return F.filter(items, lambda x: x.isNotNull())
+
+
 def parse_list(c) -> Column:
     """list-as-text → array<string>.
 
-    A Python/JSON-like literal is parsed by ``from_json`` (single quotes allowed);
-    anything else falls back to: strip brackets, split on commas, strip quotes and
-    blanks, drop empty items and the literal ``None``.
+    A Python/JSON-like list or tuple is parsed by ``from_json`` (single quotes allowed, bare
+    ``None`` items dropped); anything else falls back to: strip brackets, split on commas, strip
+    quotes and blanks, drop empty items and the literal ``None``.
     """
     s = _col(c).cast("string")
-    lit_parse = F.from_json(s, "array<string>", _LIST_JSON_OPTS)
     body = F.regexp_replace(F.trim(s), r"^\[|\]$", "")
     items = F.transform(F.split(body, ","), lambda x: F.regexp_replace(x, "^[ '\"]+|[ '\"]+$", ""))
     fallback = F.filter(items, lambda x: (F.length(F.trim(x)) > 0) & (x != F.lit("None")))
-    return F.when(s.isNull(), F.lit(None)).otherwise(F.coalesce(lit_parse, fallback))
+    return F.when(s.isNull(), F.lit(None)).otherwise(F.coalesce(_literal(s), fallback))
 
 
 def primary_item(c) -> Column:
@@ -101,7 +102,7 @@ def genre_tokens(c) -> Column:
     split, trim, drop empties. NULL gives an empty list."""
     s = F.coalesce(_col(c).cast("string"), F.lit(""))
     bracketed = s.startswith("[") & s.endswith("]")
-    lit_items = F.transform(F.from_json(s, "array<string>", _LIST_JSON_OPTS), lambda x: F.trim(x))
+    lit_items = F.transform(_literal(s), lambda x: F.trim(x))
     plain = F.filter(F.transform(F.split(F.translate(s, "|", ","), ","), lambda x: F.trim(x)),
                      lambda x: F.length(x) > 0)
     parsed = F.when(bracketed, lit_items)

@@ -25,34 +25,28 @@ from cadenza.session import cut_lineage
 UNKNOWN_GENRE = "<unknown>"
 
 
-def _fingerprint(t: DataFrame):
-    r = t.agg(F.count("t").alias("c"), F.sum("t").alias("s")).collect()[0]
-    return (r["c"], r["s"])
-
-
-def arrival_times(track_artists: DataFrame, artists: DataFrame, max_rounds: int = 100) -> DataFrame:
+def arrival_times(track_artists: DataFrame, artists: DataFrame) -> DataFrame:
     """(artist_id, t): -1 for artists with genres, the arrival track for imputed
     ones, NULL for artists that never receive genres. ``track_artists`` should be
-    materialised by the caller (it is read once per round)."""
+    materialised by the caller (it is read once per round). Only artists whose time
+    changed in a round take part in the next one; times only decrease, so it ends."""
     ta = track_artists
     ids = artists.select("artist_id").union(ta.select("artist_id")).distinct()
     has = artists.where(F.size("genres") > 0).select("artist_id", F.lit(-1).cast("long").alias("t"))
     t = cut_lineage(ids.join(has, "artist_id", "left"))
-    fp = _fingerprint(t)
-    for _ in range(max_rounds):
-        m = ta.join(t.where(F.col("t").isNotNull()), "artist_id").groupBy("track_id").agg(F.min("t").alias("m"))
-        cand = (ta.join(m, "track_id").where(F.col("m") < F.col("track_id"))
-                  .groupBy("artist_id").agg(F.min("track_id").alias("tn")))
-        t = cut_lineage(t.join(cand, "artist_id", "left")
-                         .select("artist_id", F.least(F.col("t"), F.col("tn")).alias("t")))
-        nfp = _fingerprint(t)
-        if nfp == fp:
-            return t
-        fp = nfp
-    raise RuntimeError(f"genre arrival did not converge in {max_rounds} rounds")
-
-
-def impute_genres(track_artists: DataFrame, artists: DataFrame, max_rounds: int = 100) -> DataFrame:
+    changed = t.where(F.col("t").isNotNull())
+    while not changed.isEmpty():
+        # the earliest time that a changed artist brings to its tracks
+        m = ta.join(changed, "artist_id").groupBy("track_id").agg(F.min("t").alias("m")).where(F.col("m") < F.col("track_id"))
+        cand = ta.join(m, "track_id").groupBy("artist_id").agg(F.min("track_id").alias("tn"))
+        t = cut_lineage(t.drop("changed").join(cand, "artist_id", "left")
+                         .select("artist_id", F.least(F.col("t"), F.col("tn")).alias("t"),
+                                 (F.col("tn").isNotNull() & (F.col("t").isNull() | (F.col("tn") < F.col("t")))).alias("changed")))
+        changed = t.where("changed").drop("changed")
+    return t.select("artist_id", "t")
+
+
+def impute_genres(track_artists: DataFrame, artists: DataFrame) -> DataFrame:
     """(artist_id, t, genres sorted) for every artist seen in the catalog or tracks;
     genres stay NULL when nothing propagates.
 
@@ -66,7 +60,7 @@ def impute_genres(track_artists: DataFrame, artists: DataFrame, max_rounds: int
     # loop-invariant inputs are written once; every round reads them back
     ta = cut_lineage(track_artists.select("track_id", "artist_id").distinct())
     artists = cut_lineage(artists.select("artist_id", "genres"))
-    t = arrival_times(ta, artists, max_rounds)
+    t = arrival_times(ta, artists)
     arrival = t.where(F.col("t") >= 0).select(F.col("t").alias("track_id")).distinct()
     src_kind = F.when(F.col("tb") < 0, F.lit("a")).otherwise(F.lit("t"))
     src_id = F.when(F.col("tb") < 0, F.col("artist_id").cast("string")).otherwise(F.col("tb").cast("string"))
@@ -81,7 +75,7 @@ def impute_genres(track_artists: DataFrame, artists: DataFrame, max_rounds: int
                           F.explode("genres").alias("genre")).distinct())
     union_rows = cut_lineage(own.limit(0).select(F.col("sid").cast("long").alias("track_id"), "genre"))
     done = 0
-    for _ in range(max_rounds):
+    while True:  # resolved tracks only grow
         known = own.unionByName(union_rows.select(F.lit("t").alias("kind"), F.col("track_id").cast("string").alias("sid"),
                                                   "genre"))
         ks = known.select("kind", "sid").distinct()
@@ -95,8 +89,6 @@ def impute_genres(track_artists: DataFrame, artists: DataFrame, max_rounds: int
         if m == done:
             break
         done = m
-    else:
-        raise RuntimeError(f"genre resolution did not converge in {max_rounds} rounds")
     per_track = union_rows.groupBy("track_id").agg(F.array_sort(F.collect_list("genre")).alias("ug"))
     base = artists.where(F.size("genres") > 0).select(
         "artist_id", F.array_sort(F.array_distinct("genres")).alias("g0"))

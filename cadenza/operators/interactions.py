@@ -6,10 +6,10 @@ The interaction table is ``(user_id, item_id, plays double)``, one row per pair.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.plans.ordering import attach_scalars, dense_ids, global_rank
+from cadenza.plans.ordering import attach_scalars, dense_ids
 from cadenza.session import cut_lineage
 
 # BM25 parameters used by the training pipeline.
@@ -42,7 +42,7 @@ def degrees(inter: DataFrame, key: str) -> DataFrame:
     return inter.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def pq_core(inter: DataFrame, user_min: int = 0, item_min: int = 0, max_rounds: int = 50) -> DataFrame:
+def pq_core(inter: DataFrame, user_min: int = 0, item_min: int = 0) -> DataFrame:
     """G1: bipartite (p, q)-core — drop users below ``user_min`` rows, then items
     below ``item_min``, until nothing changes. The core is unique, so the
     removal order does not matter. Each round is two partial aggregations and two
@@ -52,7 +52,7 @@ def pq_core(inter: DataFrame, user_min: int = 0, item_min: int = 0, max_rounds:
         return inter
     cur = cut_lineage(inter)
     n = cur.count()
-    for _ in range(max_rounds):
+    while True:  # every round but the last removes rows, so it ends
         if user_min > 0:
             keep = degrees(cur, "user_id").where(F.col("n") >= user_min).select("user_id")
             cur = cur.join(keep, "user_id", "left_semi")
@@ -64,7 +64,6 @@ def pq_core(inter: DataFrame, user_min: int = 0, item_min: int = 0, max_rounds:
         if m == n:
             return cur
         n = m
-    raise RuntimeError(f"pq_core did not converge in {max_rounds} rounds")
 
 
 def id_maps(named: DataFrame, user_col: str = "username", item_col: str = "artist") -> tuple[DataFrame, DataFrame]:
@@ -104,22 +103,48 @@ def split_approx(inter: DataFrame, val_ratio: float = 0.1, test_ratio: float = 0
         "split", F.when(u < 1.0 - val_ratio - test_ratio, "train").when(u < 1.0 - test_ratio, "val").otherwise("test"))
 
 
+#: Pairs are counted per leading bits of their hash; the two groups that hold the cuts are ranked.
+SPLIT_BITS = 16
+
+
 def split_exact(inter: DataFrame, val_ratio: float = 0.1, test_ratio: float = 0.1, seed: int = 42) -> DataFrame:
     """I2 (exact sizes): order pairs by (hash, user, item), then the first
     n - round(n·v) - round(n·t) rows are train, the next round(n·v) val, the rest
-    test; rounding half-even. The global order is a distributed range sort."""
+    test; rounding half-even.
+
+    No global sort: rows are counted per leading SPLIT_BITS of their hash (at most 2^16 counts). The hash prefix
+    decides the split of a row, unless the prefix holds one of the two cuts; only the
+    rows of these prefixes, about n / 2^16 each, are ranked."""
     _check_ratios(val_ratio, test_ratio)
-    h = inter.withColumn("__h", split_hash_col(seed))
-    ranked = global_rank(h, ["__h", "user_id", "item_id"], "__r")
-    n = ranked.agg(F.count(F.lit(1)).alias("__n"))  # from the checkpointed frame, not a recompute
-    sizes = n.select(
-        (F.col("__n") - F.bround(F.col("__n") * val_ratio, 0).cast("long")
-         - F.bround(F.col("__n") * test_ratio, 0).cast("long")).alias("__ntr"),
-        F.bround(F.col("__n") * val_ratio, 0).cast("long").alias("__nva"))
-    out = attach_scalars(ranked, sizes)
-    return (out.withColumn("split", F.when(F.col("__r") < F.col("__ntr"), "train")
-                           .when(F.col("__r") < F.col("__ntr") + F.col("__nva"), "val").otherwise("test"))
-               .drop("__h", "__r", "__ntr", "__nva"))
+    h = inter.withColumn("__h", split_hash_col(seed)).withColumn("__p", F.shiftright("__h", 32 - SPLIT_BITS))
+    counts = {r[0]: r[1] for r in h.groupBy("__p").count().collect()}  # at most 2^SPLIT_BITS rows
+    n = sum(counts.values())
+    val, test = round(n * val_ratio), round(n * test_ratio)
+    cuts = (n - val - test, n - test)  # first rows of val and of test
+    before, at = 0, []
+    for p in sorted(counts):
+        at += [(p, before)] * sum(before < c < before + counts[p] for c in set(cuts))
+        before += counts[p]
+    starts = dict(at)
+    # a prefix below a cut's is wholly before it
+    first, total = [1 << SPLIT_BITS] * 2, 0
+    for p in sorted(counts):
+        for k, c in enumerate(cuts):
+            if total >= c and first[k] == 1 << SPLIT_BITS:
+                first[k] = p
+        total += counts[p]
+    by_prefix = F.when(F.col("__p") < first[0], "train").when(F.col("__p") < first[1], "val").otherwise("test")
+    cols = [*inter.columns, "split"]
+    if not starts:
+        return h.withColumn("split", by_prefix).select(*cols)
+    w = Window.partitionBy("__p").orderBy("__h", "user_id", "item_id")
+    offset = F.lit(0)
+    for p, b in starts.items():
+        offset = F.when(F.col("__p") == p, b).otherwise(offset)
+    near = F.col("__p").isin(*starts)
+    ranked = h.where(near).withColumn("__r", F.row_number().over(w) - 1 + offset)
+    ranked = ranked.withColumn("split", F.when(F.col("__r") < cuts[0], "train").when(F.col("__r") < cuts[1], "val").otherwise("test"))
+    return h.where(~near).withColumn("split", by_prefix).select(*cols).unionByName(ranked.select(*cols))
 
 
 def split_of(splits: DataFrame, name: str) -> DataFrame:

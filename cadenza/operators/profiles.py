@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.functions.numeric import boolize, safe_double
+from cadenza.functions.numeric import boolize, safe_double, safe_numeric
 from cadenza.functions.text import genre_tokens, join_key
 
 TOPK_GENRES = 3
@@ -21,7 +21,7 @@ def item_features(items: DataFrame, numerics, categories, genre_col: str | None
     """Catalog columns coerced: categories by the boolize rule, numerics to
     numbers with 0 for failures, genre text NULL → ''."""
     it = boolize(items, categories)
-    it = it.withColumns({c: safe_double(c) for c in numerics})
+    it = safe_numeric(it, numerics)
     if genre_col:
         it = it.withColumn(genre_col, F.coalesce(F.col(genre_col), F.lit("")))
     return it

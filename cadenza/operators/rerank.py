@@ -18,7 +18,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.numeric import alpha_blend, safe_double
+from cadenza.functions.numeric import alpha_blend, number
 from cadenza.functions.vectors import pair_features
 from cadenza.operators.ranking import label_join, topn
 
@@ -50,7 +50,7 @@ def rerank_rows(cands: DataFrame, profiles: DataFrame, items: DataFrame, activit
                .join(activity, "user_id", "left"))
     base = ["als_score", "als_rank", "item_pop_users", "item_pop_plays", "user_seen_items", "user_total_plays",
             "user_mean_plays", "uf_explicit", *ucols, *icols]
-    df = df.withColumns({c: safe_double(c) if c in df.columns else F.lit(0.0) for c in base})
+    df = df.withColumns({c: number(df, c) if c in df.columns else F.lit(0.0) for c in base})
     df = df.withColumns(pair_features(ucols, icols))
     df = df.withColumns({
         "als_rank_inv": F.lit(1.0) / (F.lit(1.0) + F.col("als_rank")),

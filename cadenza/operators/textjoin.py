@@ -4,10 +4,11 @@
 lower(name) occurs in lower(text) — the same set a nested-loop ``contains``
 join gives, built as a q-gram index join:
 
-1. every text emits its q-grams with positions (linear in the text size);
+1. every text emits its q-grams with positions; those that a name has are shuffled, without the text;
 2. every name picks its *rarest* q-gram (by text frequency) and its offset —
    hot grams are never the join key of a name that has a rarer one;
-3. equi-join on the gram, then verify the full name at position − offset.
+3. equi-join on the gram, re-join the text by its id, and verify the full name at position − offset.
+   Names of white space alone match nothing.
 
 Names shorter than q use their whole text as the gram (their lengths form a set of
 at most q − 1 values, so the text side emits at most q grams per position).
@@ -21,33 +22,39 @@ from pyspark.sql import functions as F
 Q = 12
 
 
-def _grams(df: DataFrame, id_col: str, text_col: str, q: int, lengths) -> DataFrame:
+def _grams(df: DataFrame, id_col: str, text_col: str, lengths) -> DataFrame:
+    """(text id, position, gram) of every gram of the given lengths, from one read; the texts themselves stay behind."""
     t = df.select(F.col(id_col).alias("__tid"), F.lower(F.col(text_col)).alias("__t"))
-    out = None
-    for g in lengths:
-        e = (t.where(F.length("__t") >= g)
-              .select("__tid", "__t", F.explode(F.sequence(F.lit(1), F.length("__t") - g + 1)).alias("__pos"))
-              .select("__tid", "__t", "__pos", F.substring("__t", F.col("__pos"), g).alias("__gram")))
-        out = e if out is None else out.unionByName(e)
-    return out
+    def at(g):
+        return lambda p: F.struct(p.alias("__pos"), F.substring("__t", p, F.lit(g)).alias("__gram"))
+
+    one = [F.transform(F.sequence(F.lit(1), F.length("__t") - g + 1), at(g)) for g in lengths]
+    none = F.expr("cast(array() as array<struct<__pos: int, __gram: string>>)")
+    each = F.concat(*[F.when(F.length("__t") >= g, x).otherwise(none) for g, x in zip(lengths, one, strict=True)])
+    return t.select("__tid", F.explode(each).alias("__x")).select("__tid", "__x.*")
 
 
 def contains_join(names: DataFrame, texts: DataFrame, name_id: str = "name_id", name_col: str = "name",
                   text_id: str = "text_id", text_col: str = "text", q: int = Q) -> DataFrame:
     n = (names.select(F.col(name_id).alias("__nid"), F.lower(F.col(name_col)).alias("__n"))
-              .where(F.length("__n") > 0))
+              .where(F.length(F.trim("__n")) > 0))
     n = n.withColumn("__gl", F.least(F.length("__n"), F.lit(q)))
     # gram lengths in use: a set of at most q small integers (a bounded result)
     lengths = sorted(r[0] for r in n.select("__gl").distinct().collect())
     if not lengths:
         return names.sparkSession.createDataFrame([], f"{name_id} long, {text_id} long")
-    tg = _grams(texts, text_id, text_col, q, lengths)
-    freq = tg.groupBy("__gram").agg(F.count(F.lit(1)).alias("__f"))
     ng = (n.select("__nid", "__n", "__gl", F.explode(F.sequence(F.lit(0), F.length("__n") - F.col("__gl"))).alias("__off"))
            .withColumn("__gram", F.substring("__n", F.col("__off") + 1, F.col("__gl"))))
-    ng = ng.join(freq, "__gram", "left").fillna(0, ["__f"])
+    # only grams that some name has are shuffled, and counted
+    tg = _grams(texts, text_id, text_col, lengths).join(ng.select("__gram").distinct(), "__gram", "left_semi")
+    freq = tg.groupBy("__gram").agg(F.count(F.lit(1)).alias("__f"))
+    ng = ng.join(freq, "__gram")
+    # every gram of a name must occur in a text that holds it, so a name with a gram of no text has no match
+    whole = ng.groupBy("__nid").agg(F.count(F.lit(1)).alias("__have"))
     w = Window.partitionBy("__nid").orderBy(F.col("__f").asc(), F.col("__off").asc())
-    pick = ng.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").where(F.col("__f") > 0)
+    pick = ng.withColumn("__rn", F.row_number().over(w)).where("__rn = 1")
+    pick = pick.join(whole, "__nid").where(F.col("__have") == F.length("__n") - F.col("__gl") + 1)
     cand = pick.select("__nid", "__n", "__off", "__gram").join(tg, "__gram")
-    hit = cand.where(F.substring("__t", F.col("__pos") - F.col("__off"), F.length("__n")) == F.col("__n"))
+    t = texts.select(F.col(text_id).alias("__tid"), F.lower(F.col(text_col)).alias("__t"))
+    hit = cand.join(t, "__tid").where(F.substring("__t", F.col("__pos") - F.col("__off"), F.length("__n")) == F.col("__n"))
     return hit.select(F.col("__nid").alias(name_id), F.col("__tid").alias(text_id)).distinct()

@@ -16,7 +16,7 @@ from cadenza.plans import q_profiles as qp
 from cadenza.plans.registry import query, rounded
 from cadenza.sources import standins as st
 
-RR_N = 50
+RR_N = 200
 ALPHA = 0.5
 ALS_RANK, ALS_ITERS, ALS_ALPHA, ALS_REG = 16, 5, 10.0, 0.05
 

@@ -109,8 +109,9 @@ for _m in pl.CONTEXTS:
     query(f"context_playlist_{_m}", sql=_mode_sql(_m))(_mk(_m))
 
 
-@query("context_playlist_all_modes")
+@query("context_playlist_all_modes", sql=" UNION ALL ".join(
+    f"SELECT '{m}' AS mode, user_id, rank, track_id, mode_score FROM ({_mode_sql(m)})" for m in pl.CONTEXTS))
 def q_context_playlist_all_modes(spark, d):
-    """All five situations for all users in one plan (rows-only; each mode has its own oracle)."""
+    """All five situations for all users in one plan in one result."""
     out = pl.context_playlists(_scored(spark, d))
     return rounded(out.select("mode", "user_id", "rank", "track_id", "mode_score"), "mode_score")

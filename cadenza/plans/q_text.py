@@ -51,7 +51,7 @@ def _key_query(name, fn, sql_expr):
 
 
 _key_query("key_exact", tx.key_exact, "name")
-_key_query("key_basic", tx.key_basic, r"regexp_replace(lower(name), '^\s+|\s+$', '', 'g')")
+_key_query("key_basic", tx.key_basic, f"regexp_replace(lower(name), '^{tx.BLANKS}+|{tx.BLANKS}+$', '', 'g')")
 _key_query("key_loose", tx.key_loose, "regexp_replace(lower(strip_accents(name)), '[^a-z0-9]+', '', 'g')")
 _key_query("normalize_alnum", tx.normalize_alnum,
            r"regexp_replace(lower(strip_accents(name)), '[^\p{L}\p{N}]', '', 'g')")

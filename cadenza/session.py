@@ -18,6 +18,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CADENZA_DRIVER_MEMORY", "16g"))
@@ -66,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if cur:
         return cur
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not conf:
         conf = tempfile.mkdtemp(prefix="cadenza-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf)

@@ -27,11 +27,12 @@ def clean_columns(df: DataFrame) -> DataFrame:
 
 
 def read_any(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Parquet or CSV (with header) chosen by the suffix."""
+    """Parquet or CSV (with header) chosen by the suffix. A CSV without a schema is read as text: types never
+    depend on the data, and ``functions.numeric`` turns text into numbers."""
     if path.endswith(".parquet") or os.path.isdir(path) and not path.endswith(".csv"):
         return spark.read.parquet(path)
     r = spark.read.option("header", True).option("encoding", "UTF-8")
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
+    r = r.schema(schema) if schema is not None else r
     return clean_columns(r.csv(path))
 
 
@@ -47,10 +48,9 @@ def resolve(df: DataFrame, *aliases: str, fallback_position: int | None = None)
     return None
 
 
-def pick_existing(df: DataFrame, candidates) -> list[str]:
-    """Keep only the candidate columns present in ``df``, in candidate order."""
-    have = set(df.columns)
-    return [c for c in candidates if c in have]
+def present(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted columns that a table has, in the wanted order."""
+    return sorted(set(wanted).intersection(df.columns), key=wanted.index)
 
 
 def numeric_columns(df: DataFrame, exclude=()) -> list[str]:

@@ -24,14 +24,6 @@ def running_interactions(spark: SparkSession, log_dir: str, orders: DataFrame, s
                  .agg(F.sum("l_quantity").alias("plays")))
 
 
-def start_to_memory(df: DataFrame, name: str, checkpoint_location: str, available_now: bool = True) -> StreamingQuery:
-    """Run the aggregation into an in-process table ``name`` (complete mode)."""
-    w = df.writeStream.outputMode("complete").format("memory").queryName(name) \
-          .option("checkpointLocation", checkpoint_location)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
-
-
 def start_to_parquet(df: DataFrame, out_dir: str, checkpoint_location: str) -> StreamingQuery:
     """Each micro-batch rewrites the current totals (complete state) to parquet via
     ``foreachBatch`` — the idiom for a sink without complete mode."""

@@ -65,3 +65,21 @@ def test_dense_ids_follow_code_point_order(spark):
     assert [r.item_name for r in items.orderBy("item_id").collect()] == sorted(["Zed", "Ábc", "abc"])
     enc = it.encode_ids(named, users, items)
     assert enc.count() == 3
+
+
+def test_core_of_a_long_chain(spark):
+    """Peeling a path removes its ends only, layer by layer: more rounds than any fixed number."""
+    from cadenza.operators import interactions as it
+    path = [(k, k, 1.0) for k in range(30)] + [(k, k + 1, 1.0) for k in range(30)]
+    df = spark.createDataFrame(path, "user_id long, item_id long, plays double")
+    assert it.pq_core(df, 2, 2).count() == 0
+
+
+def test_split_sizes_and_order(spark):
+    from cadenza.operators import interactions as it
+    df = spark.createDataFrame([(u, i, 1.0) for u in range(37) for i in range(11)], "user_id long, item_id long, plays double")
+    rows = it.split_exact(df, 0.1, 0.2).withColumn("h", it.split_hash_col()).collect()
+    n = len(rows)
+    want = [r.split for r in sorted(rows, key=lambda r: (r.h, r.user_id, r.item_id))]
+    assert want == ["train"] * (n - round(n * 0.1) - round(n * 0.2)) + ["val"] * round(n * 0.1) + ["test"] * round(n * 0.2)
+    assert it.split_exact(df.limit(0), 0.1, 0.2).count() == 0

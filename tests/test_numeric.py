@@ -15,7 +15,7 @@ def test_boolize_whole_column_rule(spark):
 def test_safe_numeric(spark):
     df = spark.createDataFrame([("1.5",), ("abc",), (None,)], "c string")
     assert [r[0] for r in df.select(nf.safe_double("c")).collect()] == [1.5, 0.0, 0.0]
-    assert [r[0] for r in df.select(nf.safe_id("c")).collect()] == [-1, -1, -1]
+    assert [r[0] for r in df.select(nf.safe_id("c")).collect()] == [1, -1, -1]
 
 
 def test_weighted_mean(spark):
@@ -37,3 +37,17 @@ def test_alpha_blend(spark):
     df = spark.createDataFrame([(2.0, 0.4)], "r double, a double")
     for alpha, exp in [(0.5, 1.2), (1.7, 2.0), (0.0, 0.4)]:
         assert df.select(nf.alpha_blend("r", "a", alpha)).first()[0] == pytest.approx(exp)
+
+
+def test_ids_and_numbers_of_any_type(spark):
+    df = spark.createDataFrame([("3.0", 3.0), ("nan", float("nan")), ("9223372036854775807", None)], "c string, x double")
+    assert [r[0] for r in df.select(nf.safe_id("c")).collect()] == [3, -1, 9223372036854775807]
+    assert [r[0] for r in df.select(nf.safe_id("x")).collect()] == [3, -1, -1]
+    assert [r[0] for r in df.select(nf.safe_double("c")).collect()] == [3.0, 0.0, float(2**63)]
+    assert [r.x for r in nf.safe_numeric(df, ["x", "c"]).collect()] == [3.0, 0.0, 0.0]
+
+
+def test_boolize_keeps_numbers_and_booleans(spark):
+    df = spark.createDataFrame([(i, v, v > 0) for i, v in enumerate([0, 1, 1, 0, 1, 0, 0, 1, 5])], "i int, c int, b boolean")
+    got = nf.boolize(df, ["c", "b"]).orderBy("i").collect()
+    assert [r.c for r in got] == [0, 1, 1, 0, 1, 0, 0, 1, 5] and [r.b for r in got] == [0, 1, 1, 0, 1, 0, 0, 1, 1]

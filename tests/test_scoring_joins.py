@@ -70,3 +70,16 @@ def test_block_topk_agrees_with_mllib_recommend(spark):
     rec = model.recommendForUserSubset(u.select(F.col("id").cast("int").alias("user_id")), 5)
     theirs = {(x.user_id, y.item_id) for x in rec.collect() for y in x.recommendations}
     assert len(ours ^ theirs) <= 2  # float32 (MLlib) vs float64 (ours) may swap a near-tie at the cut
+
+
+def test_missing_pick_value_loses(spark):
+    from cadenza.operators import namejoin as nj
+    cat = spark.createDataFrame([("Air", 1, None), ("air", 2, 9.0), ("AIR", 3, 5.0)], "artist_name string, artist_id long, price double")
+    assert [r.artist_id for r in nj.catalog_means(cat, ["price"], "basic", False, "price").collect()] == [2]
+
+
+def test_blank_names_match_no_text(spark):
+    from cadenza.operators.textjoin import contains_join
+    names = spark.createDataFrame([(1, "   "), (2, ""), (3, "a b"), (4, "missing words here"), (5, "long enough name to have grams")], "name_id long, name string")
+    texts = spark.createDataFrame([(10, "x A B y"), (11, "   "), (12, None), (13, "a LONG enough name to have grams, twice: long enough name to have grams")], "text_id long, text string")
+    assert sorted(map(tuple, contains_join(names, texts).collect())) == [(3, 10), (5, 13)]

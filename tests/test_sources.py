@@ -36,7 +36,7 @@ def test_resolve_pick_require_numeric(spark):
     df = spark.createDataFrame([(1, "a", 2.0)], "ID long, Artist_Name string, tempo double")
     assert tb.resolve(df, "artist", "artist_name") == "Artist_Name"
     assert tb.resolve(df, "nope", fallback_position=1) == "Artist_Name"
-    assert tb.pick_existing(df, ["tempo", "valence", "ID"]) == ["tempo", "ID"]
+    assert tb.present(df, "tempo", "valence", "ID") == ["tempo", "ID"]
     assert tb.numeric_columns(df, exclude=["ID"]) == ["tempo"]
     with pytest.raises(ValueError):
         tb.require(df, ["ID", "valence"])

@@ -2,7 +2,7 @@ import os
 import tempfile
 
 from cadenza.sources import standins as st
-from cadenza.streaming import running_interactions, start_to_memory
+from cadenza.streaming import running_interactions, start_to_parquet
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -17,10 +17,10 @@ def test_streaming_totals_equal_batch(spark):
     files = os.path.join(scratch, "flat")
     spark.read.parquet(os.path.join(src, "part0"), os.path.join(src, "part1")).write.parquet(files)
     orders = spark.read.parquet(f"{SMALL}/orders.parquet")
-    q = start_to_memory(running_interactions(spark, files, orders, li.schema), "inter_stream",
-                        os.path.join(scratch, "ckpt"))
+    out = os.path.join(scratch, "totals")
+    q = start_to_parquet(running_interactions(spark, files, orders, li.schema), out, os.path.join(scratch, "ckpt"))
     q.awaitTermination()
-    got = spark.table("inter_stream")
+    got = spark.read.parquet(out)
     exp = st.interactions(spark, SMALL)
     assert got.count() == exp.count()
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0

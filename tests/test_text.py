@@ -37,3 +37,13 @@ def test_primary_and_genre_tokens(spark):
 def test_join_top(spark):
     df = spark.createDataFrame([(["a", "b", "c", "d"],)], "g array<string>")
     assert df.select(tx.join_top(F.col("g"), 3)).first()[0] == "a,b,c"
+
+
+def test_lists_with_none_and_tuples(spark):
+    vals = ['["a, b", None]', "('a','b')", "['a', null]", "['rock', None]", "('solo',)", "[None]", "['None', \"it's\"]"]
+    assert _one(spark, vals, tx.parse_list) == [["a, b"], ["a", "b"], ["a"], ["rock"], ["solo"], [], ["None", "it's"]]
+    assert _one(spark, ["['rock', None]", "['a', null]"], tx.genre_tokens) == [["rock"], ["a"]]
+
+
+def test_unicode_blanks_are_trimmed(spark):
+    assert _one(spark, ["　Air ", "  x y \x1c"], tx.key_basic) == ["air", "x y"]
