@@ -37,6 +37,10 @@ def label_join(cands: DataFrame, truth: DataFrame, label_col: str = "label") ->
         label_col, F.coalesce(F.col("__t"), F.lit(0)).cast("long")).drop("__t")
 
 
+#: Copies of the items beyond level 0, so that one level is no hot key.
+LEVEL_SALTS = 16
+
+
 def topn_unseen_by_item_score(users: DataFrame, seen: DataFrame, item_scores: DataFrame, n: int,
                               score_col: str = "score") -> DataFrame:
     """Exact top-``n`` unseen items per user when the score depends on the item only
@@ -46,7 +50,7 @@ def topn_unseen_by_item_score(users: DataFrame, seen: DataFrame, item_scores: Da
     needs ranks r < n + m. Ranks are grouped in geometric levels
     [n(2^k − 1), n(2^{k+1} − 1)); a user explodes O(log(m/n)) level ids and equi-joins
     them, so the rows produced per user are at most 2(n + m): linear in the input,
-    no cap on candidates, and the hot level 0 is split by AQE's skew join.
+    no cap on candidates.
     """
     ranked = global_rank(item_scores.select("item_id", score_col),
                          [F.col(score_col).desc(), F.col("item_id").asc()], "__ir")
@@ -60,8 +64,13 @@ def topn_unseen_by_item_score(users: DataFrame, seen: DataFrame, item_scores: Da
     # prune the item side to ranks some user can need (< max limit): a one-row bound
     bound = u.agg(F.max("__lim").alias("__maxlim"))
     ranked = attach_scalars(ranked, bound).where(F.col("__ir") < F.col("__maxlim")).drop("__maxlim")
-    cand = (u.join(ranked, "__lvl").where(F.col("__ir") < F.col("__lim"))
-             .select("user_id", "item_id", score_col))
+    # every user needs level 0, which has at most n items; few need more, and those are spread by salts
+    low = u.where("__lvl = 0").join(F.broadcast(ranked.where("__lvl = 0")), "__lvl")
+    salted = u.where("__lvl > 0").withColumn("__salt", F.pmod(F.xxhash64("user_id"), F.lit(LEVEL_SALTS)).cast("int"))
+    spread = ranked.where("__lvl > 0").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(LEVEL_SALTS - 1))))
+    high = salted.join(spread, ["__lvl", "__salt"])
+    cand = low.select("user_id", "item_id", score_col, "__ir", "__lim").unionByName(high.select("user_id", "item_id", score_col, "__ir", "__lim"))
+    cand = cand.where(F.col("__ir") < F.col("__lim")).select("user_id", "item_id", score_col)
     return topn(unseen(cand, seen), score_col, n)
 
 

@@ -1,5 +1,5 @@
 """Second stage: the rerank feature table, LambdaRank, prediction and blend
-(J5, J6, J17, V3, V4, N5–N7, N10, N14, M4–M7, O3, S12, W8).
+(J5, J6, J17, V3, V4, N5–N7, N10, N14, M4–M7, S12, W8).
 
 Feature rows are candidates ⟕ user profiles ⟕ item features ⟕ user activity —
 one builder for training and inference. Per-user lists are bounded by the
@@ -9,12 +9,14 @@ bounded by N² inside one Arrow-batched pandas group, never emitted as rows.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor
+from pyspark.ml.regression import DecisionTreeRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,13 +88,15 @@ def lambda_gradients(rows: DataFrame, score_col: str = "score", label_col: str =
         h = np.zeros(n)
         if max_dcg > 0:
             gain = np.power(2.0, lab)
-            better = lab[:, None] > lab[None, :]
-            rho = 1.0 / (1.0 + np.exp(sigma * (s[:, None] - s[None, :])))
-            delta = np.abs(gain[:, None] - gain[None, :]) * np.abs(disc[:, None] - disc[None, :]) / max_dcg
-            w = np.where(better, sigma * rho * delta, 0.0)
-            hw = np.where(better, sigma * sigma * rho * (1.0 - rho) * delta, 0.0)
-            g = -w.sum(axis=1) + w.sum(axis=0)
-            h = hw.sum(axis=1) + hw.sum(axis=0)
+            for level in np.unique(lab)[1:]:  # rows of each label against those below it
+                up, low = np.flatnonzero(lab == level), np.flatnonzero(lab < level)
+                rho = 1.0 / (1.0 + np.exp(sigma * (s[up, None] - s[None, low])))
+                delta = np.abs(gain[up, None] - gain[None, low]) * np.abs(disc[up, None] - disc[None, low]) / max_dcg
+                w, hw = sigma * rho * delta, sigma * sigma * rho * (1.0 - rho) * delta
+                g[up] -= w.sum(axis=1)
+                g[low] += w.sum(axis=0)
+                h[up] += hw.sum(axis=1)
+                h[low] += hw.sum(axis=0)
         return pd.DataFrame({"user_id": pdf["user_id"], "item_id": pdf["item_id"], "grad": g, "hess": h})
 
     schema = f"user_id {dict(rows.dtypes)['user_id']}, item_id long, grad double, hess double"
@@ -111,51 +115,95 @@ def fit_pointwise(train: DataFrame, features=FEATURES, seed: int = 42, max_iter:
 
 
 class LambdaMART:
-    """Boosting with λ-gradients — each round fits a regression tree to −g,
-    sets Newton leaf values Σ(−g)/Σh by a group-by on the tree's leaf id, and adds
-    lr × leaf value to the scores. Trees and leaf tables are kept for prediction."""
-
-    def __init__(self, features=FEATURES, rounds: int = 10, depth: int = 4, lr: float = 0.1, seed: int = 42,
-                 min_leaf: int = 50, l2: float = 1.0):
-        self.features, self.rounds, self.depth, self.lr = list(features), rounds, depth, lr
-        self.seed, self.min_leaf, self.l2 = seed, min_leaf, l2
+    """Boosting with λ-gradients. Each round fits a regression tree to −g on a sample of rows and
+    features, sets Newton leaf values Σ(−g)/Σh, and adds lr × leaf value to the scores. With a
+    validation table the mean NDCG@k is measured every round, training stops after ``patience`` rounds
+    without a better one, and prediction uses the best round's trees. Leaf values (at most 2^depth a
+    tree) are literals, so prediction is one projection."""
+
+    def __init__(self, features=FEATURES, rounds: int = 2000, depth: int = 5, lr: float = 0.05, seed: int = 42, min_leaf: int = 50,
+                 l2: float = 1.0, rows_share: float = 0.9, features_share: float = 0.9, patience: int = 100, k: int = 10):
+        self.params = {"rounds": rounds, "depth": depth, "lr": lr, "seed": seed, "min_leaf": min_leaf, "l2": l2,
+                       "rows_share": rows_share, "features_share": features_share, "patience": patience, "k": k}
+        self.features = list(features)
         self.trees: list = []
-        self.leaves: list[DataFrame] = []
+        self.leaves: list[list[float]] = []
+        self.history: list[float] = []
+        self.best = 0
 
     def _assemble(self, df: DataFrame) -> DataFrame:
         return VectorAssembler(inputCols=self.features, outputCol="features", handleInvalid="keep").transform(df)
 
-    def fit(self, rows: DataFrame) -> "LambdaMART":
+    def _add(self, df: DataFrame, k: int, score: str) -> DataFrame:
+        """``score`` after one more tree."""
+        values = F.array(*[F.lit(self.params["lr"] * x) for x in self.leaves[k]])
+        tree = self.trees[k].setLeafCol("__leaf").setPredictionCol("__p")
+        return tree.transform(df).withColumn(score, F.col(score) + values[F.col("__leaf").cast("int")]).drop("__leaf", "__p")
+
+    def fit(self, rows: DataFrame, valid: DataFrame | None = None) -> "LambdaMART":
+        from cadenza.operators.evaluate import per_user_list
         from cadenza.session import cut_lineage
-        data = cut_lineage(self._assemble(rows).withColumn("score", F.lit(0.0)))
-        for r in range(self.rounds):
+        p = self.params
+        data = self._assemble(rows).withColumn("score", F.lit(0.0))
+        data = cut_lineage(data.select("user_id", "item_id", "label", "features", "score"))
+        if valid is not None:
+            valid = self._assemble(valid).withColumn("score", F.lit(0.0))
+            valid = cut_lineage(valid.select("user_id", "item_id", "label", "features", "score"))
+        for r in range(p["rounds"]):
             lg = lambda_gradients(data, "score", "label")
-            # the tree makes several passes over its input: materialise the round's
-            # targets once instead of re-running the λ step per pass
+            # the tree makes several passes over its input: the round's targets are written once
             d = cut_lineage(data.join(lg, ["user_id", "item_id"]).withColumn("target", -F.col("grad")))
-            tree = DecisionTreeRegressor(featuresCol="features", labelCol="target", maxDepth=self.depth,
-                                         minInstancesPerNode=self.min_leaf, seed=self.seed + r,
-                                         leafCol="leaf").fit(d)
-            leafed = tree.transform(d)
-            leaf = leafed.groupBy("leaf").agg(
-                (F.sum("target") / (F.sum("hess") + F.lit(self.l2))).alias("value"))
+            forest = RandomForestRegressor(featuresCol="features", labelCol="target", numTrees=1, maxDepth=p["depth"], minInstancesPerNode=p["min_leaf"],
+                                           subsamplingRate=p["rows_share"], featureSubsetStrategy=str(p["features_share"]), bootstrap=False, seed=p["seed"] + r)
+            tree = forest.fit(d).trees[0]
+            leafed = tree.setLeafCol("__leaf").setPredictionCol("__p").transform(d)
+            values = leafed.groupBy("__leaf").agg((F.sum("target") / (F.sum("hess") + F.lit(p["l2"]))).alias("v")).collect()  # at most 2^depth
+            table = {int(x["__leaf"]): float(x["v"]) for x in values}
             self.trees.append(tree)
-            self.leaves.append(cut_lineage(leaf))
-            data = cut_lineage(
-                leafed.join(F.broadcast(self.leaves[-1]), "leaf", "left")  # ≤ 2^depth rows
-                      .withColumn("score", F.col("score") + self.lr * F.coalesce(F.col("value"), F.lit(0.0)))
-                      .select(*rows.columns, "features", "score"))
+            self.leaves.append([table.get(i, 0.0) for i in range(max(table, default=0) + 1)])
+            data = self._add(d, r, "score").drop("grad", "hess", "target")
+            if valid is not None:
+                valid = cut_lineage(self._add(valid, r, "score"))
+                self.history.append(per_user_list(valid, p["k"]).agg(F.avg("ndcg")).first()[0] or 0.0)
+                if self.history[-1] > self.history[self.best - 1] or not self.best:
+                    self.best = r + 1
+                if r + 1 - self.best >= p["patience"]:
+                    break
+            else:
+                self.best = r + 1
         return self
 
     def predict(self, rows: DataFrame, out_col: str = "ranker_score") -> DataFrame:
         d = self._assemble(rows).withColumn(out_col, F.lit(0.0))
-        for tree, leaf in zip(self.trees, self.leaves):
-            d = (tree.setLeafCol("leaf").setPredictionCol("__p").transform(d)
-                     .join(F.broadcast(leaf), "leaf", "left")
-                     .withColumn(out_col, F.col(out_col) + self.lr * F.coalesce(F.col("value"), F.lit(0.0)))
-                     .drop("leaf", "value", "__p"))
+        for k in range(self.best):
+            values = self.leaves[k] + [0.0] * (self.trees[k].numNodes - len(self.leaves[k]))
+            self.leaves[k] = values  # leaves that no training row reached
+            d = self._add(d, k, out_col)
         return d.drop("features")
 
+    def importance(self, spark) -> DataFrame:
+        """M6: per feature the mean normalised gain over the trees in use, largest first."""
+        gains = np.zeros(len(self.features))
+        for tree in self.trees[:self.best]:
+            gains += tree.featureImportances.toArray()
+        rows = [(f, float(g) / max(1, self.best)) for f, g in zip(self.features, gains, strict=True)]
+        return spark.createDataFrame(rows, "feature string, gain double").orderBy(F.col("gain").desc(), F.col("feature").asc())
+
+    def save(self, spark, path: str) -> None:
+        """The trees, and one row with parameters, features, leaf values and the best round."""
+        state = {"params": self.params, "features": self.features, "leaves": self.leaves, "history": self.history, "best": self.best}
+        for k, tree in enumerate(self.trees):
+            tree.write().overwrite().save(f"{path}/tree-{k}")
+        spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/state")
+
+    @classmethod
+    def load(cls, spark, path: str) -> "LambdaMART":
+        state = json.loads(spark.read.text(f"{path}/state").first()[0])
+        m = cls(state["features"], **state["params"])
+        m.leaves, m.history, m.best = state["leaves"], state["history"], state["best"]
+        m.trees = [DecisionTreeRegressionModel.load(f"{path}/tree-{k}") for k in range(len(m.leaves))]
+        return m
+
 
 def feature_importance(model, features=FEATURES) -> DataFrame:
     """M6: gain-based importances of the last pipeline stage joined to the names,
@@ -173,12 +221,6 @@ def blend_topk(scored: DataFrame, alpha: float, k: int) -> DataFrame:
     return topn(b, "final_score", k).select("user_id", "item_id", "final_score", "ranker_score", "als_score", "rank")
 
 
-def group_ordered(rows: DataFrame, score_col: str = "als_score") -> DataFrame:
-    """O3: rows clustered by user and ordered inside each partition — the layout a
-    group-wise ranker consumes (no global sort)."""
-    return rows.repartition("user_id").sortWithinPartitions("user_id", F.col(score_col).desc(), "item_id")
-
-
 def save_ranker(model, path: str) -> None:
     """The PipelineModel carries the assembler, hence the feature list."""
     model.write().overwrite().save(path)

