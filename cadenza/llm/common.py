@@ -12,6 +12,7 @@ from cadenza.session import cut_lineage
 BROADCAST_ROWS = 200_000
 #: Keys with more than 1/HEAVY of all rows count as heavy; there are at most HEAVY of them.
 HEAVY = 1000
+ROWS_PER_TASK = 50_000
 #: Words of the contracts: runs of ASCII letters, digits and all non-ASCII characters.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same words in a text that is not lower-cased.
@@ -80,6 +81,12 @@ def join_counted(left: DataFrame, groups: DataFrame, keys: list[str], count: str
     return a.unionByName(b)
 
 
+def cut_sized(df: DataFrame, rows: int) -> DataFrame:
+    """A checkpoint of a table of about so many rows, in partitions of ROWS_PER_TASK: rounds over small tables
+    then need few tasks, whatever the session's number of shuffle partitions."""
+    return cut_lineage(df.coalesce(max(1, -(-rows // ROWS_PER_TASK))))
+
+
 def same(a: DataFrame, b: DataFrame, *cols: str) -> Column:
     """Null-safe equality on columns that both sides have."""
     cond = a[cols[0]].eqNullSafe(b[cols[0]])
@@ -110,21 +117,23 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternating large-star and small-star steps: each round links every node to the least node
     of its neighbourhood, which needs a logarithmic number of rounds. Minima are combined map-side, the join on a
     hub is one that AQE splits, and each round is cut by a reliable checkpoint."""
-    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
-    e = cut_lineage(e)
+    e = cut_lineage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
+    mark = [F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
+    was = e.agg(*mark).first()
+    rows = was[0]  # contraction replaces links, it adds none
     while True:
         # large star: neighbours above a node hang on the least of its neighbourhood
         n = e.union(e.select(F.col("v"), F.col("u")))
         m = n.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         big = n.join(m, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         # small star: a node and its smaller neighbours hang on the least of them
-        big = cut_lineage(big)
+        big = cut_sized(big, rows)
         m = big.groupBy("u").agg(F.min("v").alias("m"))
         rest = big.join(m, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        nxt = cut_lineage(rest.union(m.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        was, now = (x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (e, nxt))
+        e = cut_sized(rest.union(m.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), rows)
+        now = e.agg(*mark).first()
         if was == now:
             break
-        e = nxt
+        was = now
     roots = e.select("v").distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots.select("v", F.col("v")))

@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cadenza.llm.common import components, drop_rows, join_counted, maybe_broadcast
+from cadenza.llm.common import components, cut_sized, drop_rows, join_counted, maybe_broadcast
 from cadenza.session import cut_lineage
 
 SHINGLE = 5
@@ -195,6 +195,7 @@ def labelled(sets: DataFrame) -> DataFrame:
     """(node, label) of the components of the full join, for the sets that have links."""
     sizes = (F.col("n_a") * 100 >= F.col("n_b") * PERCENT) & (F.col("n_b") * 100 >= F.col("n_a") * PERCENT)
     home = _regions(sets)
+    rows = home.count()
     members = home.withColumns({"label": F.col("cid"), "d": F.lit(0.0)})
     labels, past = None, None
     while True:
@@ -202,18 +203,18 @@ def labelled(sets: DataFrame) -> DataFrame:
         by = members.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"), F.min("cid").alias("first"))
         regions = by.groupBy("token").agg((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs"), F.sum("k").alias("members"),
                                           F.min(F.struct("label", "first"))["first"].alias("first"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
-        regions = cut_lineage(regions)
+        regions = cut_sized(regions, rows)
         left, size = regions.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum("members"), F.lit(0))).first()
         if not left or past is not None and (left <= 2 * PAIRS_PER_MEMBER * size or left >= past):
             break
         past = left
-        members = cut_lineage(members.drop("d").join(regions.select("token", "first"), "token"))
+        members = cut_sized(members.drop("d").join(regions.select("token", "first"), "token"), rows)
         got = _compared(members.filter("cid <> first").select(F.col("cid").alias("a"), F.col("first").alias("b")).distinct(), sets)
         labels = _merged(labels, _linked(got))
         distance = 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))
         members = members.drop("label").join(got.select(F.col("a").alias("cid"), F.col("b").alias("first"), distance.alias("d")), ["cid", "first"], "left")
         members = members.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-        members = cut_lineage(members.select("token", "cid", "n", F.coalesce("label", "cid").alias("label"), F.coalesce("d", F.lit(0.0)).alias("d")))
+        members = cut_sized(members.select("token", "cid", "n", F.coalesce("label", "cid").alias("label"), F.coalesce("d", F.lit(0.0)).alias("d")), rows)
     if left:
         wide = members.join(regions.select("token"), "token", "left_semi")
         x, y = (wide.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "label", "d")]) for s in ("a", "b"))
