@@ -138,8 +138,8 @@ def _sets(docs: DataFrame, points: DataFrame, thin: DataFrame, id_col: str, text
     d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     d = d.join(rep, d["id"].eqNullSafe(rep["rid"]) & (d["th"] == rep["rth"]), "left_semi").select("text")
     s = d.mapInArrow(run, "key binary, n long, s binary")
-    s = cut_lineage(s.groupBy("key").agg(F.first("n").alias("n"), F.first("s").alias("s")))
-    return cut_lineage(s.withColumn("cid", F.monotonically_increasing_id()))
+    s = s.groupBy("key").agg(F.first("n").alias("n"), F.first("s").alias("s"))
+    return cut_lineage(s.withColumn("cid", F.monotonically_increasing_id()))  # the checkpoint fixes the ids
 
 
 def _regions(sets: DataFrame) -> DataFrame:

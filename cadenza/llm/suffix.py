@@ -80,24 +80,32 @@ def runs(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def suffix_order(t: np.ndarray, depth: int = LENGTH) -> np.ndarray:
-    """Suffixes in the order of their first ``depth`` bytes at least, by two-stage sorting."""
+def suffix_order(t: np.ndarray, depth: int = LENGTH, need: np.ndarray | None = None) -> np.ndarray:
+    """Suffixes in the order of their first ``depth`` bytes at least, by two-stage sorting. ``need`` marks those that are wanted; the
+    result has them and the ones that they are induced from."""
     n = len(t)
     step = np.diff(t.astype(np.int16))
     decided = np.where(np.append(step != 0, True), np.arange(n), n)  # where a run of equal bytes ends
     ends = np.minimum.accumulate(decided[::-1])[::-1]
     smaller = np.append(step > 0, False)[ends]  # suffixes smaller than their successors; the last one is not
-    order = _direct(t, np.flatnonzero(smaller), depth)
+    if need is None:
+        need = np.ones(n, bool)
+    else:  # a larger suffix needs its successors up to the next smaller one
+        at = np.flatnonzero(need)
+        sure = np.minimum.accumulate(np.where(smaller, np.arange(n), n - 1)[::-1])[::-1]
+        need = np.cumsum(np.bincount(at, minlength=n + 1) - np.bincount(sure[at] + 1, minlength=n + 1))[:n] > 0
+    order = _direct(t, np.flatnonzero(smaller & need), depth)
     firsts = t[order]
     s_cut = np.searchsorted(firsts, np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
-    waiting[t[-1]].append(np.array([n - 1]))  # follows the empty suffix
+    if need[-1]:
+        waiting[t[-1]].append(np.array([n - 1]))  # follows the empty suffix
     out = []
 
     def hand_on(done):
         """Larger predecessors of sorted suffixes, in the same order, to their own buckets."""
         before = done[done > 0] - 1
-        before = before[~smaller[before]]
+        before = before[~smaller[before] & need[before]]
         if not len(before):
             return
         c = t[before]
@@ -118,7 +126,7 @@ def suffix_order(t: np.ndarray, depth: int = LENGTH) -> np.ndarray:
         if len(part):
             out.append(part)
             hand_on(part)
-    return np.concatenate(out)
+    return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
 def _direct(t: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
@@ -160,7 +168,7 @@ def matched_starts(fragments: list[bytes], length: int = LENGTH) -> list[np.ndar
     valid = np.zeros(len(t), bool)
     for b, s in zip(begin, sizes, strict=True):
         valid[b:b + s - length + 1] = True
-    order = suffix_order(t, length)
+    order = suffix_order(t, length, valid)
     order = order[valid[order]]
     w = _words(t)
     alike = np.arange(len(order) - 1)  # neighbours with a common prefix so far
