@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import string
+import uuid
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cadenza.session import cut_lineage
+from cadenza.session import cut_lineage, ensure_checkpoint_dir
 
 #: Explicit broadcasts hold at most so many rows; beyond that each operator shuffles instead.
 BROADCAST_ROWS = 200_000
@@ -81,6 +82,13 @@ def join_counted(left: DataFrame, groups: DataFrame, keys: list[str], count: str
     return a.unionByName(b)
 
 
+def cut_table(df: DataFrame) -> DataFrame:
+    """A large intermediate table written as Parquet in the shared folder, which takes less room than a checkpoint, and read again."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut_sized(df: DataFrame, rows: int) -> DataFrame:
     """A checkpoint of a table of about so many rows, in partitions of ROWS_PER_TASK: rounds over small tables
     then need few tasks, whatever the session's number of shuffle partitions."""

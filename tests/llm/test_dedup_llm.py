@@ -114,9 +114,7 @@ def near_rows(invented):
     return rows
 
 
-@pytest.mark.parametrize("worth", [jaccard.PAIRS_PER_MEMBER, 0])
-def test_jaccard_components(spark, docs, rows, invented, monkeypatch, worth):
-    monkeypatch.setattr(jaccard, "PAIRS_PER_MEMBER", worth)
+def test_jaccard_components(spark, docs, rows, invented):
     more = near_rows(invented)
     all_ = docs.unionByName(spark.createDataFrame([(*r, "a", "b", None, 0.5) for r in more], docs.schema))
     got = Counter((r["id"], r["n_shingles"], r["component_id"]) for r in jaccard.components_of(all_).collect())
