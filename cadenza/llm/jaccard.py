@@ -10,7 +10,7 @@ sets are one point. The join proceeds by regions around pivots:
 2. *Regions.* Among the rest, shingles are ordered by how many documents hold them, rarest first. A document's home is the
    region of its first shingle, and it is replicated to the regions of its whole window for l = 1; shingles that no
    other document holds need no region. Every linked pair meets in a region.
-3. *Pivot rounds.* Each region takes a document as pivot, and every member is compared with it: linear in the region. Links
+3. *Pivot rounds.* Each region takes a document as pivot, and every member whose size allows a link is compared with it: linear in the region. Links
    merge into components, and only pairs from different components are of interest afterwards. While the pairs left
    would be many more than the members, and the last round found links, regions take another pivot: the first member
    that is not yet in the component of an earlier one.
@@ -193,33 +193,35 @@ def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
 
 def labelled(sets: DataFrame) -> DataFrame:
     """(node, label) of the components of the full join, for the sets that have links."""
-    sizes = (F.col("n_a") * 100 >= F.col("n_b") * PERCENT) & (F.col("n_b") * 100 >= F.col("n_a") * PERCENT)
+    def sizes(a, b):  # linked sets are of similar sizes
+        return (F.col(a) * 100 >= F.col(b) * PERCENT) & (F.col(b) * 100 >= F.col(a) * PERCENT)
+
     home = _regions(sets)
     rows = home.count()
     members = home.withColumns({"label": F.col("cid"), "d": F.lit(0.0)})
     labels, past = None, None
     while True:
         # regions whose members are in different components, and the pairs left in them
-        by = members.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"), F.min("cid").alias("first"))
+        by = members.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("cid", "n")).alias("first"))
         regions = by.groupBy("token").agg((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs"), F.sum("k").alias("members"),
-                                          F.min(F.struct("label", "first"))["first"].alias("first"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
-        regions = cut_sized(regions, rows)
+                                          F.min(F.struct("label", "first"))["first"].alias("p"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+        regions = cut_sized(regions.select("token", "pairs", "members", F.col("p.cid").alias("first"), F.col("p.n").alias("n_first")), rows)
         left, size = regions.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum("members"), F.lit(0))).first()
         if not left or past is not None and (left <= 2 * PAIRS_PER_MEMBER * size or left >= past):
             break
         past = left
-        members = cut_sized(members.drop("d").join(regions.select("token", "first"), "token"), rows)
-        got = _compared(members.filter("cid <> first").select(F.col("cid").alias("a"), F.col("first").alias("b")).distinct(), sets)
+        members = cut_sized(members.drop("d").join(regions.select("token", "first", "n_first"), "token"), rows)
+        got = _compared(members.filter((F.col("cid") != F.col("first")) & sizes("n", "n_first")).select(F.col("cid").alias("a"), F.col("first").alias("b")).distinct(), sets)
         labels = _merged(labels, _linked(got))
         distance = 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))
         members = members.drop("label").join(got.select(F.col("a").alias("cid"), F.col("b").alias("first"), distance.alias("d")), ["cid", "first"], "left")
         members = members.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-        members = cut_sized(members.select("token", "cid", "n", F.coalesce("label", "cid").alias("label"), F.coalesce("d", F.lit(0.0)).alias("d")), rows)
+        members = cut_sized(members.select("token", "cid", "n", F.coalesce("label", "cid").alias("label"), F.when(F.col("cid") == F.col("first"), 0.0).otherwise(F.col("d")).alias("d")), rows)
     if left:
         wide = members.join(regions.select("token"), "token", "left_semi")
         x, y = (wide.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "label", "d")]) for s in ("a", "b"))
-        window = F.abs(F.col("d_a") - F.col("d_b")) * 100 <= 100 - PERCENT + 1e-6
-        pairs = x.join(y, "token").filter((F.col("cid_a") < F.col("cid_b")) & (F.col("label_a") != F.col("label_b")) & sizes & window)
+        window = F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) * 100 <= 100 - PERCENT + 1e-6, F.lit(True))  # unknown beyond the sizes
+        pairs = x.join(y, "token").filter((F.col("cid_a") < F.col("cid_b")) & (F.col("label_a") != F.col("label_b")) & sizes("n_a", "n_b") & window)
         pairs = cut_lineage(pairs.select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct())
         labels = _merged(labels, _linked(_compared(pairs, sets)))
     return labels if labels is not None else home.select(F.col("cid").alias("node"), F.col("cid").alias("label")).limit(0)
