@@ -156,3 +156,42 @@ def test_signatures_agree_inside_repeats(invented):
     for h in (a, b):  # every window's minima are in the run that the signatures say
         v = windows._mix(h[None, :] ^ windows._SEEDS)
         assert len(windows.signatures(h)[0]) >= windows.HASHES // 2 and v.shape[0] == windows.HASHES
+
+
+def edited_families(invented):
+    """Families of three texts: t is near base and u is near t, but u is not near base."""
+    out = []
+    for seed in range(500, 540):
+        base = invented(seed, 200)
+        t = [f"t{seed}x{i}" if i % 40 == 20 else w for i, w in enumerate(base)]
+        u = [f"u{seed}x{i}" if i % 40 == 0 else w for i, w in enumerate(t)]
+        out.append([" ".join(w) for w in (base, t, u)])
+    return out
+
+
+def test_passages_that_match_a_covered_text_only(spark, invented):
+    """Every text that shares a signature with a near one is found, whatever became of the near one before; the others are the search's loss."""
+    want, near = set(), set()
+    for k, family in enumerate(edited_families(invented)):
+        h = [windows.shingles(x) for x in family]
+        keys = [set(windows.signatures(x)[0].tolist()) for x in h]
+        assert windows.passages(h[1], h[0]) and windows.passages(h[2], h[1]) and not windows.passages(h[2], h[0])
+        for i, j in ((0, 1), (1, 2)):
+            near |= {10 * k + i, 10 * k + j}
+            if keys[i] & keys[j]:
+                want |= {10 * k + i, 10 * k + j}
+    rows = [(10 * k + i, x) for k, f in enumerate(edited_families(invented)) for i, x in enumerate(f)]
+    got = {r["id"] for r in windows.near_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want and len(got) >= 0.9 * len(near)
+
+
+def test_search_meets_every_text_of_a_signature(spark, monkeypatch):
+    """Each open window meets all texts of its signature, also when rounds verify nothing."""
+    met, real = set(), windows._verified
+    monkeypatch.setattr(windows, "_verified", lambda pairs, texts: (met.update((r["a"], r["b"]) for r in pairs.collect()), real(pairs, texts))[1])
+    ids = [int(x) for x in np.random.RandomState(8).randint(-2**63, 2**63 - 1, size=20)]
+    texts = spark.createDataFrame([(i, f"no passage {i}") for i in ids], "th long, text string")
+    spread = spark.createDataFrame([(k, i, 0) for k in (1, 2) for i in ids[10 * k - 10:10 * k + 5]], "key long, th long, lo int")
+    assert windows._search(spread, texts).count() == 0
+    groups = [set(ids[:15]), set(ids[10:])]
+    assert met == {(a, b) for g in groups for a in g for b in g if a > b}
