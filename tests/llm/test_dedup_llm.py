@@ -195,3 +195,29 @@ def test_search_meets_every_text_of_a_signature(spark, monkeypatch):
     assert windows._search(spread, texts).count() == 0
     groups = [set(ids[:15]), set(ids[10:])]
     assert met == {(a, b) for g in groups for a in g for b in g if a > b}
+
+
+def test_passages_whose_parts_stand_elsewhere_too(invented):
+    shared = invented(600, 60)
+    edited = [w if i != 40 else "edited" for i, w in enumerate(shared)]
+    a = invented(601, 50) + shared + invented(602, 50)
+    n = 60 - windows.SHINGLE + 1
+    for other in (shared, edited):  # the first half stands 20 words before the passage, too
+        b = invented(603, 40) + shared[:30] + invented(604, 20) + other + invented(605, 40)
+        x, y = windows.shingles(" ".join(a)), windows.shingles(" ".join(b))
+        for got, want in ((windows.passages(x, y), (50, 50 + n, 90, 90 + n)), (windows.passages(y, x), (90, 90 + n, 50, 50 + n))):
+            assert [r[:4] for r in got] == [want], got
+    b = shared + invented(606, 80) + shared  # both places count
+    x, y = windows.shingles(" ".join(a)), windows.shingles(" ".join(b))
+    assert [r[:4] for r in windows.passages(x, y)] == [(50, 50 + n, 0, n), (50, 50 + n, 140, 140 + n)]
+    same = windows.shingles(" ".join(["x"] * 300))
+    assert any(r[:2] == (0, len(same)) for r in windows.passages(same, same))
+
+
+def test_every_place_of_a_signature_counts(spark, invented):
+    shared = invented(610, 60)
+    docs = spark.createDataFrame([(1, " ".join(shared + invented(611, 80) + shared)), (2, " ".join(invented(612, 30) + shared)), (3, " ".join(shared + invented(613, 30)))], "doc_id long, text string")
+    spans = defaultdict(set)
+    for r in windows.near_passages(docs).collect():
+        spans[r["id"]].add((r["start_word"], r["end_word"]))
+    assert {(0, 60), (140, 200)} <= spans[1] and (30, 90) in spans[2] and (0, 60) in spans[3]
