@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cadenza.llm.common import ascii_lower, fresh, join_counted, let, maybe_broadcast, placed, same, words
+from cadenza.llm.common import RAW_WORD, ascii_lower, fresh, join_counted, let, maybe_broadcast, placed, same, words
 from cadenza.session import cut_lineage
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -36,6 +36,7 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TERM_CHARS = 4
 CONTEXT_WORDS = 8
+#: Characters beside a match that are looked at first; where they don't hold CONTEXT_WORDS whole words, the whole text is.
 CONTEXT_CHARS = 200
 SUPPORT = 3
 GENERALISE, REMOVE = 0.8, 0.95
@@ -65,15 +66,31 @@ def _passes(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def _length(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0), lambda n, x: n + F.length(x))
+
+
+def _first_words(near: Column, whole: Column, back: bool = False) -> Column:
+    """The first CONTEXT_WORDS whole words from the outermost sign of a match on (reversed for the left side), without one that the match cuts.
+    ``near``, the start of ``whole``, mostly has them already."""
+    word, other = RAW_WORD[:-1], RAW_WORD[:-1].replace("[^", "[")
+    step = f"{other}++{word}++"
+    quick = F.regexp_extract(near, f"^{word}*+((?:{step}){{{CONTEXT_WORDS}}}){other}", 1)
+    full = F.regexp_extract(whole, f"^{word}*+((?:{step}){{0,{CONTEXT_WORDS}}}+)", 1)
+    return let(quick, lambda q: let(F.when(q != "", q).otherwise(full), lambda t: words(F.reverse(t) if back else t)))
+
+
 def _matches(text: Column, kind: str) -> Column:
     """Structs (kind, k, gap, len, ok, value, near) of the matches of a kind."""
     no, pattern = KINDS.index(kind), PATTERNS[kind]
 
     def one(x):
         def near(i):
-            left, right = x["g"][i], x["g"][i + 1]
-            return F.concat(F.slice(F.reverse(words(F.right(left, F.lit(CONTEXT_CHARS)))), 1, CONTEXT_WORDS),
-                            F.slice(words(F.left(right, F.lit(CONTEXT_CHARS))), 1, CONTEXT_WORDS))
+            start = _length(F.slice(x["g"], 1, i + 1)) + _length(F.slice(x["m"], 1, i))
+            return let(start, lambda at: F.concat(_first_words(F.reverse(F.substring(text, F.greatest(at - CONTEXT_CHARS, F.lit(0)) + 1, F.least(at, F.lit(CONTEXT_CHARS)) + 1)),
+                                                               F.reverse(F.substring(text, F.lit(1), at + 1)), back=True),
+                                                  let(at + F.length(x["m"][i]), lambda to: _first_words(
+                                                      F.substring(text, to, F.lit(CONTEXT_CHARS)), F.substring(text, to, F.length(text))))))
 
         return F.transform(x["m"], lambda m, i: let(_passes(kind, m), lambda ok: F.struct(
             F.lit(no).alias("kind"), i.alias("k"), F.length(x["g"][i]).alias("gap"), F.length(m).alias("len"), ok.alias("ok"),

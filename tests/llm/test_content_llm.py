@@ -38,6 +38,27 @@ def test_pii_spans(docs, rows, spark):
     assert Counter(tuple(r) for r in got) == Counter((i, ",".join(s), *(sum(x.startswith(k) for x in s) for k in PATTERNS)) for i, s in want)
 
 
+def brute_near(t, start, end):
+    at = [(m.start(), m.end(), re.sub("[A-Z]", lambda x: x[0].lower(), m[0])) for m in re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t)]
+    return sorted([w for _, e, w in at if e <= start][-pii.CONTEXT_WORDS:] + [w for s, _, w in at if s >= end][:pii.CONTEXT_WORDS])
+
+
+def test_context_is_whole_words_past_other_matches(docs, rows, spark):
+    """Eight words on either side, whatever other matches, long words or glued letters stand there."""
+    card = "4381893557741609"
+    more = [(500 + k, t) for k, t in enumerate(TRICKY)]
+    more += [(600, f"Main Street 12 in the year 1999 paid {card} at 20 Kilimandscharo Road for 300 Euro and 15 cents more or less"),
+             (601, "mails of one@x.org, two@x.org, three@x.org; four@x.org five@x.org"), (602, "w" * 250 + f" {card} " + "é" * 300 + " far Away " + "v" * 150),
+             (603, f"abc{card}def one two"), (604, " ".join(["averylongwordindeedofmanysigns"] * 12) + f" {card} " + ", ".join(["anotherlongwordofthetext"] * 12)),
+             (605, "call +1 (743) 555-3824 or +49 (0)30 12345678 or +1 2 now 😀 ok")]
+    text = dict([*rows, *more])
+    all_ = spark.createDataFrame([(i, t) for i, t in more], "doc_id long, text string")
+    got = pii.base_spans(all_).collect()
+    assert {r["id"] for r in got} >= {600, 601, 602, 603, 604, 605}
+    for r in got:
+        assert sorted(r["near"]) == brute_near(text[r["id"]], r["start"], r["end"]), (r["id"], r["start"])
+
+
 def test_disclosing_terms(spark, invented):
     plain = [(k, " ".join(invented(k, 30))) for k in range(40)]
     told = [(100 + k, " ".join([*invented(100 + k, 10), "Kilimandscharo", "the", "+1 (743) 555-3824", "the", *invented(200 + k, 10)])) for k in range(5)]
