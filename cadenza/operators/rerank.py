@@ -31,6 +31,9 @@ FEATURES = [
     "uf_explicit", "user_seen_items", "user_total_plays", "user_mean_plays",
 ]
 
+#: Prediction checkpoints the scores after so many trees: plans of hundreds of trees grow too large.
+PLAN_TREES = 25
+
 
 def pair_columns(profiles: DataFrame, items: DataFrame, numerics) -> tuple[list[str], list[str]]:
     """V4: numeric item column c is paired with uf_c when both exist."""
@@ -103,6 +106,11 @@ def lambda_gradients(rows: DataFrame, score_col: str = "score", label_col: str =
     return rows.select("user_id", "item_id", score_col, label_col).groupBy("user_id").applyInPandas(per_user, schema)
 
 
+def held_out(user_col: str):
+    """Whether a user is one of the fifth whose labels only decide when training stops."""
+    return F.pmod(F.xxhash64(user_col), F.lit(5)) == 0
+
+
 def fit_pointwise(train: DataFrame, features=FEATURES, seed: int = 42, max_iter: int = 20, max_depth: int = 5):
     """A pointwise gradient-boosted classifier as a PipelineModel (S12 — the
     assembler carries the feature list)."""
@@ -174,11 +182,14 @@ class LambdaMART:
         return self
 
     def predict(self, rows: DataFrame, out_col: str = "ranker_score") -> DataFrame:
+        from cadenza.session import cut_lineage
         d = self._assemble(rows).withColumn(out_col, F.lit(0.0))
         for k in range(self.best):
             values = self.leaves[k] + [0.0] * (self.trees[k].numNodes - len(self.leaves[k]))
             self.leaves[k] = values  # leaves that no training row reached
             d = self._add(d, k, out_col)
+            if (k + 1) % PLAN_TREES == 0:
+                d = cut_lineage(d)
         return d.drop("features")
 
     def importance(self, spark) -> DataFrame:

@@ -19,8 +19,6 @@ from cadenza.sources import standins as st
 RR_N = 200
 ALPHA = 0.5
 ALS_RANK, ALS_ITERS, ALS_ALPHA, ALS_REG = 64, 20, 10.0, 0.05
-#: A round of boosting is a few Spark jobs; the queries train this many at most and stop after PATIENCE without a better NDCG.
-ROUNDS, PATIENCE = 6, 2
 
 
 def R6(expr: str) -> str:
@@ -153,12 +151,14 @@ def q_als_candidates(spark, d):
 
 
 def _pointwise(spark, d):
-    return rr.fit_pointwise(rerank_table(spark, d, "val"), seed=qi.SEED, max_iter=10, max_depth=4)
+    return rr.fit_pointwise(rerank_table(spark, d, "val"), seed=qi.SEED)
 
 
 def _lambdamart(spark, d):
-    """Trained on the labels of val; NDCG@k on those of test decides when to stop."""
-    return rr.LambdaMART(rounds=ROUNDS, patience=PATIENCE, seed=qi.SEED, k=qi.K).fit(rerank_table(spark, d, "val"), rerank_table(spark, d, "test"))
+    """Trained on the labels of val, split by user; NDCG@k of the held-out users decides when to stop."""
+    rows = rerank_table(spark, d, "val")
+    held = rr.held_out("user_id")
+    return rr.LambdaMART(seed=qi.SEED, k=qi.K).fit(rows.where(~held), rows.where(held))
 
 
 @query("rerank_fit_pointwise")
@@ -186,7 +186,7 @@ def q_feature_importance(spark, d):
 def q_two_stage_metrics(spark, d):
     """ALS candidates, features, ranker, blend and evaluation as one flow."""
     from cadenza.plans.pipeline import two_stage
-    return two_stage(spark, d, rounds=ROUNDS, patience=PATIENCE)
+    return two_stage(spark, d)
 
 
 @query("als_eval_summary")
