@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from cadenza.llm import decontam, exact_dedup, jaccard, packing, pii, quality, secrets, suffix, warc, windows
+from cadenza.llm import bisector, decontam, exact_dedup, jaccard, merkle, ordered_packing, packing, pii, quality, secrets, suffix, warc, windows
 from cadenza.llm.common import table
 from cadenza.llm.registry import ORACLES, QUERIES, query
 from cadenza.session import ensure_checkpoint_dir
@@ -116,3 +116,66 @@ def op10(spark, sf_dir):
     return quality.score(docs, model).select(
         "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op11_ordered_packing")
+def op11(spark, sf_dir):
+    return ordered_packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def _op12_sql(k: int = bisector.CLUSTERS, rounds: int = bisector.ROUNDS, dims: int = bisector.DIMS, scale: int = bisector.SCALE) -> str:
+    """One CTE for each assignment and each move of the centroids; sums are exact in HUGEINT."""
+    parts = [f"v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) q FROM embeddings "
+             f"WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: isfinite(x))) = {dims})",
+             f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, q) - 1 c, q FROM (SELECT q, sha256('1:' || CAST(vec_id AS VARCHAR)) h FROM v) ORDER BY h, q LIMIT {k})"]
+    for r in range(rounds + 1):
+        dist = "list_sum(list_transform(range(1, {0} + 1), lambda i: (v.q[i] - c.q[i]) * (v.q[i] - c.q[i])))".format(dims)
+        parts.append(f"a{r} AS MATERIALIZED (SELECT vec_id, q, m.c AS c, m.d AS d FROM (SELECT v.vec_id, v.q, min({{'d': CAST({dist} AS BIGINT), 'c': c.c}}) m "
+                     f"FROM v, c{r} c GROUP BY ALL))")
+        if r < rounds:
+            parts.append(f"s{r} AS (SELECT c, p, sum(x) s, count(*) n FROM (SELECT c, unnest(q) x, unnest(range(1, {dims} + 1)) p FROM a{r}) GROUP BY c, p)")
+            parts.append(f"m{r} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY p) q FROM s{r} GROUP BY c)")
+            parts.append(f"c{r + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.q, c.q) q FROM c{r} c LEFT JOIN m{r} m USING (c))")
+    return (f"WITH {', '.join(parts)} SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) cluster_inertia, "
+            f"CAST(sum(d) OVER () AS BIGINT) inertia, sha256(array_to_string(c.q, ',')) centroid_sha256 FROM a{rounds} a JOIN c{rounds} c ON a.c = c.c")
+
+
+@query("op12_centroid_clustering", _op12_sql())
+def op12(spark, sf_dir):
+    return bisector.cluster(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def _field(name: str, value: str = "") -> str:
+    value = value or f"CAST({name} AS VARCHAR)"
+    return f"coalesce(CAST(strlen({value}) AS VARCHAR) || ':' || {value}, '-')"
+
+
+_HEAD = " || ".join(_field(c) for c in merkle.COLUMNS[:-1])
+
+
+@query("op13_merkle_manifest", f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda n: list_reduce([CAST(n AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0],
+       lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) tab),
+d AS (SELECT *, xor(list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+       lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 2 = 0 AS hit FROM documents, crc),
+l AS (SELECT doc_id, source, sha256({_HEAD} || {_field("text")}) h,
+       sha256({_HEAD} || CASE WHEN hit THEN {_field("text", "replace(text, chr(10), '')")} ELSE {_field("text")} END) bad FROM d),
+leaf AS MATERIALIZED (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 s, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 pos,
+       count(*) OVER (PARTITION BY source) m, row_number() OVER () no FROM l),
+up(s, lvl, pos, m, h) AS (SELECT s, 0, pos, m, h FROM leaf UNION ALL
+  SELECT s, lvl + 1, pos // 3, (m + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM up WHERE m > 1 GROUP BY s, lvl, pos // 3, m),
+sub AS MATERIALIZED (SELECT s, h, count(*) OVER () trees FROM up WHERE m = 1),
+ts(lvl, pos, m, h) AS (SELECT 0, s, trees, h FROM sub UNION ALL
+  SELECT lvl + 1, pos // 3, (m + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM ts WHERE m > 1 GROUP BY lvl, pos // 3, m),
+n AS MATERIALIZED (SELECT st || '-' || s || '-' || lvl || '-' || pos AS key, h,
+       CASE WHEN m > 1 THEN st || '-' || s || '-' || (lvl + 1) || '-' || (pos // 3) WHEN st = 0 AND trees > 1 THEN '1-0-1-' || (s // 3) END par,
+       CASE WHEN m > 1 THEN pos % 3 ELSE s % 3 END nth
+     FROM (SELECT 0 st, * FROM up UNION ALL SELECT 1, 0, * FROM ts WHERE lvl > 0), (SELECT max(trees) trees FROM sub)),
+k AS MATERIALIZED (SELECT par, list(h ORDER BY nth) hs FROM n WHERE par IS NOT NULL GROUP BY par),
+cl(no, par, nth, h, proof) AS (SELECT no, par, nth, bad, '' FROM leaf JOIN n ON key = '0-' || s || '-0-' || pos UNION ALL
+  SELECT no, p.par, p.nth, sha256(array_to_string(list_transform(hs, lambda x, i: CASE WHEN i = cl.nth + 1 THEN cl.h ELSE x END), '')),
+         proof || array_to_string(list_filter(hs, lambda x, i: i <> cl.nth + 1), '') FROM cl JOIN k ON k.par = cl.par JOIN n p ON p.key = cl.par)
+SELECT doc_id, leaf.h AS leaf, sub.h AS subroot, root, sha256(proof) proof_sha256, cl.h AS folded_root, cl.h = root AS verified
+FROM leaf JOIN sub USING (s) JOIN cl ON cl.no = leaf.no AND cl.par IS NULL, (SELECT h root FROM ts WHERE m = 1)""")
+def op13(spark, sf_dir):
+    return merkle.proofs(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

@@ -5,10 +5,10 @@ import pytest
 import __spark_entry__ as E
 
 SMALL = "/root/testdata/sf0.001"
-TABLES = ("documents", "benchmark", "pages", "labels")
+TABLES = ("documents", "benchmark", "pages", "labels", "embeddings")
 
 
-@pytest.mark.parametrize("name", ["op3_benchmark_decontamination", "op4_exact_dedup", "op8_ngram_jaccard_join", "op9_warc_revisits"])
+@pytest.mark.parametrize("name", ["op3_benchmark_decontamination", "op4_exact_dedup", "op8_ngram_jaccard_join", "op9_warc_revisits", "op12_centroid_clustering", "op13_merkle_manifest"])
 def test_matches_duckdb(spark, name):
     con = duckdb.connect()
     for t in TABLES:
@@ -22,7 +22,7 @@ def test_matches_duckdb(spark, name):
 
 def test_registered():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 @pytest.mark.parametrize("name,columns", [("op1_pii_sanitisation", {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"}),
