@@ -41,7 +41,7 @@ def surviving_prefixes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_all: bool = False) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, digest (null for rows that were
-    unique before the full hash, unless ``digest_all``), repeated (other rows share id and text)."""
+    unique before the full hash, unless ``digest_all``)."""
     alive = surviving_prefixes(docs, id_col, text_col)
     rows = _measured(docs, id_col, text_col)
     marked = alive.withColumn("alive", F.lit(True))

@@ -11,7 +11,8 @@ to cut j,
 The inner minimum slides with the window: a monotone queue gives it in constant time a cut. The result is the cheapest set of cuts of
 a block, a run of whole documents of about BLOCK tokens.
 
-Texts are tokenised once, in Arrow batches; ids are stored as Parquet in the shared folder (2 bytes an id). A range partitioning by id
+Texts are tokenised once, in Arrow batches, by words, with a bounded memory of known ones; ids are stored as Parquet in the shared
+folder (2 bytes an id). A range partitioning by id
 and a hash of the ids gives runs of the stream of about PARTITION tokens; each is sorted and then read in order, a block at a time, so
 that a task holds one block and one document. A block's last sequence may be short: that is the price of cutting the stream, at most one window a block.
 
@@ -22,10 +23,12 @@ tokens, repeated rows in any order; an empty table gives an empty result; column
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +45,12 @@ SEQUENCE, SENTENCE, TOKEN = 4, 16, 48
 STRETCH, STRIDE = 256, 64
 BLOCK = 1 << 20
 PARTITION = 4 << 20
-#: Characters tokenised at a time; longer texts are split between two words of ASCII letters, which no token crosses.
-CHARS = 1 << 19
+#: A task keeps the ids of at most so many different words, tokenises so many at a time, and takes about so many characters of a text at a time.
+WORDS, GROUP, CHARS = 1 << 20, 4096, 1 << 22
+BAR = "|"
+SIGNS = frozenset(".,;:!?")
+#: str.split() takes these for white space; regular expressions of tokenizers don't.
+ODD = re.compile("[\x1c-\x1f]")
 
 
 @functools.lru_cache(maxsize=2)
@@ -53,44 +60,137 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _light(path: str):
+    """The tokenizer's model on words of lower-case letters between blanks."""
+    from tokenizers import Tokenizer, pre_tokenizers
+    t = Tokenizer(_tokenizer(path).model)
+    t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return t
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def pieces_of(text: str, chars: int = CHARS) -> list[str]:
-    """A text in parts of at least ``chars`` characters, split at a blank between two ASCII letters."""
-    out, at = [], 0
-    for m in re.finditer(r"(?<=[A-Za-z]) (?=[A-Za-z])", text) if len(text) > chars else ():
-        if m.start() - at >= chars:
-            out.append(text[at:m.start()])
-            at = m.end()
-    return [*out, text[at:]]
+class Words(dict):
+    """Ids of white-space-delimited words as bytes, for a tokenizer whose tokens never cross white space (checked by ``splits_at_blanks``): a text's
+    ids are those of its words. Unknown words of a group of texts are tokenised together and kept. Words of letters, with a point or the
+    like at their end or without, are looked up in lower case without that sign, which is a token of its own; many of them are tokenised as one
+    text, whose ids are cut where a token ends a word."""
+
+    def __init__(self, path: str, limit: int = WORDS):
+        super().__init__()
+        self.tokenizer, self.limit = _tokenizer(path), limit
+        vocab, suffix = self.tokenizer.get_vocab(), json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.kind = np.dtype("<u2" if len(vocab) <= 1 << 16 else "<u4")
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for k, i in vocab.items() if suffix and k.endswith(suffix)]] = True
+        self.signs = {x: self.plain([x])[0] for x in {*SIGNS, BAR}}
+        self.light = _light(path)
+
+    def others(self, words: list[str]) -> None:
+        """Learns words of any signs; those without a bar as one text with bars between them."""
+        bar = self.signs[BAR]
+        some = [w for w in words if BAR not in w] if len(bar) == self.kind.itemsize else []
+        for a in range(0, len(some), GROUP):
+            ids = np.array(self.tokenizer.encode_batch_fast([f" {BAR} ".join(some[a:a + GROUP])], add_special_tokens=False)[0].ids, dtype=self.kind)
+            cut = np.flatnonzero(ids == np.frombuffer(bar, self.kind)[0]) * self.kind.itemsize
+            raw, ends, starts = ids.tobytes(), [*cut.tolist(), ids.nbytes], [0, *(cut + self.kind.itemsize).tolist()]
+            self.update(zip(some[a:a + GROUP], [raw[x:y] for x, y in zip(starts, ends, strict=True)], strict=True))
+        rest = [w for w in words if w not in self]
+        self.update(zip(rest, self.plain(rest), strict=True))
+
+    def plain(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def letters(self, words: list[str]) -> None:
+        """Learns words of lower-case letters, which need neither lower-casing nor a search for signs and digits."""
+        text = " ".join(words)
+        if is_normalized("NFC", text):
+            ids = np.array(self.light.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.kind)
+            cut = (np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize
+            if len(cut) == len(words) and cut[-1] == ids.nbytes:
+                raw, at = ids.tobytes(), [0, *cut.tolist()]
+                self.update(zip(words, [raw[x:y] for x, y in zip(at, at[1:])], strict=False))
+                return
+        self.update(zip(words, self.plain(words), strict=True))  # a tokenizer without ends of words, or letters that it would compose
+
+    def learn(self, words: set[str]) -> None:
+        unknown = words.difference(self)
+        if len(self) + len(unknown) > self.limit:
+            self.clear()
+            unknown = words
+        cores = [w for w in unknown if w.isalpha() and w.islower()]
+        made, lows, rest = [], [], []
+        for w in unknown.difference(cores):
+            core = w[:-1] if w[-1] in SIGNS else w
+            low = core.lower()
+            if core.isalpha() and low.isalpha() and "\u03a3" not in core:  # a final sigma has two lower-case forms
+                made.append(w)
+                lows.append(low)
+            else:
+                rest.append(w)
+        cores = list(set(cores).union(lows).difference(self))
+        for a in range(0, len(cores), GROUP):
+            self.letters(cores[a:a + GROUP])
+        for w, low in zip(made, lows, strict=True):
+            self[w] = self[low] + self.signs[w[-1]] if w[-1] in SIGNS else self[low]
+        self.others(rest)
+
+
+@functools.lru_cache(maxsize=2)
+def _words(path: str) -> Words:
+    return Words(path)
+
+
+def splits_at_blanks(path: str) -> bool:
+    """Whether the tokenizer drops white space before it looks for tokens in the bytes of words, and treats each character alone before that."""
+    t = json.loads(_tokenizer(path).to_str())
+    alone = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "Replace"}
+    norms = (t["normalizer"] or {}).get("normalizers", [t["normalizer"]])
+    splits = (t["pre_tokenizer"] or {}).get("pretokenizers", [])
+    drops = any(s["type"] == "Split" and s["invert"] and s["behavior"] == "Removed" and "\\s" in s["pattern"].get("Regex", "") for s in splits[:1])
+    return drops and [s["type"] for s in splits[1:]] == ["ByteLevel"] and not splits[1]["add_prefix_space"] and not splits[1]["use_regex"] and all(n and n["type"] in alone for n in norms)
 
 
 def token_ids(texts: list[str], path: str, end: int = END, chars: int = CHARS) -> Iterator[np.ndarray]:
-    """The ids of each text and ``end``; at most about ``chars`` characters are tokenised at a time."""
-    t = _tokenizer(path)
-    kind = np.uint16 if t.get_vocab_size() <= 1 << 16 else np.uint32
-    parts, group, size = [], [], 0
-
-    def flush():
-        for e, last in zip(t.encode_batch_fast([p for p, _ in group], add_special_tokens=False), [x for _, x in group], strict=True):
-            parts.append(np.array(e.ids, dtype=kind))
-            if last:
-                yield np.concatenate([*parts, np.array([end], dtype=kind)])
-                parts.clear()
-        group.clear()
+    """The ids of each text and ``end``. Texts are taken as their words, groups of about ``chars`` characters at a time and longer texts in such
+    parts; one with separators that only Python takes for white space goes to the tokenizer as it is."""
+    words = _words(path)
+    stop = np.array([end], dtype=words.kind).tobytes()
+
+    def known(split: list[str]) -> bytes:
+        return b"".join(map(words.__getitem__, split))
+
+    def group(some: list[str]) -> Iterator[np.ndarray]:
+        splits = [(t or "").split() for t in some]
+        words.learn(set().union(*splits))
+        for x in splits:
+            yield np.frombuffer(known(x) + stop, dtype=words.kind)
 
+    waiting, size = [], 0
     for text in texts:
-        cut = pieces_of(text or "", chars)
-        for k, p in enumerate(cut):
-            group.append((p, k == len(cut) - 1))
-            size += len(p)
-            if size >= chars:
-                yield from flush()
-                size = 0
-    yield from flush()
+        odd = bool(text) and ODD.search(text) is not None
+        if odd or len(text or "") > chars:
+            yield from group(waiting)
+            waiting, size, parts = [], 0, []
+            if odd:
+                parts = words.plain([text])
+            else:
+                split = text.split()
+                for a in range(0, len(split), max(1, chars // 8)):
+                    some = split[a:a + max(1, chars // 8)]
+                    words.learn(set(some))
+                    parts.append(known(some))
+            yield np.frombuffer(b"".join([*parts, stop]), dtype=words.kind)
+            continue
+        waiting.append(text)
+        size += len(text or "")
+        if size >= chars:
+            yield from group(waiting)
+            waiting, size = [], 0
+    yield from group(waiting)
 
 
 def sentence_signs(path: str) -> tuple[list[int], list[int]]:
@@ -249,6 +349,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     """One row per piece: id, start, length, ids_crc32 (of little-endian 4-byte ids), doc_tokens, sequence_id, offset, capacity (the length that
     the piece's sequence is padded to). ``tokenizer``: a path that all executors have."""
     path = tokenizer or default_tokenizer()
+    if not splits_at_blanks(path):
+        raise ValueError("the tokenizer's tokens may cross white space")
     signs, digits = sentence_signs(path)
     tokens = cut_table(tokenised(docs, id_col, text_col, path, end))
     return pack_tokens(ordered(tokens), signs, digits, _tokenizer(path).get_vocab_size() > 1 << 16, window)

@@ -29,7 +29,8 @@ SIZES = (256, 512, 1024, 2048)
 #: Cost of a sequence besides its capacity, in tokens (batch entry, padding to tiles, separators).
 OVERHEAD = 32
 ITEMS_PER_SALT = 20_000
-TOKEN = r"[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}]"
+#: Blanks of all scripts are no signs.
+TOKEN = r"[\p{L}\p{M}\p{N}]+|[^\s\x1C-\x1F\x85\p{Z}\p{L}\p{M}\p{N}]"
 
 
 def token_count(text: Column) -> Column:

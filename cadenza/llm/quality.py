@@ -216,7 +216,7 @@ def _truncated_basis(x: np.ndarray, rank: int, rounds: int = 5) -> np.ndarray:
 
 def score(docs: DataFrame, model: Model, score_col: str = "score", text_col: str = "text") -> DataFrame:
     """``docs`` with a score column. The model is broadcast; its size depends on LABELLED and LATENT alone."""
-    if score_col in docs.columns:
+    if score_col.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"docs already has a column {score_col}")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)

@@ -10,7 +10,7 @@ from the first archive and only meet the decisions about revisits.
 All files go below a path that executors share, through Spark's own writers and readers. Groups of equal
 payloads are aggregated map-side and joined by ``join_counted``, so a payload on a third of all pages loads
 no single task. Defined cases: a null html is an empty payload; a null url or page id gets no header; control
-characters and blanks in urls are percent-encoded; null page ids sort last; repeated rows become records of their own, of
+characters and blanks in urls are percent-encoded, as are signs in page ids, which may be of any type that has a text form; null page ids sort last; repeated rows become records of their own, of
 which one is the response; empty tables give empty archives; other columns are ignored.
 """
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -29,16 +30,18 @@ from cadenza.session import cut_lineage
 MIN_BYTES = 100
 SEGMENT_BYTES = 8 << 20
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORD = "record_id string, record_type string, page_id long, url string, refers_to string, digest string, payload_bytes long, payload string"
+RECORD = "record_id string, record_type string, page_id string, url string, refers_to string, digest string, payload_bytes long, date string, payload string"
 
 
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """A response record per page, with a fresh record id."""
     html = F.coalesce(F.col(html_col), F.lit(""))
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
     return pages.select(
         F.concat(F.lit("urn:uuid:"), F.expr("uuid()")).alias("record_id"), F.lit("response").alias("record_type"),
-        F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.lit(None).cast("string").alias("refers_to"),
-        F.sha2(html, 256).alias("digest"), F.octet_length(html).cast("long").alias("payload_bytes"), html.alias("payload"))
+        F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.lit(None).cast("string").alias("refers_to"),
+        F.sha2(html, 256).alias("digest"), F.octet_length(html).cast("long").alias("payload_bytes"),
+        F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"), html.alias("payload"))
 
 
 def _clean(url: str) -> str:
@@ -49,11 +52,11 @@ def _record(r: dict) -> str:
     revisit = r["record_type"] == "revisit"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {r['payload_bytes']}\r\n\r\n"
     body = "" if revisit else r["payload"]
-    head = ["WARC/1.1", f"WARC-Type: {r['record_type']}", f"WARC-Record-ID: <{r['record_id']}>"]
+    head = ["WARC/1.1", f"WARC-Type: {r['record_type']}", f"WARC-Record-ID: <{r['record_id']}>", f"WARC-Date: {r['date']}"]
     if r["url"] is not None:
         head.append(f"WARC-Target-URI: {_clean(r['url'])}")
     if r["page_id"] is not None:
-        head.append(f"X-Page-ID: {r['page_id']}")
+        head.append(f"X-Page-ID: {quote(str(r['page_id']))}")
     if revisit:
         head += [f"WARC-Profile: {REVISIT_PROFILE}", f"WARC-Refers-To: <{r['refers_to']}>"]
     size = len(http) + (0 if revisit else r["payload_bytes"])
@@ -99,8 +102,8 @@ def parse(data: bytes) -> Iterator[tuple[int, dict, bytes]]:
         at = end + 4 + size + 4
 
 
-def read_archive(spark, path: str, payloads: bool = True) -> DataFrame:
-    """The records below ``path`` (columns of RECORD; payload null if ``payloads`` is off). Payload digests are computed again
+def read_archive(spark, path: str, payloads: bool = True, id_type: str = "long") -> DataFrame:
+    """The records below ``path`` (columns of RECORD, page ids of the given type; payload null if ``payloads`` is off). Payload digests are computed again
     from the payloads; a response that doesn't match its header is an error."""
     names = [x.split()[0] for x in RECORD.split(", ")]
 
@@ -117,8 +120,8 @@ def read_archive(spark, path: str, payloads: bool = True) -> DataFrame:
                         raise ValueError(f"payload of {head['WARC-Record-ID']} doesn't match its digest")
                     page = head.get("X-Page-ID")
                     refers = head.get("WARC-Refers-To")
-                    rows.append((head["WARC-Record-ID"][1:-1], kind, None if page is None else int(page), head.get("WARC-Target-URI"),
-                                 refers and refers[1:-1], declared, len(body) if kind == "response" else None,
+                    rows.append((head["WARC-Record-ID"][1:-1], kind, None if page is None else unquote(page), head.get("WARC-Target-URI"),
+                                 refers and refers[1:-1], declared, len(body) if kind == "response" else None, head.get("WARC-Date"),
                                  body.decode() if payloads and kind == "response" else None))
                     size += len(body)
                     if size >= SEGMENT_BYTES:
@@ -128,11 +131,11 @@ def read_archive(spark, path: str, payloads: bool = True) -> DataFrame:
                     yield _batch(rows)
 
     def _batch(rows):
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
+        kinds = [pa.int64() if n == "payload_bytes" else pa.string() for n in names]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
-    return files.select("content").mapInArrow(run, RECORD)
+    return files.select("content").mapInArrow(run, RECORD).withColumn("page_id", F.col("page_id").cast(id_type))
 
 
 def with_originals(headers: DataFrame) -> DataFrame:
@@ -143,7 +146,7 @@ def with_originals(headers: DataFrame) -> DataFrame:
     origin = headers.filter("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("original"), F.col("payload_bytes").alias("full"))
     origin = cut_lineage(wanted.join(origin, "refers_to"))
     found = join_counted(revisits, origin, ["refers_to"], "n").select(*[c for c in headers.columns if c != "payload_bytes"], F.col("full").alias("payload_bytes"), "original")
-    rest = headers.filter("record_type <> 'revisit'").withColumn("original", F.lit(None).cast("long"))
+    rest = headers.filter("record_type <> 'revisit'").withColumn("original", F.lit(None).cast(headers.schema["page_id"].dataType))
     return rest.unionByName(found)
 
 
@@ -155,21 +158,24 @@ def decide(headers: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     return join_counted(h, cut_lineage(groups), ["digest", "payload_bytes"], "n").filter("record_id <> refers_to").select("record_id", "refers_to")
 
 
-def resolve(spark, raw: str, deduplicated: str, min_bytes: int = MIN_BYTES) -> None:
-    """Writes the archive at ``raw`` again, with equal payloads stored once."""
-    headers = cut_lineage(with_originals(cut_lineage(read_archive(spark, raw, payloads=False).drop("payload"))))
-    again = cut_lineage(decide(headers, min_bytes))
-    rows = read_archive(spark, raw)
-    j = rows.join(maybe_broadcast(again.withColumnRenamed("refers_to", "first")), "record_id", "left")
-    j = j.withColumn("refers_to", F.coalesce("first", "refers_to")).withColumns({"record_type": F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"),
+def resolve(spark, raw: str, deduplicated: str, min_bytes: int = MIN_BYTES, id_type: str = "long") -> None:
+    """Writes the archive at ``raw``, which may hold revisits already, again, with equal payloads stored once."""
+    headers = cut_lineage(with_originals(cut_lineage(read_archive(spark, raw, False, id_type).drop("payload"))))
+    again = decide(headers, min_bytes).withColumnRenamed("refers_to", "first")
+    # what rows of the archive don't say: the originals of new revisits, the payload sizes of old ones
+    known = headers.select("record_id", "record_type", F.col("payload_bytes").alias("full")).join(again, "record_id", "left")
+    known = cut_lineage(known.filter("first IS NOT NULL OR record_type = 'revisit'").select("record_id", "first", "full"))
+    rows = read_archive(spark, raw, True, id_type)
+    j = rows.join(maybe_broadcast(known), "record_id", "left").withColumns({"refers_to": F.coalesce("first", "refers_to"), "payload_bytes": F.coalesce("full", "payload_bytes")})
+    j = j.withColumns({"record_type": F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"),
                        "payload": F.when(F.col("refers_to").isNull(), F.col("payload"))})
     write_archive(j.select(*rows.columns), deduplicated)
 
 
 def archive_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Writes ``path/raw`` and ``path/deduplicated`` and returns the records read back from the latter: record_id, record_type,
-    page_id, url, refers_to, digest, payload_bytes, original."""
-    spark = pages.sparkSession
+    page_id, url, refers_to, digest, payload_bytes, date, original."""
+    spark, id_type = pages.sparkSession, pages.schema[id_col].dataType.simpleString()
     write_archive(records(pages, id_col, url_col, html_col), f"{path}/raw")
-    resolve(spark, f"{path}/raw", f"{path}/deduplicated")
-    return with_originals(cut_lineage(read_archive(spark, f"{path}/deduplicated", payloads=False).drop("payload")))
+    resolve(spark, f"{path}/raw", f"{path}/deduplicated", id_type=id_type)
+    return with_originals(cut_lineage(read_archive(spark, f"{path}/deduplicated", False, id_type).drop("payload")))

@@ -104,6 +104,14 @@ def test_warc(spark, monkeypatch):
     assert sorted(r["record_type"] for r in warc.read_archive(spark, again, payloads=False).collect()) == ["response"] * 7 + ["revisit"] * 3
 
 
+def test_warc_dates_and_text_ids(spark):
+    pages = spark.createDataFrame([("b é\n1", None, "x" * 200), ("a%20", "u", "x" * 200), (None, "u", "y")], "page_id string, url string, html string")
+    path = f"{ready(spark)}/warc-test-{uuid.uuid4().hex}"
+    got = warc.archive_pages(pages, path).collect()
+    assert sorted((r["page_id"] or "", r["record_type"], r["original"]) for r in got) == [("", "response", None), ("a%20", "response", None), ("b é\n1", "revisit", "a%20")]
+    assert all(len(r["date"]) == 20 and r["date"].endswith("Z") for r in got)
+
+
 def test_warc_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.archive_pages(pages, f"{ready(spark)}/warc-test-{uuid.uuid4().hex}").count() == 0
@@ -135,8 +143,9 @@ def test_quality_cases(docs, none, spark):
     assert quality.keep_good(docs, model).columns == docs.columns
     empty = quality.fit(none, spark.createDataFrame([], "doc_id long, quality int"))
     assert quality.keep_good(none, empty).count() == 0 and all(r["s"] == 0.5 for r in quality.score(docs, empty, "s").collect())
-    with pytest.raises(ValueError):
-        quality.score(docs, model)
+    for df in (docs, docs.withColumnRenamed("score", "SCORE")):
+        with pytest.raises(ValueError):
+            quality.score(df, model)
 
 
 def test_counts_do_not_depend_on_blocks(rows):
