@@ -21,6 +21,7 @@ rows are leaves of their own; an empty table has no leaves and no root; columns
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,8 +31,8 @@ from cadenza.plans.ordering import global_rank
 from cadenza.session import cut_lineage, ensure_checkpoint_dir
 
 ARITY = 3
-#: Levels with at most so many nodes in all are broadcast in the climb (about 120 bytes a node).
-NODES = 50_000
+#: Levels with at most so many nodes in all are broadcast in the climb (about 120 bytes a node, so a megabyte).
+NODES = 10_000
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 #: The tree over the subroots.
 TOP = -1
@@ -138,13 +139,18 @@ SELECT * FROM climb"""
 
 
 def climb(start: DataFrame, nodes: DataFrame) -> DataFrame:
-    """All steps of the leaves of ``start`` (no, step, link, hash) as far as ``nodes`` go, the first ones included."""
-    spark = start.sparkSession
+    """All steps of the leaves of ``start`` (no, step, link, hash) as far as ``nodes`` go, the first ones included; to be used within ``unlimited``."""
+    return start.sparkSession.sql(CLIMB, start=start, nodes=nodes)
+
+
+@contextmanager
+def unlimited(spark):
+    """A recursive query may have a row per leaf and level, however many that are."""
     limit = "spark.sql.cteRecursionRowLimit"
     was = spark.conf.get(limit, None)
-    spark.conf.set(limit, "-1")  # a row per leaf and level, however many that are
+    spark.conf.set(limit, "-1")
     try:
-        return cut_table(spark.sql(CLIMB, start=start, nodes=nodes))
+        yield
     finally:
         spark.conf.unset(limit) if was is None else spark.conf.set(limit, was)
 
@@ -171,11 +177,21 @@ def prove(rows: DataFrame, levels: list, root: bytes | None) -> DataFrame:
     start = rows.select("no", F.lit(0).alias("step"), "p_tree", "p_level", "p_place", "p_nth", F.coalesce("tampered", "leaf").alias("hash"))
     done = [rows.select("no", F.lit(0).alias("step"), F.when(F.col("p_tree").isNull(), F.coalesce("tampered", "leaf")).alias("hash"),
                         F.lit(None).cast("binary").alias("siblings"), F.lit(None).cast("binary").alias("subroot"), "id", "leaf")]
-    for nodes, leads_there, small in sections(levels):
-        steps = climb(start, F.broadcast(nodes) if small else nodes)
-        done.append(steps.filter("siblings IS NOT NULL").select("no", "step", F.when(F.col("p_tree").isNull(), F.col("hash")).alias("hash"), "siblings", "subroot",
-                                                               F.lit(None).cast(rows.schema["id"].dataType).alias("id"), F.lit(None).cast("binary").alias("leaf")))
-        start = steps.filter(F.col("p_tree").isNotNull() & ~leads_there).select("no", "step", "p_tree", "p_level", "p_place", "p_nth", "hash")
+    parts = sections(levels)
+    with unlimited(rows.sparkSession):
+        for k, (nodes, leads_there, small) in enumerate(parts):
+            steps = climb(start, F.broadcast(nodes) if small else nodes)
+            if k + 1 < len(parts):
+                steps = cut_table(steps)  # read for the proofs and for where the next section starts
+                start = steps.filter(F.col("p_tree").isNotNull() & ~leads_there).select("no", "step", "p_tree", "p_level", "p_place", "p_nth", "hash")
+            done.append(steps.filter("siblings IS NOT NULL").select(
+                "no", "step", F.when(F.col("p_tree").isNull(), F.col("hash")).alias("hash"), "siblings", "subroot",
+                F.lit(None).cast(rows.schema["id"].dataType).alias("id"), F.lit(None).cast("binary").alias("leaf")))
+        return cut_table(assembled(done, root))
+
+
+def assembled(done: list[DataFrame], root: bytes | None) -> DataFrame:
+    """A row per leaf from the rows of its steps."""
     whole = reduce(DataFrame.unionByName, done)
     path = F.array_sort(F.collect_list(F.when(F.col("siblings").isNotNull(), F.struct("step", "siblings"))))
     g = whole.groupBy("no").agg(F.max("id").alias("id"), F.max("leaf").alias("leaf"), F.max("subroot").alias("subroot"), F.max("hash").alias("hash"), path.alias("path"))
