@@ -13,15 +13,17 @@ import json
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadenza.functions.numeric import alpha_blend, number
 from cadenza.functions.vectors import pair_features
+from cadenza.operators import boosting as bo
 from cadenza.operators.ranking import label_join, topn
 
 # The ranker's feature list in order.
@@ -31,9 +33,6 @@ FEATURES = [
     "uf_explicit", "user_seen_items", "user_total_plays", "user_mean_plays",
 ]
 
-#: Prediction checkpoints the scores after so many trees: plans of hundreds of trees grow too large.
-PLAN_TREES = 25
-
 
 def pair_columns(profiles: DataFrame, items: DataFrame, numerics) -> tuple[list[str], list[str]]:
     """V4: numeric item column c is paired with uf_c when both exist."""
@@ -80,29 +79,15 @@ def lambda_gradients(rows: DataFrame, score_col: str = "score", label_col: str =
     from cadenza.session import ship_package
     ship_package()
     def per_user(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([score_col, "item_id"], ascending=[False, True]).reset_index(drop=True)
-        s = pdf[score_col].to_numpy(dtype=np.float64)
+        pdf = pdf.sort_values("item_id").reset_index(drop=True)
         lab = pdf[label_col].to_numpy(dtype=np.float64)
-        n = len(pdf)
-        disc = 1.0 / np.log2(np.arange(2, n + 2, dtype=np.float64))
-        ideal = np.sort(lab)[::-1]
-        max_dcg = float(np.sum((np.power(2.0, ideal) - 1.0) * disc))
-        g = np.zeros(n)
-        h = np.zeros(n)
-        if max_dcg > 0:
-            gain = np.power(2.0, lab)
-            for level in np.unique(lab)[1:]:  # rows of each label against those below it
-                up, low = np.flatnonzero(lab == level), np.flatnonzero(lab < level)
-                rho = 1.0 / (1.0 + np.exp(sigma * (s[up, None] - s[None, low])))
-                delta = np.abs(gain[up, None] - gain[None, low]) * np.abs(disc[up, None] - disc[None, low]) / max_dcg
-                w, hw = sigma * rho * delta, sigma * sigma * rho * (1.0 - rho) * delta
-                g[up] -= w.sum(axis=1)
-                g[low] += w.sum(axis=0)
-                h[up] += hw.sum(axis=1)
-                h[low] += hw.sum(axis=0)
+        one, n = np.zeros(1, np.int64), np.array([len(pdf)])
+        lists = bo.Lists(n, one, np.zeros(len(pdf), np.int64), np.zeros(1, bool), lab)
+        g, h = bo.lambdas(lists, pdf[score_col].to_numpy(dtype=np.float64), sigma)
         return pd.DataFrame({"user_id": pdf["user_id"], "item_id": pdf["item_id"], "grad": g, "hess": h})
 
-    schema = f"user_id {dict(rows.dtypes)['user_id']}, item_id long, grad double, hess double"
+    types = dict(rows.dtypes)
+    schema = f"user_id {types['user_id']}, item_id {types['item_id']}, grad double, hess double"
     return rows.select("user_id", "item_id", score_col, label_col).groupBy("user_id").applyInPandas(per_user, schema)
 
 
@@ -123,96 +108,74 @@ def fit_pointwise(train: DataFrame, features=FEATURES, seed: int = 42, max_iter:
 
 
 class LambdaMART:
-    """Boosting with λ-gradients. Each round fits a regression tree to −g on a sample of rows and
-    features, sets Newton leaf values Σ(−g)/Σh, and adds lr × leaf value to the scores. With a
-    validation table the mean NDCG@k is measured every round, training stops after ``patience`` rounds
-    without a better one, and prediction uses the best round's trees. Leaf values (at most 2^depth a
-    tree) are literals, so prediction is one projection."""
-
-    def __init__(self, features=FEATURES, rounds: int = 2000, depth: int = 5, lr: float = 0.05, seed: int = 42, min_leaf: int = 50,
-                 l2: float = 1.0, rows_share: float = 0.9, features_share: float = 0.9, patience: int = 100, k: int = 10):
+    """Boosting with λ-gradients (see ``boosting``). Each round grows a tree of at most ``leaves`` leaves (and 2^depth, if ``depth`` is
+    given) on a sample of rows and features, with Newton leaf values −Σg/(Σh + l2) times lr. With a validation table the mean NDCG@k
+    is measured every round, training stops after ``patience`` rounds without a better one, and prediction uses the best round's trees.
+    Users of the two tables are lists of their own."""
+
+    def __init__(self, features=FEATURES, rounds: int = 2000, depth: int | None = None, lr: float = 0.05, seed: int = 42, min_leaf: int = 50, l2: float = 1.0,
+                 rows_share: float = 0.9, features_share: float = 0.9, patience: int = 100, k: int = 10, leaves: int = 31):
         self.params = {"rounds": rounds, "depth": depth, "lr": lr, "seed": seed, "min_leaf": min_leaf, "l2": l2,
-                       "rows_share": rows_share, "features_share": features_share, "patience": patience, "k": k}
+                       "rows_share": rows_share, "features_share": features_share, "patience": patience, "k": k, "leaves": leaves}
         self.features = list(features)
-        self.trees: list = []
-        self.leaves: list[list[float]] = []
+        self.trees = bo.Trees()
         self.history: list[float] = []
         self.best = 0
 
-    def _assemble(self, df: DataFrame) -> DataFrame:
-        return VectorAssembler(inputCols=self.features, outputCol="features", handleInvalid="keep").transform(df)
-
-    def _add(self, df: DataFrame, k: int, score: str) -> DataFrame:
-        """``score`` after one more tree."""
-        values = F.array(*[F.lit(self.params["lr"] * x) for x in self.leaves[k]])
-        tree = self.trees[k].setLeafCol("__leaf").setPredictionCol("__p")
-        return tree.transform(df).withColumn(score, F.col(score) + values[F.col("__leaf").cast("int")]).drop("__leaf", "__p")
-
     def fit(self, rows: DataFrame, valid: DataFrame | None = None) -> "LambdaMART":
-        from cadenza.operators.evaluate import per_user_list
-        from cadenza.session import cut_lineage
-        p = self.params
-        data = self._assemble(rows).withColumn("score", F.lit(0.0))
-        data = cut_lineage(data.select("user_id", "item_id", "label", "features", "score"))
+        from cadenza.session import cut_table, ship_package
+        ship_package()
+        p = dict(self.params)
+        depth = p.pop("depth")
+        if depth is not None:
+            p["leaves"] = min(p["leaves"], 2 ** depth)
+        wanted = ["user_id", "item_id", "label", *self.features]
+        data = rows.select(*wanted, F.lit(False).alias("__held"))
         if valid is not None:
-            valid = self._assemble(valid).withColumn("score", F.lit(0.0))
-            valid = cut_lineage(valid.select("user_id", "item_id", "label", "features", "score"))
-        for r in range(p["rounds"]):
-            lg = lambda_gradients(data, "score", "label")
-            # the tree makes several passes over its input: the round's targets are written once
-            d = cut_lineage(data.join(lg, ["user_id", "item_id"]).withColumn("target", -F.col("grad")))
-            forest = RandomForestRegressor(featuresCol="features", labelCol="target", numTrees=1, maxDepth=p["depth"], minInstancesPerNode=p["min_leaf"],
-                                           subsamplingRate=p["rows_share"], featureSubsetStrategy=str(p["features_share"]), bootstrap=False, seed=p["seed"] + r)
-            tree = forest.fit(d).trees[0]
-            leafed = tree.setLeafCol("__leaf").setPredictionCol("__p").transform(d)
-            values = leafed.groupBy("__leaf").agg((F.sum("target") / (F.sum("hess") + F.lit(p["l2"]))).alias("v")).collect()  # at most 2^depth
-            table = {int(x["__leaf"]): float(x["v"]) for x in values}
-            self.trees.append(tree)
-            self.leaves.append([table.get(i, 0.0) for i in range(max(table, default=0) + 1)])
-            data = self._add(d, r, "score").drop("grad", "hess", "target")
-            if valid is not None:
-                valid = cut_lineage(self._add(valid, r, "score"))
-                self.history.append(per_user_list(valid, p["k"]).agg(F.avg("ndcg")).first()[0] or 0.0)
-                if self.history[-1] > self.history[self.best - 1] or not self.best:
-                    self.best = r + 1
-                if r + 1 - self.best >= p["patience"]:
-                    break
-            else:
-                self.best = r + 1
+            data = data.unionByName(valid.select(*wanted, F.lit(True).alias("__held")))
+        data = cut_table(data)  # quantiles and blocks each read the rows once
+        cuts = bo.cut_points(data.where(~F.col("__held")), self.features)
+        stored = cut_table(bo.blocks(data, self.features, lambda x: bo.bin_ids(x, cuts)))
+        self.trees, self.history, self.best = bo.train(stored, cuts, bo.Ranker(**p))
         return self
 
     def predict(self, rows: DataFrame, out_col: str = "ranker_score") -> DataFrame:
-        from cadenza.session import cut_lineage
-        d = self._assemble(rows).withColumn(out_col, F.lit(0.0))
-        for k in range(self.best):
-            values = self.leaves[k] + [0.0] * (self.trees[k].numNodes - len(self.leaves[k]))
-            self.leaves[k] = values  # leaves that no training row reached
-            d = self._add(d, k, out_col)
-            if (k + 1) % PLAN_TREES == 0:
-                d = cut_lineage(d)
-        return d.drop("features")
+        """M5: the rows with the score of the best round's trees, evaluated all together for a batch of rows."""
+        from cadenza.session import ship_package
+        ship_package()
+        rows = rows.drop(out_col)
+        flat, features = rows.sparkSession.sparkContext.broadcast(self.trees.first(self.best).arrays()), self.features
+        d = rows.withColumns({f"__{i}": F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for i, f in enumerate(features)})
+        keep = len(rows.columns)
+
+        def score(batches):
+            for b in batches:
+                x = bo.matrix(pa.RecordBatch.from_arrays(b.columns[keep:], features), features)
+                yield pa.RecordBatch.from_arrays([*b.columns[:keep], pa.array(flat.value.scores(x), pa.float64())], [*b.schema.names[:keep], out_col])
+
+        return d.mapInArrow(score, T.StructType([*rows.schema.fields, T.StructField(out_col, T.DoubleType())]))
 
     def importance(self, spark) -> DataFrame:
-        """M6: per feature the mean normalised gain over the trees in use, largest first."""
-        gains = np.zeros(len(self.features))
-        for tree in self.trees[:self.best]:
-            gains += tree.featureImportances.toArray()
-        rows = [(f, float(g) / max(1, self.best)) for f, g in zip(self.features, gains, strict=True)]
-        return spark.createDataFrame(rows, "feature string, gain double").orderBy(F.col("gain").desc(), F.col("feature").asc())
+        """M6: per feature the total gain and the number of its splits in the trees in use, largest gain first."""
+        t = self.trees.first(self.best).table
+        per = t[t["feature"] >= 0].groupby("feature")["gain"].agg(["sum", "count"])
+        rows = [(f, float(per["sum"].get(i, 0.0)), int(per["count"].get(i, 0))) for i, f in enumerate(self.features)]
+        return spark.createDataFrame(rows, "feature string, gain double, split long").orderBy(F.col("gain").desc(), F.col("feature").asc())
 
     def save(self, spark, path: str) -> None:
-        """The trees, and one row with parameters, features, leaf values and the best round."""
-        state = {"params": self.params, "features": self.features, "leaves": self.leaves, "history": self.history, "best": self.best}
-        for k, tree in enumerate(self.trees):
-            tree.write().overwrite().save(f"{path}/tree-{k}")
+        """The trees' nodes as a table, and one row with parameters, features and the best round."""
+        state = {"params": self.params, "features": self.features, "history": self.history, "best": self.best}
+        nodes = self.trees.table.reset_index(names="node")
+        nodes = spark.createDataFrame(nodes, f"node long, {bo.Trees.COLUMNS}") if len(nodes) else spark.createDataFrame([], f"node long, {bo.Trees.COLUMNS}")
+        nodes.write.mode("overwrite").parquet(f"{path}/nodes")
         spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/state")
 
     @classmethod
     def load(cls, spark, path: str) -> "LambdaMART":
         state = json.loads(spark.read.text(f"{path}/state").first()[0])
         m = cls(state["features"], **state["params"])
-        m.leaves, m.history, m.best = state["leaves"], state["history"], state["best"]
-        m.trees = [DecisionTreeRegressionModel.load(f"{path}/tree-{k}") for k in range(len(m.leaves))]
+        m.history, m.best = state["history"], state["best"]
+        m.trees = bo.Trees(spark.read.parquet(f"{path}/nodes").orderBy("node").toPandas().drop(columns="node"))
         return m
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cadenza.operators import als as al
 from cadenza.operators import interactions as it
+from cadenza.operators import pairwise as pw
 from cadenza.operators import popularity as pop
 from cadenza.operators import profiles as pf
 from cadenza.operators import ranking as rk
@@ -14,6 +16,7 @@ from cadenza.operators import rerank as rr
 from cadenza.plans import q_interactions as qi
 from cadenza.plans import q_profiles as qp
 from cadenza.plans.registry import query, rounded
+from cadenza.plans.stages import Run
 from cadenza.sources import standins as st
 
 RR_N = 200
@@ -77,7 +80,7 @@ _RR = (f"{_CAND}, {qp._ITEMF}, {qp._DF}, {qp._NUMP}, "
        "(abs(us - vs) + abs(up - vp)) / 2.0 AS absdiff_mean_user_item FROM J), "
        "FX AS (SELECT *, als_score * log_item_pop_plays AS als_x_pop, als_score * cos_user_item AS als_x_cos FROM FE), "
        "VA AS (SELECT user_id, item_id FROM S WHERE split = 'val'), "
-       "RR AS (SELECT FX.*, CAST(CASE WHEN VA.item_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS label "
+       "RR AS MATERIALIZED (SELECT FX.*, CAST(CASE WHEN VA.item_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS label "
        "FROM FX LEFT JOIN VA USING (user_id, item_id))")
 
 
@@ -115,7 +118,7 @@ def q_label_rows(spark, d):
     "MX AS (SELECT user_id, sum((pow(2.0, label) - 1.0) / log2(1 + ipos)) AS mx FROM (SELECT user_id, label, "
     "row_number() OVER (PARTITION BY user_id ORDER BY label DESC, item_id) AS ipos FROM RR) GROUP BY user_id), "
     "PP AS (SELECT a.user_id, a.item_id AS i, b.item_id AS j, 1.0 / (1.0 + exp(a.score - b.score)) AS rho, "
-    "abs(pow(2.0, a.label) - pow(2.0, b.label)) * abs(a.d - b.d) / mx AS delta FROM D a JOIN D b "
+    "abs(pow(2.0, a.label) - pow(2.0, b.label)) * abs(a.d - b.d) / mx AS delta FROM (SELECT * FROM D WHERE label > 0) a JOIN D b "
     "ON a.user_id = b.user_id AND a.label > b.label JOIN MX ON MX.user_id = a.user_id WHERE mx > 0), "
     "G AS (SELECT user_id, item_id, sum(g) AS g, sum(h) AS h FROM (SELECT user_id, i AS item_id, -rho * delta AS g, "
     "rho * (1 - rho) * delta AS h FROM PP UNION ALL SELECT user_id, j, rho * delta, rho * (1 - rho) * delta FROM PP) "
@@ -127,6 +130,32 @@ def q_lambda_gradients(spark, d):
     return rounded(rr.lambda_gradients(rows, "score", "label"), "grad", "hess")
 
 
+#: Weights at which ``pairwise_gradient`` evaluates the pairwise loss: -1/4, 0, 1/4 in turn.
+STEP_AT = [(k % 3 - 1) / 4 for k in range(len(rr.FEATURES))]
+_Z = [f"CASE WHEN sd_{f} > 0 THEN (RR.{f} - av_{f}) / sd_{f} ELSE 0.0 END" for f in rr.FEATURES]
+
+
+@query("pairwise_gradient", sql=(
+    f"WITH {_RR}, ST AS (SELECT {', '.join(f'avg({f}) AS av_{f}, stddev_pop({f}) AS sd_{f}' for f in rr.FEATURES)} FROM RR), "
+    f"Z AS MATERIALIZED (SELECT user_id, item_id, label, {', '.join(f'{z} AS z_{f}' for z, f in zip(_Z, rr.FEATURES, strict=True))}, "
+    "1.0 / log2(1 + row_number() OVER (PARTITION BY user_id ORDER BY RR.als_score DESC, item_id)) AS d FROM RR, ST), "
+    f"SC AS MATERIALIZED (SELECT *, {' + '.join(f'{w} * z_{f}' for w, f in zip(STEP_AT, rr.FEATURES, strict=True))} AS s FROM Z), "
+    "MX AS (SELECT user_id, sum((pow(2.0, label) - 1.0) / log2(1 + ipos)) AS mx FROM (SELECT user_id, label, "
+    "row_number() OVER (PARTITION BY user_id ORDER BY label DESC, item_id) AS ipos FROM RR) GROUP BY user_id), "
+    "PP AS (SELECT a.user_id, a.item_id AS i, b.item_id AS j, 1.0 / (1.0 + exp(a.s - b.s)) AS rho, "
+    "abs(pow(2.0, a.label) - pow(2.0, b.label)) * abs(a.d - b.d) / mx AS w FROM (SELECT * FROM SC WHERE label > 0) a JOIN SC b "
+    "ON a.user_id = b.user_id AND a.label > b.label JOIN MX ON MX.user_id = a.user_id), "
+    "G AS (SELECT user_id, item_id, sum(c) AS c FROM (SELECT user_id, i AS item_id, -rho * w AS c FROM PP UNION ALL "
+    "SELECT user_id, j, rho * w FROM PP) GROUP BY user_id, item_id), MASS AS (SELECT sum(w) AS m FROM PP) "
+    + " UNION ALL ".join(f"SELECT '{f}' AS feature, {R6(f'sum(c * z_{f}) / max(m)')} AS gradient FROM SC JOIN G USING (user_id, item_id), MASS" for f in rr.FEATURES)))
+def q_pairwise_gradient(spark, d):
+    """One step's gradient of the pairwise logistic loss, weighted by the change of NDCG in the list by als_score."""
+    objective = pw.Objective(rerank_table(spark, d), rr.FEATURES, "als_score", l2=0.0)
+    _, gradient = objective(np.array(STEP_AT))
+    objective.blocks.unpersist()
+    return rounded(spark.createDataFrame([(f, float(g)) for f, g in zip(rr.FEATURES, gradient, strict=True)], "feature string, gradient double"), "gradient")
+
+
 # ---------------------------------------------------------------- models (rows-only checks)
 def _als_model(spark, d, with_splits=False):
     _, splits, train = _inputs(spark, d)
@@ -161,25 +190,41 @@ def _lambdamart(spark, d):
     return rr.LambdaMART(seed=qi.SEED, k=qi.K).fit(rows.where(~held), rows.where(held))
 
 
+def _fitted(spark, d):
+    """The ranker of a data set, fitted once: a stage whose fingerprint is that of the tables and the defaults."""
+    run = Run(spark)
+    for name in ("orders", "lineitem", "part"):
+        run.source(name, f"{d}/{name}.parquet")
+    params = {**rr.LambdaMART().params, "seed": qi.SEED, "k": qi.K, "candidates": RR_N}
+    return run.once("popularity_ranker", list(run.marks), params, lambda path: _lambdamart(spark, d).save(spark, path), lambda path: rr.LambdaMART.load(spark, path))
+
+
 @query("rerank_fit_pointwise")
 def q_rerank_fit_pointwise(spark, d):
     pred = _pointwise(spark, d).transform(rerank_table(spark, d, "test"))
     return pred.select("user_id", "item_id", vector_to_array("probability")[1].alias("ranker_score"))
 
 
+@query("rerank_fit_pairwise")
+def q_rerank_fit_pairwise(spark, d):
+    """Trained on the labels of val to the minimum of the loss, scored on the candidates with the labels of test."""
+    model = pw.PairwiseRanker(rr.FEATURES).fit(rerank_table(spark, d, "val"))
+    return model.predict(rerank_table(spark, d, "test")).select("user_id", "item_id", "label", "ranker_score")
+
+
 @query("rerank_fit_lambdamart")
 def q_rerank_fit_lambdamart(spark, d):
-    return _lambdamart(spark, d).predict(rerank_table(spark, d, "test")).select("user_id", "item_id", "label", "ranker_score")
+    return _fitted(spark, d).predict(rerank_table(spark, d, "test")).select("user_id", "item_id", "label", "ranker_score")
 
 
 @query("rerank_scores")
 def q_rerank_scores(spark, d):
-    return rr.blend_topk(_lambdamart(spark, d).predict(rerank_table(spark, d, "test")), ALPHA, qi.K)
+    return rr.blend_topk(_fitted(spark, d).predict(rerank_table(spark, d, "test")), ALPHA, qi.K)
 
 
 @query("feature_importance")
 def q_feature_importance(spark, d):
-    return _lambdamart(spark, d).importance(spark)
+    return _fitted(spark, d).importance(spark)
 
 
 @query("two_stage_metrics")
