@@ -10,40 +10,44 @@ co-artist already has some. Without a sequential walk:
     genres(a) = ⋃ genres(b) over b on track T(a) with T(b) < T(a).
 
 T is the fixpoint of a monotone relaxation (values only decrease), and genres
-resolve in dependency rounds. Each round is a few shuffles; lineage is cut by a
-reliable checkpoint, and the only driver traffic is a two-number fingerprint.
+resolve in dependency rounds. Both loops are semi-naive: a round joins what the last one has added and writes only what it adds itself,
+as Parquet in the shared folder; the driver only sees whether that is empty.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.session import cut_lineage
+from cadenza.session import cut_table
 
 # Fixed value: genre of an artist that stays without one.
 UNKNOWN_GENRE = "<unknown>"
 
 
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def arrival_times(track_artists: DataFrame, artists: DataFrame) -> DataFrame:
     """(artist_id, t): -1 for artists with genres, the arrival track for imputed
     ones, NULL for artists that never receive genres. ``track_artists`` should be
     materialised by the caller (it is read once per round). Only artists whose time
-    changed in a round take part in the next one; times only decrease, so it ends."""
+    changed in a round take part in the next one, and only they are written; times only decrease, so it ends."""
     ta = track_artists
     ids = artists.select("artist_id").union(ta.select("artist_id")).distinct()
-    has = artists.where(F.size("genres") > 0).select("artist_id", F.lit(-1).cast("long").alias("t"))
-    t = cut_lineage(ids.join(has, "artist_id", "left"))
-    changed = t.where(F.col("t").isNotNull())
+    changed = cut_table(artists.where(F.size("genres") > 0).select("artist_id", F.lit(-1).cast("long").alias("t")).distinct())
+    times = [changed]
     while not changed.isEmpty():
         # the earliest time that a changed artist brings to its tracks
         m = ta.join(changed, "artist_id").groupBy("track_id").agg(F.min("t").alias("m")).where(F.col("m") < F.col("track_id"))
         cand = ta.join(m, "track_id").groupBy("artist_id").agg(F.min("track_id").alias("tn"))
-        t = cut_lineage(t.drop("changed").join(cand, "artist_id", "left")
-                         .select("artist_id", F.least(F.col("t"), F.col("tn")).alias("t"),
-                                 (F.col("tn").isNotNull() & (F.col("t").isNull() | (F.col("tn") < F.col("t")))).alias("changed")))
-        changed = t.where("changed").drop("changed")
-    return t.select("artist_id", "t")
+        known = _all(times).join(cand.select("artist_id"), "artist_id", "left_semi").groupBy("artist_id").agg(F.min("t").alias("t"))
+        changed = cut_table(cand.join(known, "artist_id", "left").where(F.col("t").isNull() | (F.col("tn") < F.col("t"))).select("artist_id", F.col("tn").alias("t")))
+        times.append(changed)
+    return ids.join(_all(times).groupBy("artist_id").agg(F.min("t").alias("t")), "artist_id", "left")
 
 
 def impute_genres(track_artists: DataFrame, artists: DataFrame) -> DataFrame:
@@ -56,45 +60,45 @@ def impute_genres(track_artists: DataFrame, artists: DataFrame) -> DataFrame:
     contributions are (track, source) pairs — at most one per track × artist row,
     never artist × co-artist pairs — and a track resolves once all its sources
     have. Genre sets are handled exploded, so a list is bounded by the genre
-    vocabulary."""
+    vocabulary.
+
+    Rounds are semi-naive: the sources that the last round resolved are joined to their pairs, what they bring is written once (how
+    many sources a track has got, and their genres), and tracks that have got all are the next round's sources. Nothing is written again."""
     # loop-invariant inputs are written once; every round reads them back
-    ta = cut_lineage(track_artists.select("track_id", "artist_id").distinct())
-    artists = cut_lineage(artists.select("artist_id", "genres"))
-    t = arrival_times(ta, artists)
+    ta = cut_table(track_artists.select("track_id", "artist_id").distinct())
+    artists = cut_table(artists.select("artist_id", "genres"))
+    t = cut_table(arrival_times(ta, artists))
     arrival = t.where(F.col("t") >= 0).select(F.col("t").alias("track_id")).distinct()
     src_kind = F.when(F.col("tb") < 0, F.lit("a")).otherwise(F.lit("t"))
     src_id = F.when(F.col("tb") < 0, F.col("artist_id").cast("string")).otherwise(F.col("tb").cast("string"))
-    contrib = cut_lineage(
+    contrib = cut_table(
         ta.join(arrival, "track_id", "left_semi")
           .join(t.select("artist_id", F.col("t").alias("tb")), "artist_id")
           .where(F.col("tb") < F.col("track_id"))
           .select("track_id", src_kind.alias("kind"), src_id.alias("sid")).distinct())
-    need = contrib.groupBy("track_id").agg(F.count(F.lit(1)).alias("need"))
-    own = (artists.where(F.size("genres") > 0)
-                  .select(F.lit("a").alias("kind"), F.col("artist_id").cast("string").alias("sid"),
-                          F.explode("genres").alias("genre")).distinct())
-    union_rows = cut_lineage(own.limit(0).select(F.col("sid").cast("long").alias("track_id"), "genre"))
-    done = 0
-    while True:  # resolved tracks only grow
-        known = own.unionByName(union_rows.select(F.lit("t").alias("kind"), F.col("track_id").cast("string").alias("sid"),
-                                                  "genre"))
-        ks = known.select("kind", "sid").distinct()
-        open_ = contrib.join(union_rows.select("track_id").distinct(), "track_id", "left_anti")
-        have = open_.join(ks, ["kind", "sid"], "left_semi").groupBy("track_id").agg(F.count(F.lit(1)).alias("have"))
-        ready = have.join(need, "track_id").where(F.col("have") == F.col("need")).select("track_id")
-        new = (open_.join(ready, "track_id", "left_semi").join(known, ["kind", "sid"])
-                    .select("track_id", "genre").distinct())
-        union_rows = cut_lineage(union_rows.unionByName(new))
-        m = union_rows.select("track_id").distinct().count()
-        if m == done:
+    need = cut_table(contrib.groupBy("track_id").agg(F.count(F.lit(1)).alias("need")))
+    source = (artists.where(F.size("genres") > 0)
+                     .select(F.lit("a").alias("kind"), F.col("artist_id").cast("string").alias("sid"),
+                             F.explode("genres").alias("genre")).distinct())
+    got, brought, unions = [], [], []
+    while True:
+        met = contrib.join(source, ["kind", "sid"])
+        got.append(cut_table(met.groupBy("track_id").agg(F.countDistinct("kind", "sid").alias("n"))))
+        if got[-1].isEmpty():
             break
-        done = m
-    per_track = union_rows.groupBy("track_id").agg(F.array_sort(F.collect_list("genre")).alias("ug"))
+        brought.append(cut_table(met.select("track_id", "genre").distinct()))
+        have = _all(got).join(got[-1].select("track_id"), "track_id", "left_semi").groupBy("track_id").agg(F.sum("n").alias("n"))
+        ready = have.join(need, "track_id").where(F.col("n") == F.col("need")).select("track_id")
+        unions.append(cut_table(_all(brought).join(ready, "track_id", "left_semi").distinct()))
+        source = unions[-1].select(F.lit("t").alias("kind"), F.col("track_id").cast("string").alias("sid"), "genre")
     base = artists.where(F.size("genres") > 0).select(
         "artist_id", F.array_sort(F.array_distinct("genres")).alias("g0"))
-    return (t.join(base, "artist_id", "left")
-             .join(per_track, t["t"] == per_track["track_id"], "left")
-             .select("artist_id", "t", F.coalesce(F.col("g0"), F.col("ug")).alias("genres")))
+    out = t.join(base, "artist_id", "left")
+    if not unions:
+        return out.select("artist_id", "t", F.col("g0").alias("genres"))
+    per_track = _all(unions).groupBy("track_id").agg(F.array_sort(F.collect_list("genre")).alias("ug"))
+    return (out.join(per_track, out["t"] == per_track["track_id"], "left")
+               .select("artist_id", "t", F.coalesce(F.col("g0"), F.col("ug")).alias("genres")))
 
 
 def genres_or_unknown(imputed: DataFrame) -> DataFrame:
@@ -121,34 +125,50 @@ def mode_of(df: DataFrame, keys, col: str) -> DataFrame:
 
 
 def per_genre(rows: DataFrame, numerics, categories) -> DataFrame:
-    """A7 + A8 + W10: per (artist, genre) numeric means, category modes, row count n
-    and share w = n / Σ n of the artist."""
-    keys = ["artist_id", "genre"]
-    agg = rows.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in numerics], F.count(F.lit(1)).alias("n"))
-    for c in categories:
-        agg = agg.join(mode_of(rows, keys, c), keys, "left")
+    """A6–A8 + W10: per (artist, genre) numeric means, category modes (as ``mode_of``), row count n
+    and share w = n / Σ n of the artist.
+
+    The rows are read once: they are summed per combination of category values (map side first), the combinations are unpivoted to
+    (category, value) counts, and one aggregate per (artist, genre) takes sums and modes from those."""
+    keys, categories, numerics = ["artist_id", "genre"], list(categories), list(numerics)
+    sums = [F.sum(F.col(c).cast("double")).alias(f"__s{i}") for i, c in enumerate(numerics)]
+    known = [F.count(c).alias(f"__c{i}") for i, c in enumerate(numerics)]
+    parts = rows.groupBy(*keys, *categories).agg(F.count(F.lit(1)).alias("__n"), *sums, *known)
+    carried = ["__n", *[f"__s{i}" for i in range(len(numerics))], *[f"__c{i}" for i in range(len(numerics))]]
+    # turn 0 carries the sums, turn j + 1 the values of category j
+    turns = [F.struct(F.lit(0).alias("turn"), *[F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in categories], *[F.col(c).alias(c) for c in carried])]
+    for j in range(len(categories)):
+        turns.append(F.struct(F.lit(j + 1).alias("turn"),
+                              *[(F.col(c) if i == j else F.lit(None).cast(rows.schema[c].dataType)).alias(c) for i, c in enumerate(categories)],
+                              *[(F.col(c) if c == "__n" else F.lit(None).cast(parts.schema[c].dataType)).alias(c) for c in carried]))
+    counts = parts.select(*keys, F.inline(F.array(*turns))).groupBy(*keys, "turn", *categories).agg(*[F.sum(c).alias(c) for c in carried])
+    first = F.col("turn") == 0
+    agg = counts.groupBy(*keys).agg(
+        *[(F.sum(F.when(first, F.col(f"__s{i}"))) / F.nullif(F.sum(F.when(first, F.col(f"__c{i}"))), F.lit(0))).alias(c) for i, c in enumerate(numerics)],
+        F.sum(F.when(first, F.col("__n"))).alias("n"),
+        *[F.min(F.when((F.col("turn") == j + 1) & F.col(c).isNotNull(), F.struct((-F.col("__n")).alias("n"), F.col(c).alias("v"))))["v"].alias(c)
+          for j, c in enumerate(categories)])
     return agg.withColumn("w", F.col("n") / F.sum("n").over(Window.partitionBy("artist_id")))
 
 
+def _weighted(cols, wcol: str = "w") -> list:
+    w = F.col(wcol)
+    return [F.coalesce(F.sum(w * F.col(c)) / F.nullif(F.sum(F.when(F.col(c).isNotNull(), w)), F.lit(0.0)), F.lit(0.0)).alias(c) for c in cols]
+
+
 def weighted_mean(df: DataFrame, keys, cols, wcol: str = "w") -> DataFrame:
     """A4: Σ w·x / Σ w over non-null x; 0.0 when no x is present."""
-    w = F.col(wcol)
-    return df.groupBy(*keys).agg(*[
-        F.coalesce(F.sum(w * F.col(c)) / F.nullif(F.sum(F.when(F.col(c).isNotNull(), w)), F.lit(0.0)),
-                   F.lit(0.0)).alias(c) for c in cols])
+    return df.groupBy(*keys).agg(*_weighted(cols, wcol))
 
 
 def artist_vectors(per_ag: DataFrame, numerics, categories, names: DataFrame | None = None, top: int = 3) -> DataFrame:
     """Weighted numerics, categories of the top-w genre row (tie → genre asc),
-    and the first ``top`` genres by (w desc, genre asc) joined by commas (W3, A19)."""
-    vec = weighted_mean(per_ag, ["artist_id"], numerics)
-    w = Window.partitionBy("artist_id").orderBy(F.col("w").desc(), F.col("genre").asc())
-    ranked = per_ag.withColumn("__rn", F.row_number().over(w))
-    cats = ranked.where("__rn = 1").select("artist_id", *categories)
-    tops = (ranked.where(F.col("__rn") <= top).groupBy("artist_id")
-                  .agg(F.array_sort(F.collect_list(F.struct("__rn", "genre"))).alias("__g"))
-                  .select("artist_id", F.array_join(F.transform("__g", lambda x: x["genre"]), ",").alias("top_genres")))
-    out = vec.join(cats, "artist_id").join(tops, "artist_id")
+    and the first ``top`` genres by (w desc, genre asc) joined by commas (W3, A19): one aggregate per artist, over at most as many
+    rows as there are genres."""
+    row = F.struct((-F.col("w")).alias("o"), F.col("genre").alias("genre"), *[F.col(c).alias(c) for c in categories])
+    g = per_ag.groupBy("artist_id").agg(*_weighted(numerics), F.array_sort(F.collect_list(row)).alias("__r"))
+    out = g.select("artist_id", *numerics, *[F.col("__r")[0][c].alias(c) for c in categories],
+                   F.array_join(F.transform(F.slice("__r", 1, top), lambda x: x["genre"]), ",").alias("top_genres"))
     if names is not None:
         out = out.join(names, "artist_id", "left")
     return out

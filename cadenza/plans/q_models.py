@@ -136,10 +136,10 @@ _Z = [f"CASE WHEN sd_{f} > 0 THEN (RR.{f} - av_{f}) / sd_{f} ELSE 0.0 END" for f
 
 
 @query("pairwise_gradient", sql=(
-    f"WITH {_RR}, ST AS (SELECT {', '.join(f'avg({f}) AS av_{f}, stddev_pop({f}) AS sd_{f}' for f in rr.FEATURES)} FROM RR), "
-    f"Z AS MATERIALIZED (SELECT user_id, item_id, label, {', '.join(f'{z} AS z_{f}' for z, f in zip(_Z, rr.FEATURES, strict=True))}, "
-    "1.0 / log2(1 + row_number() OVER (PARTITION BY user_id ORDER BY RR.als_score DESC, item_id)) AS d FROM RR, ST), "
-    f"SC AS MATERIALIZED (SELECT *, {' + '.join(f'{w} * z_{f}' for w, f in zip(STEP_AT, rr.FEATURES, strict=True))} AS s FROM Z), "
+    f"WITH {_RR}, STATS AS (SELECT {', '.join(f'avg({f}) AS av_{f}, stddev_pop({f}) AS sd_{f}' for f in rr.FEATURES)} FROM RR), "
+    f"ZS AS MATERIALIZED (SELECT user_id, item_id, label, {', '.join(f'{z} AS z_{f}' for z, f in zip(_Z, rr.FEATURES, strict=True))}, "
+    "1.0 / log2(1 + row_number() OVER (PARTITION BY user_id ORDER BY RR.als_score DESC, item_id)) AS d FROM RR, STATS), "
+    f"SC AS MATERIALIZED (SELECT *, {' + '.join(f'{w} * z_{f}' for w, f in zip(STEP_AT, rr.FEATURES, strict=True))} AS s FROM ZS), "
     "MX AS (SELECT user_id, sum((pow(2.0, label) - 1.0) / log2(1 + ipos)) AS mx FROM (SELECT user_id, label, "
     "row_number() OVER (PARTITION BY user_id ORDER BY label DESC, item_id) AS ipos FROM RR) GROUP BY user_id), "
     "PP AS (SELECT a.user_id, a.item_id AS i, b.item_id AS j, 1.0 / (1.0 + exp(a.s - b.s)) AS rho, "
