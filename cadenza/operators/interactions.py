@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.plans.ordering import attach_scalars, dense_ids
-from cadenza.session import cut_lineage
+from cadenza.session import cut_lineage, cut_table
 
 # BM25 parameters used by the training pipeline.
 BM25_K1 = 1.2
@@ -114,9 +114,10 @@ def split_exact(inter: DataFrame, val_ratio: float = 0.1, test_ratio: float = 0.
 
     No global sort: rows are counted per leading SPLIT_BITS of their hash (at most 2^16 counts). The hash prefix
     decides the split of a row, unless the prefix holds one of the two cuts; only the
-    rows of these prefixes, about n / 2^16 each, are ranked."""
+    rows of these prefixes, about n / 2^16 each, are ranked. The rows are written once, so that neither the counts nor the branches nor
+    the splits' consumers compute them again."""
     _check_ratios(val_ratio, test_ratio)
-    h = inter.withColumn("__h", split_hash_col(seed)).withColumn("__p", F.shiftright("__h", 32 - SPLIT_BITS))
+    h = cut_table(inter.withColumn("__h", split_hash_col(seed)).withColumn("__p", F.shiftright("__h", 32 - SPLIT_BITS)))
     counts = {r[0]: r[1] for r in h.groupBy("__p").count().collect()}  # at most 2^SPLIT_BITS rows
     n = sum(counts.values())
     val, test = round(n * val_ratio), round(n * test_ratio)

@@ -29,9 +29,14 @@ def pop_prior(train: DataFrame, items: DataFrame | None = None, pop_from: str =
         "item_id", F.when(F.col("__mx") > 0, F.col("__l") / F.col("__mx")).otherwise(F.lit(0.0)).alias("prior"))
 
 
-def item_popularity(train: DataFrame, items: DataFrame | None = None) -> DataFrame:
-    """Distinct users and Σ plays per item; catalog items without plays get 0."""
-    pop = train.groupBy("item_id").agg(F.countDistinct("user_id").cast("long").alias("item_pop_users"),
+def _distinct(col: str, unique: bool):
+    """Distinct values in a group; with ``unique`` pairs a plain count, which needs no second shuffle."""
+    return (F.count(col) if unique else F.countDistinct(col)).cast("long")
+
+
+def item_popularity(train: DataFrame, items: DataFrame | None = None, unique: bool = False) -> DataFrame:
+    """Distinct users and Σ plays per item; catalog items without plays get 0. ``unique``: no pair is there twice."""
+    pop = train.groupBy("item_id").agg(_distinct("user_id", unique).alias("item_pop_users"),
                                        F.sum("plays").alias("item_pop_plays"))
     if items is None:
         return pop
@@ -39,10 +44,10 @@ def item_popularity(train: DataFrame, items: DataFrame | None = None) -> DataFra
                  .fillna({"item_pop_users": 0, "item_pop_plays": 0.0}))
 
 
-def user_activity(train: DataFrame) -> DataFrame:
-    """A10: distinct items, total and mean plays per user (train split only)."""
+def user_activity(train: DataFrame, unique: bool = False) -> DataFrame:
+    """A10: distinct items, total and mean plays per user (train split only). ``unique``: no pair is there twice."""
     return train.groupBy("user_id").agg(
-        F.countDistinct("item_id").cast("long").alias("user_seen_items"),
+        _distinct("item_id", unique).alias("user_seen_items"),
         F.sum("plays").alias("user_total_plays"),
         F.avg("plays").alias("user_mean_plays"))
 

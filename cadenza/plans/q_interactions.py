@@ -148,7 +148,8 @@ _BM25 = (
     "FROM TR JOIN DF USING (item_id) JOIN UL USING (user_id), N, AV"))
 def q_bm25_weight(spark, d):
     inter = st.interactions(spark, d)
-    return rounded(it.bm25_weight(it.split_of(it.split_exact(inter, VAL, TEST, SEED), "train"), inter), "weight")
+    splits = it.split_exact(inter, VAL, TEST, SEED)
+    return rounded(it.bm25_weight(it.split_of(splits, "train"), splits), "weight")
 
 
 @query("tfidf_weight", sql=(
@@ -156,7 +157,8 @@ def q_bm25_weight(spark, d):
     "FROM TR JOIN DF USING (item_id), N"))
 def q_tfidf_weight(spark, d):
     inter = st.interactions(spark, d)
-    return rounded(it.tfidf_weight(it.split_of(it.split_exact(inter, VAL, TEST, SEED), "train"), inter), "weight")
+    splits = it.split_exact(inter, VAL, TEST, SEED)
+    return rounded(it.tfidf_weight(it.split_of(splits, "train"), splits), "weight")
 
 
 def _sql_prior(value: str) -> str:
@@ -169,13 +171,15 @@ def _sql_prior(value: str) -> str:
 @query("pop_prior_plays", sql=f"WITH {I}, {SPLIT}, {_sql_prior('plays')} SELECT item_id, round(prior, 6) AS prior FROM PR")
 def q_pop_prior_plays(spark, d):
     inter = st.interactions(spark, d)
-    return rounded(pop.pop_prior(it.split_of(it.split_exact(inter, VAL, TEST, SEED), "train"), inter, "plays"), "prior")
+    splits = it.split_exact(inter, VAL, TEST, SEED)
+    return rounded(pop.pop_prior(it.split_of(splits, "train"), splits, "plays"), "prior")
 
 
 @query("pop_prior_rows", sql=f"WITH {I}, {SPLIT}, {_sql_prior('1')} SELECT item_id, round(prior, 6) AS prior FROM PR")
 def q_pop_prior_rows(spark, d):
     inter = st.interactions(spark, d)
-    return rounded(pop.pop_prior(it.split_of(it.split_exact(inter, VAL, TEST, SEED), "train"), inter, "rows"), "prior")
+    splits = it.split_exact(inter, VAL, TEST, SEED)
+    return rounded(pop.pop_prior(it.split_of(splits, "train"), splits, "rows"), "prior")
 
 
 @query("user_activity", sql=(

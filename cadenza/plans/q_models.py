@@ -17,6 +17,7 @@ from cadenza.plans import q_interactions as qi
 from cadenza.plans import q_profiles as qp
 from cadenza.plans.registry import query, rounded
 from cadenza.plans.stages import Run
+from cadenza.session import cut_table
 from cadenza.sources import standins as st
 
 RR_N = 200
@@ -31,14 +32,13 @@ def R6(expr: str) -> str:
 
 # ---------------------------------------------------------------- shared Spark inputs
 def _inputs(spark, d):
-    inter = st.interactions(spark, d)
-    splits = it.split_exact(inter, qi.VAL, qi.TEST, qi.SEED)
-    train = it.split_of(splits, "train")
-    return inter, splits, train
+    """The splits, written once, and the training pairs."""
+    splits = cut_table(it.split_exact(st.interactions(spark, d), qi.VAL, qi.TEST, qi.SEED))
+    return splits, it.split_of(splits, "train")
 
 
 def rerank_candidates(spark, d, n=RR_N):
-    _, splits, train = _inputs(spark, d)
+    splits, train = _inputs(spark, d)
     prior = pop.pop_prior(train, splits, "plays").withColumnRenamed("prior", "score")
     c = rk.topn_unseen_by_item_score(splits.select("user_id"), train, prior, n)
     return c.select("user_id", "item_id", F.col("score").alias("als_score"), F.col("rank").alias("als_rank")), splits
@@ -49,8 +49,8 @@ def rerank_table(spark, d, split="val", n=RR_N):
     train = it.split_of(splits, "train")
     feats = pf.item_features(st.items(spark, d).withColumnRenamed("explicit_text", "explicit"), qp.NUM, qp.CAT, qp.GEN)
     profiles = pf.user_profiles(train, feats, qp.NUM, qp.CAT, qp.GEN)
-    items = pop.item_popularity(train, feats.select("item_id", *qp.NUM))
-    activity = pop.user_activity(train)
+    items = pop.item_popularity(train, feats.select("item_id", *qp.NUM), unique=True)
+    activity = pop.user_activity(train, unique=True)
     return rr.rerank_rows(cands, profiles, items, activity, qp.NUM, it.split_of(splits, split))
 
 
@@ -158,7 +158,7 @@ def q_pairwise_gradient(spark, d):
 
 # ---------------------------------------------------------------- models (rows-only checks)
 def _als_model(spark, d, with_splits=False):
-    _, splits, train = _inputs(spark, d)
+    splits, train = _inputs(spark, d)
     al.check_int_ids(train, "user_id", "item_id")
     w = it.bm25_weight(train, splits).withColumnRenamed("weight", "plays")
     model = al.fit_als(w, "plays", ALS_RANK, ALS_REG, ALS_ALPHA, ALS_ITERS, qi.SEED)
