@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.numeric import boolize, safe_double, safe_numeric
 from cadenza.functions.text import genre_tokens, join_key
+from cadenza.sources.roles import with_roles
 
 TOPK_GENRES = 3
 
@@ -70,16 +71,36 @@ def genre_topk(dist: DataFrame, k: int = TOPK_GENRES) -> DataFrame:
                                       for i in range(1, k + 1)])
 
 
+def genre_summary(df: DataFrame, genre_col: str, k: int = TOPK_GENRES) -> DataFrame:
+    """A13, A14 and W4 together: per user the top-k genres and the entropy, from one aggregate over the user's genres (at most as many as
+    there are genres). Values are those of ``genre_topk`` and ``genre_entropy``."""
+    tok = df.select("user_id", "plays", genre_tokens(genre_col).alias("__tok")).where(F.size("__tok") > 0)
+    bag = (tok.select("user_id", (F.col("plays") / F.size("__tok")).alias("__s"), F.explode("__tok").alias("genre"))
+              .groupBy("user_id", "genre").agg(F.sum("__s").alias("__b")))
+    g = bag.groupBy("user_id").agg(F.sum("__b").alias("__t"), F.array_sort(F.collect_list(F.struct((-F.col("__b")).alias("o"), "genre"))).alias("__g"))
+    p = F.transform("__g", lambda x: -x["o"] / F.col("__t"))
+    entropy = F.aggregate(p, F.lit(0.0), lambda a, x: a - F.when(x > 0, x * F.log2(x)).otherwise(0.0))
+    return g.select("user_id", *[F.get(F.col("__g"), i)["genre"].alias(f"user_genre_top{i + 1}") for i in range(k)], entropy.alias("user_genre_entropy"))
+
+
 def user_profiles(train: DataFrame, feats: DataFrame, numerics, categories, genre_col: str | None,
                   k: int = TOPK_GENRES) -> DataFrame:
-    """All parts keyed by user; numeric NULLs → 0.0, genre names stay NULL."""
+    """All parts keyed by user; numeric NULLs → 0.0, genre names stay NULL. Columns carry their roles."""
     df = profile_input(train, feats, numerics, categories, genre_col)
     out = numeric_profile(df, numerics, categories)
     if genre_col:
-        dist = genre_distribution(df, genre_col)
-        out = out.join(genre_topk(dist, k), "user_id", "left").join(genre_entropy(dist), "user_id", "left")
-        out = out.fillna({"user_genre_entropy": 0.0})
-    return out.fillna(0.0, [f"uf_{c}" for c in [*numerics, *categories]])
+        out = out.join(genre_summary(df, genre_col, k), "user_id", "left").fillna({"user_genre_entropy": 0.0})
+    out = out.fillna(0.0, [f"uf_{c}" for c in [*numerics, *categories]])
+    return with_roles(out, group="user_id", profile=[c for c in out.columns if c != "user_id"])
+
+
+def named_pairs(named: DataFrame, items: DataFrame, mode: str = "word") -> DataFrame:
+    """Plays by raw names as (user_id, item_id, plays): names meet the catalog through the normalised key, the catalog
+    deduplicated to the first row per key (smallest id). Unmatched names are dropped. The name-key path of ``user_profiles``."""
+    it = items.select("item_id", join_key("item_name", mode).alias("__key")).where(F.col("__key").isNotNull())
+    first = it.groupBy("__key").agg(F.min("item_id").alias("item_id"))  # first row per key, skew-safe
+    j = named.withColumn("__key", join_key("artist", mode)).join(first, "__key")
+    return j.groupBy(F.col("username").alias("user_id"), "item_id").agg(F.sum("plays").alias("plays"))
 
 
 def popularity_by_name(named: DataFrame, items: DataFrame, mode: str = "word") -> DataFrame:

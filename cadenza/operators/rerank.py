@@ -25,6 +25,7 @@ from cadenza.functions.numeric import alpha_blend, number
 from cadenza.functions.vectors import pair_features
 from cadenza.operators import boosting as bo
 from cadenza.operators.ranking import label_join, topn
+from cadenza.sources.roles import with_roles
 
 # The ranker's feature list in order.
 FEATURES = [
@@ -47,7 +48,7 @@ def pair_columns(profiles: DataFrame, items: DataFrame, numerics) -> tuple[list[
 def rerank_rows(cands: DataFrame, profiles: DataFrame, items: DataFrame, activity: DataFrame, numerics,
                 truth: DataFrame | None = None) -> DataFrame:
     """J5 + J17 + V3 + N5–N7 (+ J6 when ``truth`` is given): one row per candidate
-    with the 16 features. Missing values become 0 (N14)."""
+    with the 16 features. Missing values become 0 (N14). Columns carry their roles (S10): group, item, label, feature."""
     ucols, icols = pair_columns(profiles, items, numerics)
     df = (cands.join(profiles, "user_id", "left")
                .join(items, "item_id", "left")
@@ -66,7 +67,8 @@ def rerank_rows(cands: DataFrame, profiles: DataFrame, items: DataFrame, activit
     if truth is not None:
         df = label_join(df, truth)
     keep = ["user_id", "item_id"] + (["label"] if truth is not None else []) + FEATURES
-    return df.select(*keep)
+    marks = {"group": "user_id", "item": "item_id", "feature": FEATURES} | ({"label": "label"} if truth is not None else {})
+    return with_roles(df.select(*keep), **marks)
 
 
 def lambda_gradients(rows: DataFrame, score_col: str = "score", label_col: str = "label",

@@ -90,6 +90,26 @@ def q_popularity_by_name(spark, d):
     return pf.popularity_by_name(named, st.items(spark, d), "word")
 
 
+_BY_NAME = (f"PL AS (SELECT username, artist, sum(plays) AS plays FROM ({st.SQL_PLAY_LOG}) GROUP BY username, artist), "
+            f"IK AS (SELECT item_id, {_WORDKEY.format(c='item_name')} AS key FROM ({st.SQL_ITEMS})), "
+            "F1 AS (SELECT * FROM IK WHERE key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY key ORDER BY item_id) = 1), "
+            f"TR AS (SELECT username AS user_id, item_id, sum(plays) AS plays FROM (SELECT *, {_WORDKEY.format(c='artist')} AS key FROM PL) "
+            "JOIN F1 USING (key) GROUP BY username, item_id)")
+
+
+@query("user_profiles_by_name", sql=(
+    f"WITH {_BY_NAME}, {_ITEMF}, {_DF}, {_DIST}, {_TOPK}, {_ENT}, {_NUMP} SELECT NP.user_id, round(uf_size, 6) AS uf_size, "
+    "round(uf_price_cents, 6) AS uf_price_cents, round(uf_explicit, 6) AS uf_explicit, " + ", ".join(f"user_genre_top{i}" for i in range(1, K3 + 1)) +
+    ", round(coalesce(user_genre_entropy, 0.0), 6) AS user_genre_entropy "
+    "FROM NP LEFT JOIN TOPK USING (user_id) LEFT JOIN ENT USING (user_id)"))
+def q_user_profiles_by_name(spark, d):
+    """Profiles of a play log that has names only."""
+    items = st.items(spark, d)
+    feats = pf.item_features(items.withColumnRenamed("explicit_text", "explicit"), NUM, CAT, GEN)
+    pairs = pf.named_pairs(read_interactions(st.play_log(spark, d)), items, "word")
+    return rounded(pf.user_profiles(pairs, feats, NUM, CAT, GEN), "uf_size", "uf_price_cents", "uf_explicit", "user_genre_entropy")
+
+
 @query("id_map_fallback", sql=(
     f"WITH {qi.I}, M AS (SELECT p_partkey AS old_item_id, 'item-' || CAST(p_partkey AS VARCHAR) AS artist_id "
     "FROM part WHERE p_size > 25) SELECT user_id, item_id, plays, coalesce(M.artist_id, CAST(item_id AS VARCHAR)) "
