@@ -32,6 +32,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -48,9 +49,11 @@ PARTITION = 4 << 20
 #: A task keeps the ids of at most so many different words, tokenises so many at a time, and takes about so many characters of a text at a time.
 WORDS, GROUP, CHARS = 1 << 20, 4096, 1 << 22
 BAR = "|"
-SIGNS = frozenset(".,;:!?")
-#: str.split() takes these for white space; regular expressions of tokenizers don't.
-ODD = re.compile("[\x1c-\x1f]")
+SIGNS = ".,;:!?"
+#: Arrow takes these for white space; regular expressions of tokenizers don't.
+ODD = "[\x1c-\x1f]"
+#: Letters whose lower case is not one letter by itself.
+SPECIAL = "[\u0130\u03a3]"
 
 
 @functools.lru_cache(maxsize=2)
@@ -75,9 +78,9 @@ def default_tokenizer() -> str:
 
 class Words(dict):
     """Ids of white-space-delimited words as bytes, for a tokenizer whose tokens never cross white space (checked by ``splits_at_blanks``): a text's
-    ids are those of its words. Unknown words of a group of texts are tokenised together and kept. Words of letters, with a point or the
-    like at their end or without, are looked up in lower case without that sign, which is a token of its own; many of them are tokenised as one
-    text, whose ids are cut where a token ends a word."""
+    ids are those of its words. Arrow splits a group of texts and finds its different words; only these are looked up here. Words of
+    letters, with a point or the like at their end or without, are kept in lower case without that sign, which is a token of its own; unknown
+    ones are tokenised as one text, whose ids are cut where a token ends a word."""
 
     def __init__(self, path: str, limit: int = WORDS):
         super().__init__()
@@ -86,18 +89,19 @@ class Words(dict):
         self.kind = np.dtype("<u2" if len(vocab) <= 1 << 16 else "<u4")
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for k, i in vocab.items() if suffix and k.endswith(suffix)]] = True
-        self.signs = {x: self.plain([x])[0] for x in {*SIGNS, BAR}}
+        self.signs = {x: self.plain([x])[0] for x in [*SIGNS, BAR]}
+        self.sign_names, self.sign_ids = pa.array(list(SIGNS), pa.large_string()), pa.array([self.signs[x] for x in SIGNS], pa.large_binary())
         self.light = _light(path)
 
     def others(self, words: list[str]) -> None:
         """Learns words of any signs; those without a bar as one text with bars between them."""
         bar = self.signs[BAR]
-        some = [w for w in words if BAR not in w] if len(bar) == self.kind.itemsize else []
-        for a in range(0, len(some), GROUP):
-            ids = np.array(self.tokenizer.encode_batch_fast([f" {BAR} ".join(some[a:a + GROUP])], add_special_tokens=False)[0].ids, dtype=self.kind)
+        some = [w for w in words if w and BAR not in w] if len(bar) == self.kind.itemsize else []
+        if some:
+            ids = np.array(self.tokenizer.encode_batch_fast([f" {BAR} ".join(some)], add_special_tokens=False)[0].ids, dtype=self.kind)
             cut = np.flatnonzero(ids == np.frombuffer(bar, self.kind)[0]) * self.kind.itemsize
             raw, ends, starts = ids.tobytes(), [*cut.tolist(), ids.nbytes], [0, *(cut + self.kind.itemsize).tolist()]
-            self.update(zip(some[a:a + GROUP], [raw[x:y] for x, y in zip(starts, ends, strict=True)], strict=True))
+            self.update(zip(some, [raw[x:y] for x, y in zip(starts, ends, strict=True)], strict=True))
         rest = [w for w in words if w not in self]
         self.update(zip(rest, self.plain(rest), strict=True))
 
@@ -116,27 +120,32 @@ class Words(dict):
                 return
         self.update(zip(words, self.plain(words), strict=True))  # a tokenizer without ends of words, or letters that it would compose
 
-    def learn(self, words: set[str]) -> None:
-        unknown = words.difference(self)
+    def of(self, words: pa.Array) -> pa.Array:
+        """The ids of different words."""
+        sign = pc.index_in(pc.utf8_slice_codeunits(words, -1), self.sign_names)
+        core = pc.if_else(sign.is_valid(), pc.utf8_slice_codeunits(words, 0, -1), words)
+        low = pc.utf8_lower(core)
+        made = pc.and_(pc.and_(pc.utf8_is_alpha(core), pc.utf8_is_alpha(low)), pc.invert(pc.match_substring_regex(core, SPECIAL)))
+        cores = low.filter(made).dictionary_encode()
+        ids = self.known(cores.dictionary.to_pylist(), self.letters).take(cores.indices)
+        tails = pc.fill_null(self.sign_ids.take(sign.filter(made)), b"")
+        others = self.known(words.filter(pc.invert(made)).to_pylist(), self.others)
+        # the two kinds in the order of the words
+        both = pa.concat_arrays([pc.binary_join_element_wise(ids, tails, pa.scalar(b"", ids.type)), others])
+        made = made.to_numpy(zero_copy_only=False)
+        place = np.empty(len(made), np.int64)
+        place[made], place[~made] = np.arange(made.sum()), made.sum() + np.arange((~made).sum())
+        return both.take(pa.array(place))
+
+    def known(self, words: list[str], learn) -> pa.Array:
+        """The ids of words; unknown ones are learnt first, GROUP at a time."""
+        unknown = [w for w in words if w not in self]
         if len(self) + len(unknown) > self.limit:
             self.clear()
             unknown = words
-        cores = [w for w in unknown if w.isalpha() and w.islower()]
-        made, lows, rest = [], [], []
-        for w in unknown.difference(cores):
-            core = w[:-1] if w[-1] in SIGNS else w
-            low = core.lower()
-            if core.isalpha() and low.isalpha() and "\u03a3" not in core:  # a final sigma has two lower-case forms
-                made.append(w)
-                lows.append(low)
-            else:
-                rest.append(w)
-        cores = list(set(cores).union(lows).difference(self))
-        for a in range(0, len(cores), GROUP):
-            self.letters(cores[a:a + GROUP])
-        for w, low in zip(made, lows, strict=True):
-            self[w] = self[low] + self.signs[w[-1]] if w[-1] in SIGNS else self[low]
-        self.others(rest)
+        for a in range(0, len(unknown), GROUP):
+            learn(unknown[a:a + GROUP])
+        return pa.array([self[w] for w in words], pa.large_binary())
 
 
 @functools.lru_cache(maxsize=2)
@@ -154,43 +163,26 @@ def splits_at_blanks(path: str) -> bool:
     return drops and [s["type"] for s in splits[1:]] == ["ByteLevel"] and not splits[1]["add_prefix_space"] and not splits[1]["use_regex"] and all(n and n["type"] in alone for n in norms)
 
 
-def token_ids(texts: list[str], path: str, end: int = END, chars: int = CHARS) -> Iterator[np.ndarray]:
-    """The ids of each text and ``end``. Texts are taken as their words, groups of about ``chars`` characters at a time and longer texts in such
-    parts; one with separators that only Python takes for white space goes to the tokenizer as it is."""
+def token_ids(texts: pa.Array | list, path: str, end: int = END, chars: int = CHARS) -> Iterator[np.ndarray]:
+    """The ids of each text and ``end``, groups of about ``chars`` bytes (or one longer text) at a time. A text with separators that
+    tokenizers don't take for white space goes to the tokenizer as it is."""
     words = _words(path)
     stop = np.array([end], dtype=words.kind).tobytes()
-
-    def known(split: list[str]) -> bytes:
-        return b"".join(map(words.__getitem__, split))
-
-    def group(some: list[str]) -> Iterator[np.ndarray]:
-        splits = [(t or "").split() for t in some]
-        words.learn(set().union(*splits))
-        for x in splits:
-            yield np.frombuffer(known(x) + stop, dtype=words.kind)
-
-    waiting, size = [], 0
-    for text in texts:
-        odd = bool(text) and ODD.search(text) is not None
-        if odd or len(text or "") > chars:
-            yield from group(waiting)
-            waiting, size, parts = [], 0, []
-            if odd:
-                parts = words.plain([text])
-            else:
-                split = text.split()
-                for a in range(0, len(split), max(1, chars // 8)):
-                    some = split[a:a + max(1, chars // 8)]
-                    words.learn(set(some))
-                    parts.append(known(some))
-            yield np.frombuffer(b"".join([*parts, stop]), dtype=words.kind)
-            continue
-        waiting.append(text)
-        size += len(text or "")
-        if size >= chars:
-            yield from group(waiting)
-            waiting, size = [], 0
-    yield from group(waiting)
+    texts = pc.fill_null((texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_string()), "")
+    group = np.cumsum(pc.binary_length(texts).to_numpy()) // chars
+    edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+    for lo, hi in zip(edges, edges[1:]):
+        some = texts.slice(lo, hi - lo)
+        strange = pc.match_substring_regex(some, ODD)
+        odd = {k: words.plain([some[k].as_py()])[0] for k in np.flatnonzero(strange.to_numpy(zero_copy_only=False)).tolist()}
+        lists = pc.utf8_split_whitespace(pc.if_else(strange, "", some) if odd else some)
+        coded = lists.flatten().dictionary_encode()
+        ids = words.of(coded.dictionary).take(coded.indices)
+        _, at, data = ids.buffers()
+        ends = np.frombuffer(at, np.int64)[ids.offset:][lists.offsets.to_numpy()].tolist()
+        for k, (x, y) in enumerate(zip(ends, ends[1:])):
+            mine = odd[k] if k in odd else data[x:y].to_pybytes() if y > x else b""
+            yield np.frombuffer(mine + stop, dtype=words.kind)
 
 
 def sentence_signs(path: str) -> tuple[list[int], list[int]]:
@@ -209,7 +201,7 @@ def tokenised(docs: DataFrame, id_col: str, text_col: str, path: str, end: int =
     def run(batches):
         for b in batches:
             ids, at = [], 0
-            for x in token_ids(b.column(1).to_pylist(), path, end):
+            for x in token_ids(b.column(1), path, end):
                 ids.append(x)
                 if sum(map(len, ids)) >= BLOCK:
                     yield emit(b, at, ids)
