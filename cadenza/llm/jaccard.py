@@ -7,15 +7,17 @@ sets are one point. The join proceeds by regions around pivots:
    triangle inequality turns the radius into a window: two linked documents share at least l of the first
    |x| - ceil(0.75 |x|) + l shingles of x, for every l. Windows for l = |x| / SLACK are shuffled by shingle; a document
    with fewer shared shingles than that is linked with nothing and leaves.
-2. *Regions.* Among the rest, shingles are ordered by how many documents hold them, rarest first. A document's home is the
-   region of its first shingle, and it is replicated to the regions of its whole window for l = 1; shingles that no
-   other document holds need no region. Every linked pair meets in a region.
-3. *Pivot rounds.* Each region takes a document as pivot, and every member whose size allows a link is compared with it: linear in the region. Links
-   merge into components, and only pairs from different components are of interest afterwards. While the pairs left
-   would be many more than the members, and the last round found links, regions take another pivot: the first member
-   that is not yet in the component of an earlier one.
-4. *Rest.* The remaining pairs of a region are those in different components whose sizes allow a link and whose distances
-   to the pivot differ by at most the radius (triangle inequality); each is compared.
+2. *Regions.* Among the rest, shingles are ordered by how many documents hold them, rarest first. A document belongs to the regions of its
+   whole window for l = 1; shingles that no other document holds need no region. Every linked pair meets in a region.
+3. *Voronoi recursion.* A region of more than SMALL members takes PIVOTS documents as pivots: in the first turn by hash, later also the
+   members nearest to all earlier pivots, which are the hubs of families of copies. Each member is compared with the region's pivots
+   (linear in the region), links merge into components, and a region of one component is done. A member's home is the cell of its nearest
+   pivot p; it is replicated to the cell of q if d(x, q) <= d(x, p) + 2 RADIUS, since a linked document whose home is q can be no
+   farther. Cells are the regions of the next turn, as long as they are worth it (TURNS_PAY, SHRINKS).
+4. *Rest.* Regions of at most SMALL members compare their pairs (at most SMALL a member). Larger ones that pivots can't split, families at
+   distances of about the radius, are cut into chunks of about CHUNK members by their ring, the distance to the first pivot in
+   steps of RADIUS: linked documents are in the same ring or in neighbouring ones (triangle inequality). Pairs of chunks, unless
+   both are in one component, are compared as matrices of shingles, and give a spanning forest of their links, so that no pairs are rows.
 
 Distances are computed on whole sets of 64-bit shingle hashes. Components come from rounds of star contraction
 (``common.components``), nothing but counts reaches the driver, and every round is checkpointed.
@@ -32,16 +34,25 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cadenza.llm.common import components, cut_sized, drop_rows, join_counted, maybe_broadcast
+from cadenza.llm.common import components, cut_sized, cut_table, drop_rows, join_counted, maybe_broadcast, small
 from cadenza.session import cut_lineage
 
 SHINGLE = 5
 PERCENT = 75
 SLACK = 16
-#: Another pivot round is worth it while the pairs left are so many times the members of regions.
-PAIRS_PER_MEMBER = 4
+RADIUS = 1 - PERCENT / 100
+#: Regions of at most so many members compare their pairs; larger ones take so many pivots a turn.
+SMALL, PIVOTS = 16, 4
+#: Cells replace their region if they have at most so many times its members in sum, and the largest at most that share of them.
+TURNS_PAY, SHRINKS = 1.5, 0.75
+#: Chunks of other regions have about so many members.
+CHUNK = 256
+#: Distances are computed in floating point; windows are widened by so much.
+EPS = 1e-9
+#: Rows of pivots (one a region) that are broadcast at most.
+PIVOT_ROWS = 2_000
 _ROWS = 100_000
 
 
@@ -191,40 +202,170 @@ def _merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     return cut_lineage(nodes.join(top, "label", "left").select("node", F.coalesce("top", "label").alias("label")))
 
 
+def _similar_sizes(a, b) -> Column:
+    """Linked sets are of similar sizes."""
+    a, b = F.col(a), F.col(b)
+    return (a * 100 >= b * PERCENT) & (b * 100 >= a * PERCENT)
+
+
+def _relabelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return members.withColumn("label", F.col("cid"))
+    return members.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+
+
+def _choose(members: DataFrame, turn: int) -> DataFrame:
+    """(region, pivots): at most PIVOTS members of each region, by hash and, if they have distances (near), the one nearest to the earlier pivots."""
+    order = F.struct(F.xxhash64("cid", F.lit(turn)).alias("h"), F.col("cid").alias("cid"))
+    slot = F.pmod(F.xxhash64("cid", F.lit(-1 - turn)), F.lit(PIVOTS))
+    by = members.groupBy("region", slot.alias("slot")).agg(F.min(order)["cid"].alias("cid"), F.min(F.struct("near", "cid"))["cid"].alias("hub"), F.min("near").alias("near"))
+    hub = F.min(F.struct("near", "hub"))["hub"]
+    g = by.groupBy("region").agg(F.collect_set("cid").alias("c"), F.when(F.min("near").isNotNull(), hub).alias("hub"))
+    return g.select("region", F.explode(F.array_distinct(F.when(F.col("hub").isNull(), F.col("c")).otherwise(F.concat(F.array("hub"), "c")))).alias("pivot"))
+
+
+def _distances(members: DataFrame, pivots: DataFrame, sets: DataFrame) -> DataFrame:
+    """(region, cid, n, label, pivots, both, sizes): each member's intersections with its region's pivots, on whole sets. A member's set moves
+    once; the pivots of a region are one row, which is broadcast while all are few, else joined (AQE splits regions of very many members)."""
+    held = pivots.join(sets.select(F.col("cid").alias("pivot"), F.col("n").alias("pn"), F.col("s").alias("ps")), "pivot")
+    held = held.groupBy("region").agg(F.array_sort(F.collect_list(F.struct("pivot", "pn", "ps"))).alias("p"))
+    held = cut_lineage(held.select("region", F.col("p.pivot").alias("pivots"), F.col("p.pn").alias("sizes"), F.col("p.ps").alias("ps")))
+    rows = members.join(sets.select("cid", "s"), "cid").join(F.broadcast(held) if small(held, PIVOT_ROWS) else held, "region")
+
+    def run(batches):
+        for b in batches:
+            sets_ = [np.frombuffer(x.as_py(), np.int64) for x in b.column("s")]
+            both = [[len(np.intersect1d(x, np.frombuffer(p, np.int64), assume_unique=True)) for p in ps.as_py()] for x, ps in zip(sets_, b.column("ps"), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names[:-1]), pa.array(both, pa.list_(pa.int64()))], names)
+
+    names = ["region", "cid", "n", "label", "pivots", "sizes", "both"]
+    return cut_table(rows.mapInArrow(run, "region long, cid long, n long, label long, pivots array<long>, sizes array<long>, both array<long>"))
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of links between numbered nodes."""
+    parent: dict[int, int] = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        rx, ry = root(x), root(y)
+        if rx != ry:
+            parent[rx] = ry
+            out.append((x, y))
+    return out
+
+
+def _incidence(sets: list[np.ndarray], tokens: np.ndarray) -> np.ndarray:
+    """0/1 matrix of sets x tokens (ascending)."""
+    m = np.zeros((len(sets), len(tokens)), np.float32)
+    for k, s in enumerate(sets):
+        at = np.searchsorted(tokens, s)
+        inside = at < len(tokens)
+        at, s = at[inside], s[inside]
+        m[k, at[tokens[at] == s]] = 1.0
+    return m
+
+
+def chunk_links(x: list[np.ndarray], y: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Whether each set of x links with each of y: intersections as products of incidence matrices over the shared tokens, some columns at a time."""
+    shared = np.intersect1d(np.concatenate(x), np.concatenate(y)) if x and y else np.empty(0, np.int64)
+    both = np.zeros((len(x), len(y)), np.float64)
+    for a in range(0, len(shared), columns):
+        part = shared[a:a + columns]
+        both += _incidence(x, part) @ _incidence(y, part).T
+    union = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None, :] - both
+    return 100 * both >= PERCENT * union
+
+
+def _grid(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): a spanning forest of the links in regions that pivots can't split. ``members``: region, cid, n, label, ring, rows (of the region)."""
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("rows") / CHUNK)).cast("long")
+    m = members.withColumn("part", F.pmod(F.xxhash64("cid"), chunks)).join(sets.select("cid", "s"), "cid")
+    packed = m.groupBy("region", "ring", "part").agg(F.collect_list(F.struct("cid", "label", "s")).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    packed = cut_table(packed)
+    heads = packed.select("region", "ring", "part", "lo", "hi")
+    x, y = (heads.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("ring", "part", "lo", "hi")]) for s in "xy")
+    near = (F.col("ring_y") - F.col("ring_x")).between(0, 1)
+    order = (F.col("ring_x") < F.col("ring_y")) | (F.col("part_x") <= F.col("part_y"))
+    one = (F.col("lo_x") == F.col("hi_x")) & (F.col("lo_y") == F.col("hi_y")) & (F.col("lo_x") == F.col("lo_y"))
+    pairs = x.join(y, "region").filter(near & order & ~one)  # chunks, not members: their number goes down with the square of CHUNK
+    for s in "xy":
+        pairs = pairs.join(packed.select("region", F.col("ring").alias(f"ring_{s}"), F.col("part").alias(f"part_{s}"), F.col("m").alias(f"m_{s}")), ["region", f"ring_{s}", f"part_{s}"])
+
+    def run(batches):
+        for b in batches:
+            for mx, my in zip(b.column("m_x"), b.column("m_y"), strict=True):
+                (cx, lx, sx), (cy, ly, sy) = (_members(v) for v in (mx, my))
+                link = chunk_links(sx, sy) & (lx[:, None] != ly[None, :])
+                i, j = np.nonzero(link)
+                edges = _forest(cx[i], cy[j])
+                if edges:
+                    yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], ["a", "b"])
+
+    return cut_table(pairs.select("m_x", "m_y").mapInArrow(run, "a long, b long"))
+
+
+def _members(v) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    v = v.values
+    return v.field("cid").to_numpy(), v.field("label").to_numpy(), [np.frombuffer(s.as_py(), np.int64) for s in v.field("s")]
+
+
 def labelled(sets: DataFrame) -> DataFrame:
     """(node, label) of the components of the full join, for the sets that have links."""
-    def sizes(a, b):  # linked sets are of similar sizes
-        return (F.col(a) * 100 >= F.col(b) * PERCENT) & (F.col(b) * 100 >= F.col(a) * PERCENT)
-
     home = _regions(sets)
-    rows = home.count()
-    members = home.withColumns({"label": F.col("cid"), "d": F.lit(0.0)})
-    labels, past = None, None
+    total = home.count()
+    members = home.withColumnRenamed("token", "region").withColumn("near", F.lit(None).cast("double"))
+    labels, turn = None, 0
     while True:
-        # regions whose members are in different components, and the pairs left in them
-        by = members.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("cid", "n")).alias("first"))
-        regions = by.groupBy("token").agg((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))).alias("pairs"), F.sum("k").alias("members"),
-                                          F.min(F.struct("label", "first"))["first"].alias("p"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
-        regions = cut_sized(regions.select("token", "pairs", "members", F.col("p.cid").alias("first"), F.col("p.n").alias("n_first")), rows)
-        left, size = regions.agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum("members"), F.lit(0))).first()
-        if not left or past is not None and (left <= 2 * PAIRS_PER_MEMBER * size or left >= past):
+        members = cut_sized(_relabelled(members, labels), total)
+        sizes = cut_sized(members.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi"), total)
+        # small regions: all pairs of similar sizes and different components
+        few = join_counted(members, sizes.filter(F.col("rows") <= SMALL), ["region"], "rows").select("region", "cid", "n", "label")
+        x, y = (few.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "label")]) for s in ("a", "b"))
+        pairs = x.join(y, "region").filter((F.col("cid_a") < F.col("cid_b")) & (F.col("label_a") != F.col("label_b")) & _similar_sizes("n_a", "n_b"))
+        pairs = cut_sized(pairs.select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct(), SMALL * total)
+        if not pairs.isEmpty():
+            labels = _merged(labels, _linked(_compared(pairs, sets)))
+        many = sizes.filter(F.col("rows") > SMALL)
+        if many.isEmpty():
+            break
+        big = cut_sized(_relabelled(join_counted(members.drop("label"), many.select("region", "rows"), ["region"], "rows"), labels), total)
+        got = _distances(big.select("region", "cid", "n", "label"), _choose(big, turn), sets)
+        one = got.select("region", "cid", "n", F.explode(F.arrays_zip("pivots", "sizes", "both")).alias("x"))
+        one = one.select("region", "cid", "n", F.col("x.pivots").alias("pivot"), (1 - F.col("x.both") / (F.col("n") + F.col("x.sizes") - F.col("x.both"))).alias("d"),
+                         (100 * F.col("x.both") >= PERCENT * (F.col("n") + F.col("x.sizes") - F.col("x.both"))).alias("link"))
+        links = cut_sized(one.filter("link AND cid <> pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct(), PIVOTS * total)
+        if not links.isEmpty():
+            labels = _merged(labels, links)
+        # cells: the nearest pivot's, and those of pivots within the window
+        d = one.groupBy("region", "cid", "n").agg(F.min("d").alias("least"), F.coalesce(F.avg(F.when(F.col("cid") != F.col("pivot"), F.col("d"))), F.lit(1.0)).alias("near"), F.collect_list(F.struct("pivot", "d")).alias("p"),
+                                                  F.min(F.struct("pivot", "d"))["d"].alias("first"))
+        cells = d.withColumn("p", F.filter("p", lambda v: v["d"] <= F.col("least") + 2 * RADIUS + EPS))
+        cells = cut_sized(_relabelled(cells, labels), total)
+        shape = cells.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("p")).alias("copies"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        largest = cells.select("region", F.explode("p.pivot").alias("pivot")).groupBy("region", "pivot").count().groupBy("region").agg(F.max("count").alias("largest"))
+        pays = (F.col("copies") <= TURNS_PAY * F.col("rows")) & (F.col("largest") <= SHRINKS * F.col("rows"))
+        shape = cut_sized(shape.filter("lo < hi").join(largest, "region").select("region", "rows", pays.alias("pays")), total)
+        if shape.isEmpty():
             break
-        past = left
-        members = cut_sized(members.drop("d").join(regions.select("token", "first", "n_first"), "token"), rows)
-        got = _compared(members.filter((F.col("cid") != F.col("first")) & sizes("n", "n_first")).select(F.col("cid").alias("a"), F.col("first").alias("b")).distinct(), sets)
-        labels = _merged(labels, _linked(got))
-        distance = 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))
-        members = members.drop("label").join(got.select(F.col("a").alias("cid"), F.col("b").alias("first"), distance.alias("d")), ["cid", "first"], "left")
-        members = members.join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-        members = cut_sized(members.select("token", "cid", "n", F.coalesce("label", "cid").alias("label"), F.when(F.col("cid") == F.col("first"), 0.0).otherwise(F.col("d")).alias("d")), rows)
-    if left:
-        wide = members.join(regions.select("token"), "token", "left_semi")
-        x, y = (wide.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "label", "d")]) for s in ("a", "b"))
-        window = F.coalesce(F.abs(F.col("d_a") - F.col("d_b")) * 100 <= 100 - PERCENT + 1e-6, F.lit(True))  # unknown beyond the sizes
-        pairs = x.join(y, "token").filter((F.col("cid_a") < F.col("cid_b")) & (F.col("label_a") != F.col("label_b")) & sizes("n_a", "n_b") & window)
-        pairs = cut_lineage(pairs.select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct())
-        labels = _merged(labels, _linked(_compared(pairs, sets)))
-    return labels if labels is not None else home.select(F.col("cid").alias("node"), F.col("cid").alias("label")).limit(0)
+        live = join_counted(cells, shape, ["region"], "rows")
+        # a region without a worthwhile split has one more turn around its hubs, then its rest is compared in chunks
+        stuck = live.filter(~F.col("pays") & F.lit(turn > 0))
+        if turn and not shape.filter("NOT pays").isEmpty():
+            forest = _grid(stuck.select("region", "cid", "n", "label", F.floor(F.col("first") / (RADIUS + EPS)).alias("ring"), "rows"), sets)
+            if not forest.isEmpty():
+                labels = _merged(labels, forest)
+        whole = live.filter(~F.col("pays") & F.lit(turn == 0)).select("region", "cid", "n", "near")
+        split = live.filter("pays").select(F.col("region").alias("old"), "cid", "n", "near", F.explode("p.pivot").alias("pivot"))
+        members = whole.unionByName(split.select(F.xxhash64("old", "pivot", F.lit(turn)).alias("region"), "cid", "n", "near"))
+        turn += 1
+    return labels if labels is not None else members.select(F.col("cid").alias("node"), F.col("cid").alias("label")).limit(0)
 
 
 def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

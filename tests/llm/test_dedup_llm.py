@@ -124,6 +124,43 @@ def test_jaccard_components(spark, docs, rows, invented):
     assert kept.columns == docs.columns and kept.count() == groups
 
 
+@pytest.mark.parametrize("small,pivots,chunk", [(2, 2, 8), (3, 4, 256), (1, 1, 5)])
+def test_jaccard_recursion(spark, invented, monkeypatch, small, pivots, chunk):
+    """Pivots, cells and chunks of any size find the same components: a family around a hub that only links with the hub, one at distances
+    about the radius, unrelated texts with common passages, and chains."""
+    for name, value in (("SMALL", small), ("PIVOTS", pivots), ("CHUNK", chunk)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = random.Random(small)
+    base, rows = invented(70, 100), []
+    for k in range(40):
+        t = list(base)
+        for _ in range(3 if k else 0):
+            t[rng.randrange(len(t))] = f"h{rng.random()}"
+        rows.append((k, " ".join(t)))
+    for k in range(40):
+        at = rng.randrange(40)
+        rows.append((100 + k, " ".join(invented(71, 90)[at:at + 50])))
+    for k in range(25):
+        rows.append((200 + k, " ".join(invented(72, 30) + invented(300 + k, 60))))
+    rows += near_rows(invented)[60:72]
+    want, _ = brute_components(rows)
+    got = Counter((r["id"], r["n_shingles"], r["component_id"]) for r in jaccard.components_of(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    assert got == want
+
+
+def test_chunks_are_compared_exactly():
+    rng = np.random.RandomState(3)
+    x = [np.unique(rng.randint(0, 60, rng.randint(1, 50))) for _ in range(30)]
+    y = [np.unique(rng.randint(0, 60, rng.randint(1, 50))) for _ in range(20)] + [s.copy() for s in x[:5]]
+    for columns in (7, 4096):
+        got = jaccard.chunk_links(x, y, columns)
+        for i, a in enumerate(x):
+            for j, b in enumerate(y):
+                both = len(np.intersect1d(a, b))
+                assert got[i, j] == (100 * both >= 75 * (len(a) + len(b) - both))
+    assert sorted(jaccard._forest(np.array([1, 2, 3, 1, 5]), np.array([2, 3, 1, 3, 6]))) == [(1, 2), (2, 3), (5, 6)]
+
+
 def test_components_of_graphs(spark):
     e = [(1, 2), (2, 3), (4, 3), (4, 9), (9, 1), (20, 21), (30, 31), (31, 32), (33, 32), (7, 7), *((50, k) for k in range(51, 90))]
     got = {r["node"]: r["label"] for r in common.components(spark.createDataFrame(e, "a long, b long")).collect()}
