@@ -4,8 +4,8 @@
 lower(name) occurs in lower(text) — the same set a nested-loop ``contains``
 join gives, built as a q-gram index join:
 
-1. every text emits its q-grams with positions; those that a name has are shuffled, without the text;
-2. every name picks its *rarest* q-gram (by text frequency) and its offset —
+1. every text emits its q-grams with positions; those that a name has are written once, without the text;
+2. every name picks its *rarest* q-gram (by text frequency) and its offset, one aggregate per name —
    hot grams are never the join key of a name that has a rarer one;
 3. equi-join on the gram, re-join the text by its id, and verify the full name at position − offset.
    Names of white space alone match nothing.
@@ -16,9 +16,11 @@ at most q − 1 values, so the text side emits at most q grams per position).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.session import cut_table
+
 Q = 12
 
 
@@ -45,16 +47,13 @@ def contains_join(names: DataFrame, texts: DataFrame, name_id: str = "name_id",
         return names.sparkSession.createDataFrame([], f"{name_id} long, {text_id} long")
     ng = (n.select("__nid", "__n", "__gl", F.explode(F.sequence(F.lit(0), F.length("__n") - F.col("__gl"))).alias("__off"))
            .withColumn("__gram", F.substring("__n", F.col("__off") + 1, F.col("__gl"))))
-    # only grams that some name has are shuffled, and counted
-    tg = _grams(texts, text_id, text_col, lengths).join(ng.select("__gram").distinct(), "__gram", "left_semi")
+    # only grams that some name has are kept, and written: the counts and the candidates both read them
+    tg = cut_table(_grams(texts, text_id, text_col, lengths).join(ng.select("__gram").distinct(), "__gram", "left_semi"))
     freq = tg.groupBy("__gram").agg(F.count(F.lit(1)).alias("__f"))
-    ng = ng.join(freq, "__gram")
-    # every gram of a name must occur in a text that holds it, so a name with a gram of no text has no match
-    whole = ng.groupBy("__nid").agg(F.count(F.lit(1)).alias("__have"))
-    w = Window.partitionBy("__nid").orderBy(F.col("__f").asc(), F.col("__off").asc())
-    pick = ng.withColumn("__rn", F.row_number().over(w)).where("__rn = 1")
-    pick = pick.join(whole, "__nid").where(F.col("__have") == F.length("__n") - F.col("__gl") + 1)
-    cand = pick.select("__nid", "__n", "__off", "__gram").join(tg, "__gram")
+    # the rarest gram of each name; every gram of a name must occur in a text that holds it, so a name with a gram of no text has no match
+    pick = ng.join(freq, "__gram").groupBy("__nid", "__n", "__gl").agg(F.min(F.struct("__f", "__off", "__gram")).alias("__b"), F.count(F.lit(1)).alias("__have"))
+    pick = pick.where(F.col("__have") == F.length("__n") - F.col("__gl") + 1)
+    cand = pick.select("__nid", "__n", F.col("__b.__off").alias("__off"), F.col("__b.__gram").alias("__gram")).join(tg, "__gram")
     t = texts.select(F.col(text_id).alias("__tid"), F.lower(F.col(text_col)).alias("__t"))
     hit = cand.join(t, "__tid").where(F.substring("__t", F.col("__pos") - F.col("__off"), F.length("__n")) == F.col("__n"))
     return hit.select(F.col("__nid").alias(name_id), F.col("__tid").alias(text_id)).distinct()
