@@ -9,8 +9,8 @@ sets are one point. The join proceeds by regions around pivots:
    with fewer shared shingles than that is linked with nothing and leaves.
 2. *Regions.* Among the rest, shingles are ordered by how many documents hold them, rarest first. A document belongs to the regions of its
    whole window for l = 1; shingles that no other document holds need no region. Every linked pair meets in a region.
-3. *Voronoi recursion.* A region of more than SMALL members takes PIVOTS documents as pivots: in the first turn by hash, later also the
-   members nearest to all earlier pivots, which are the hubs of families of copies. Each member is compared with the region's pivots
+3. *Voronoi recursion.* Each region takes one document as pivot, by hash; those of more than SMALL members take PIVOTS a turn from then on, and
+   also the member nearest to the earlier pivots, which is the hub of a family of copies. Each member is compared with the region's pivots
    (linear in the region), links merge into components, and a region of one component is done. A member's home is the cell of its nearest
    pivot p; it is replicated to the cell of q if d(x, q) <= d(x, p) + 2 RADIUS, since a linked document whose home is q can be no
    farther. Cells are the regions of the next turn, as long as they are worth it (TURNS_PAY, SHRINKS).
@@ -36,7 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cadenza.llm.common import components, cut_sized, cut_table, drop_rows, join_counted, maybe_broadcast, small
+from cadenza.llm.common import components, cut_sized, cut_table, drop_rows, join_counted, maybe_broadcast
 from cadenza.session import cut_lineage
 
 SHINGLE = 5
@@ -44,15 +44,13 @@ PERCENT = 75
 SLACK = 16
 RADIUS = 1 - PERCENT / 100
 #: Regions of at most so many members compare their pairs; larger ones take so many pivots a turn.
-SMALL, PIVOTS = 16, 4
+SMALL, PIVOTS = 16, 2
 #: Cells replace their region if they have at most so many times its members in sum, and the largest at most that share of them.
 TURNS_PAY, SHRINKS = 1.5, 0.75
 #: Chunks of other regions have about so many members.
 CHUNK = 256
 #: Distances are computed in floating point; windows are widened by so much.
 EPS = 1e-9
-#: Rows of pivots (one a region) that are broadcast at most.
-PIVOT_ROWS = 2_000
 _ROWS = 100_000
 
 
@@ -215,33 +213,15 @@ def _relabelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _choose(members: DataFrame, turn: int) -> DataFrame:
-    """(region, pivots): at most PIVOTS members of each region, by hash and, if they have distances (near), the one nearest to the earlier pivots."""
+    """(region, pivot): PIVOTS members of each region by hash (one in turn 0), and the one nearest to the earlier pivots. One hash orders the
+    members of all regions, so that regions with the same members have the same pivots, and a pair is compared once."""
     order = F.struct(F.xxhash64("cid", F.lit(turn)).alias("h"), F.col("cid").alias("cid"))
-    slot = F.pmod(F.xxhash64("cid", F.lit(-1 - turn)), F.lit(PIVOTS))
-    by = members.groupBy("region", slot.alias("slot")).agg(F.min(order)["cid"].alias("cid"), F.min(F.struct("near", "cid"))["cid"].alias("hub"), F.min("near").alias("near"))
-    hub = F.min(F.struct("near", "hub"))["hub"]
-    g = by.groupBy("region").agg(F.collect_set("cid").alias("c"), F.when(F.min("near").isNotNull(), hub).alias("hub"))
+    slot = F.pmod(F.xxhash64("cid", F.lit(-1 - turn)), F.lit(PIVOTS if turn else 1))
+    by = members.groupBy("region", slot.alias("slot")).agg(F.min(order)["cid"].alias("cid"), F.min(F.when(F.col("near").isNotNull(), F.struct("near", "cid"))).alias("hub"))
+    g = by.groupBy("region").agg(F.collect_list("cid").alias("c"), F.min("hub")["cid"].alias("hub"))
     return g.select("region", F.explode(F.array_distinct(F.when(F.col("hub").isNull(), F.col("c")).otherwise(F.concat(F.array("hub"), "c")))).alias("pivot"))
 
 
-def _distances(members: DataFrame, pivots: DataFrame, sets: DataFrame) -> DataFrame:
-    """(region, cid, n, label, pivots, both, sizes): each member's intersections with its region's pivots, on whole sets. A member's set moves
-    once; the pivots of a region are one row, which is broadcast while all are few, else joined (AQE splits regions of very many members)."""
-    held = pivots.join(sets.select(F.col("cid").alias("pivot"), F.col("n").alias("pn"), F.col("s").alias("ps")), "pivot")
-    held = held.groupBy("region").agg(F.array_sort(F.collect_list(F.struct("pivot", "pn", "ps"))).alias("p"))
-    held = cut_lineage(held.select("region", F.col("p.pivot").alias("pivots"), F.col("p.pn").alias("sizes"), F.col("p.ps").alias("ps")))
-    rows = members.join(sets.select("cid", "s"), "cid").join(F.broadcast(held) if small(held, PIVOT_ROWS) else held, "region")
-
-    def run(batches):
-        for b in batches:
-            sets_ = [np.frombuffer(x.as_py(), np.int64) for x in b.column("s")]
-            both = [[len(np.intersect1d(x, np.frombuffer(p, np.int64), assume_unique=True)) for p in ps.as_py()] for x, ps in zip(sets_, b.column("ps"), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names[:-1]), pa.array(both, pa.list_(pa.int64()))], names)
-
-    names = ["region", "cid", "n", "label", "pivots", "sizes", "both"]
-    return cut_table(rows.mapInArrow(run, "region long, cid long, n long, label long, pivots array<long>, sizes array<long>, both array<long>"))
-
-
 def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     """A spanning forest of links between numbered nodes."""
     parent: dict[int, int] = {}
@@ -324,48 +304,58 @@ def labelled(sets: DataFrame) -> DataFrame:
     labels, turn = None, 0
     while True:
         members = cut_sized(_relabelled(members, labels), total)
-        sizes = cut_sized(members.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi"), total)
-        # small regions: all pairs of similar sizes and different components
-        few = join_counted(members, sizes.filter(F.col("rows") <= SMALL), ["region"], "rows").select("region", "cid", "n", "label")
-        x, y = (few.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "label")]) for s in ("a", "b"))
-        pairs = x.join(y, "region").filter((F.col("cid_a") < F.col("cid_b")) & (F.col("label_a") != F.col("label_b")) & _similar_sizes("n_a", "n_b"))
-        pairs = cut_sized(pairs.select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct(), SMALL * total)
-        if not pairs.isEmpty():
-            labels = _merged(labels, _linked(_compared(pairs, sets)))
-        many = sizes.filter(F.col("rows") > SMALL)
+        sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+        sizes = cut_sized(sizes.select("region", "rows"), total)
+        many = sizes
+        if turn:  # small regions: all pairs of similar sizes and different components
+            few = join_counted(members, sizes.filter(F.col("rows") <= SMALL), ["region"], "rows").select("region", "cid", "n", "label")
+            x, y = (few.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "label")]) for s in ("a", "b"))
+            pairs = x.join(y, "region").filter((F.col("cid_a") < F.col("cid_b")) & (F.col("label_a") != F.col("label_b")) & _similar_sizes("n_a", "n_b"))
+            pairs = cut_sized(pairs.select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct(), SMALL * total)
+            if not pairs.isEmpty():
+                labels = _merged(labels, _linked(_compared(pairs, sets)))
+            many = sizes.filter(F.col("rows") > SMALL)
         if many.isEmpty():
             break
-        big = cut_sized(_relabelled(join_counted(members.drop("label"), many.select("region", "rows"), ["region"], "rows"), labels), total)
-        got = _distances(big.select("region", "cid", "n", "label"), _choose(big, turn), sets)
-        one = got.select("region", "cid", "n", F.explode(F.arrays_zip("pivots", "sizes", "both")).alias("x"))
-        one = one.select("region", "cid", "n", F.col("x.pivots").alias("pivot"), (1 - F.col("x.both") / (F.col("n") + F.col("x.sizes") - F.col("x.both"))).alias("d"),
-                         (100 * F.col("x.both") >= PERCENT * (F.col("n") + F.col("x.sizes") - F.col("x.both"))).alias("link"))
-        links = cut_sized(one.filter("link AND cid <> pivot").select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct(), PIVOTS * total)
+        big = _relabelled(join_counted(members.drop("label"), many, ["region"], "rows"), labels)
+        pivots = _choose(big, turn).join(sets.select(F.col("cid").alias("pivot"), F.col("n").alias("pn")), "pivot")
+        big = cut_sized(big.join(pivots, "region"), (PIVOTS + 1) * total)
+        # turn 0 only looks for links, which sets of other sizes don't have
+        pairs = big.filter("cid <> pivot").filter(_similar_sizes("n", "pn") if not turn else F.lit(True))
+        got = _compared(pairs.select(F.col("cid").alias("a"), F.col("pivot").alias("b")).distinct(), sets)
+        links = cut_sized(_linked(got), (PIVOTS + 1) * total)
         if not links.isEmpty():
             labels = _merged(labels, links)
+        d = 1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))
+        one = big.join(got.select(F.col("a").alias("cid"), F.col("b").alias("pivot"), d.alias("d")), ["cid", "pivot"], "left")
+        if not turn:
+            members, turn = one.select("region", "cid", "n", F.col("d").alias("near")), 1
+            continue
         # cells: the nearest pivot's, and those of pivots within the window
-        d = one.groupBy("region", "cid", "n").agg(F.min("d").alias("least"), F.coalesce(F.avg(F.when(F.col("cid") != F.col("pivot"), F.col("d"))), F.lit(1.0)).alias("near"), F.collect_list(F.struct("pivot", "d")).alias("p"),
-                                                  F.min(F.struct("pivot", "d"))["d"].alias("first"))
-        cells = d.withColumn("p", F.filter("p", lambda v: v["d"] <= F.col("least") + 2 * RADIUS + EPS))
+        one = one.withColumn("d", F.when(F.col("cid") == F.col("pivot"), 0.0).otherwise(F.col("d")))
+        cells = one.groupBy("region", "cid", "n", "rows").agg(
+            F.min("d").alias("least"), F.coalesce(F.avg(F.when(F.col("cid") != F.col("pivot"), F.col("d"))), F.lit(1.0)).alias("near"),
+            F.collect_list(F.struct("pivot", "d")).alias("p"), F.min(F.struct("pivot", "d"))["d"].alias("first"))
+        cells = cells.withColumn("p", F.filter("p", lambda v: v["d"] <= F.col("least") + 2 * RADIUS + EPS))
         cells = cut_sized(_relabelled(cells, labels), total)
-        shape = cells.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("p")).alias("copies"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        shape = cells.groupBy("region").agg(F.first("rows").alias("rows"), F.sum(F.size("p")).alias("copies"), F.min("label").alias("lo"), F.max("label").alias("hi"))
         largest = cells.select("region", F.explode("p.pivot").alias("pivot")).groupBy("region", "pivot").count().groupBy("region").agg(F.max("count").alias("largest"))
         pays = (F.col("copies") <= TURNS_PAY * F.col("rows")) & (F.col("largest") <= SHRINKS * F.col("rows"))
         shape = cut_sized(shape.filter("lo < hi").join(largest, "region").select("region", "rows", pays.alias("pays")), total)
         if shape.isEmpty():
             break
-        live = join_counted(cells, shape, ["region"], "rows")
+        live = join_counted(cells.drop("rows"), shape, ["region"], "rows")
         # a region without a worthwhile split has one more turn around its hubs, then its rest is compared in chunks
-        stuck = live.filter(~F.col("pays") & F.lit(turn > 0))
-        if turn and not shape.filter("NOT pays").isEmpty():
+        stuck = live.filter(~F.col("pays") & F.lit(turn > 1))
+        if turn > 1 and not shape.filter("NOT pays").isEmpty():
             forest = _grid(stuck.select("region", "cid", "n", "label", F.floor(F.col("first") / (RADIUS + EPS)).alias("ring"), "rows"), sets)
             if not forest.isEmpty():
                 labels = _merged(labels, forest)
-        whole = live.filter(~F.col("pays") & F.lit(turn == 0)).select("region", "cid", "n", "near")
+        whole = live.filter(~F.col("pays") & F.lit(turn == 1)).select("region", "cid", "n", "near")
         split = live.filter("pays").select(F.col("region").alias("old"), "cid", "n", "near", F.explode("p.pivot").alias("pivot"))
         members = whole.unionByName(split.select(F.xxhash64("old", "pivot", F.lit(turn)).alias("region"), "cid", "n", "near"))
         turn += 1
-    return labels if labels is not None else members.select(F.col("cid").alias("node"), F.col("cid").alias("label")).limit(0)
+    return labels if labels is not None else home.select(F.col("cid").alias("node"), F.col("cid").alias("label")).limit(0)
 
 
 def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
