@@ -17,7 +17,8 @@ sets are one point. The join proceeds by regions around pivots:
 4. *Rest.* Regions of at most SMALL members compare their pairs (at most SMALL a member). Larger ones that pivots can't split, families at
    distances of about the radius, are cut into chunks of about CHUNK members by their ring, the distance to the first pivot in
    steps of RADIUS: linked documents are in the same ring or in neighbouring ones (triangle inequality). Pairs of chunks, unless
-   both are in one component, are compared as matrices of shingles, and give a spanning forest of their links, so that no pairs are rows.
+   both are in one component, are compared by sketches, an exact bound of 512 bytes a document; the few pairs left are compared on
+   their sets, and pairs of chunks with many left as matrices of shingles, giving a spanning forest of their links: no pairs are rows.
 
 Distances are computed on whole sets of 64-bit shingle hashes. Components come from rounds of star contraction
 (``common.components``), nothing but counts reaches the driver, and every round is checkpointed.
@@ -29,7 +30,9 @@ empty result; other columns are ignored (``components_of``) or kept (``drop_near
 
 from __future__ import annotations
 
+import functools
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +50,8 @@ RADIUS = 1 - PERCENT / 100
 SMALL, PIVOTS = 16, 2
 #: Cells replace their region if they have at most so many times its members in sum, and the largest at most that share of them.
 TURNS_PAY, SHRINKS = 1.5, 0.75
-#: Chunks of other regions have about so many members.
-CHUNK = 256
+#: Chunks of other regions have about so many members; sketches have so many bits; pairs of chunks with more pairs a member are dense.
+CHUNK, BITS, DENSE = 256, 4096, 8
 #: Distances are computed in floating point; windows are widened by so much.
 EPS = 1e-9
 _ROWS = 100_000
@@ -263,43 +266,106 @@ def chunk_links(x: list[np.ndarray], y: list[np.ndarray], columns: int = 4096) -
     return 100 * both >= PERCENT * union
 
 
-def _grid(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): a spanning forest of the links in regions that pivots can't split. ``members``: region, cid, n, label, ring, rows (of the region)."""
+def sketch(s: np.ndarray) -> bytes:
+    """BITS bits, one set per shingle by its hash. A bit that only x has stands for a shingle that only x has, so the bits bound
+    |x - y| and |y - x| from below."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[(s.view(np.uint64) >> np.uint64(20)).astype(np.int64) % BITS] = 1
+    return np.packbits(bits).tobytes()
+
+
+def may_link(x: list[bytes], nx: np.ndarray, y: list[bytes], ny: np.ndarray) -> np.ndarray:
+    """Whether sketches and sizes leave room for a link: x and y link only if they share PERCENT / (100 + PERCENT) of their sizes' sum."""
+    bx, by = (np.unpackbits(np.frombuffer(b"".join(v), np.uint8).reshape(len(v), -1), axis=1).astype(np.float32) for v in (x, y))
+    both = bx @ by.T
+    least = -(-PERCENT * (nx[:, None] + ny[None, :]) // (100 + PERCENT))
+    return (bx.sum(axis=1)[:, None] - both <= nx[:, None] - least) & (by.sum(axis=1)[None, :] - both <= ny[None, :] - least)
+
+
+def _sketches(sets: DataFrame) -> DataFrame:
+    """(cid, k): the sketch of each set."""
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("cid"), pa.array([sketch(np.frombuffer(x.as_py(), np.int64)) for x in b.column("s")], pa.binary())], ["cid", "k"])
+
+    return cut_table(sets.select("cid", "s").mapInArrow(run, "cid long, k binary"))
+
+
+PLACE = ("region", "ring", "part")
+
+
+def _packed(members: DataFrame, payload: DataFrame) -> DataFrame:
+    """A row per chunk: its place, its members with what ``payload`` (cid, and a binary) has of them, and the bounds of their labels."""
+    what = payload.columns[1]
+    m = members.join(payload, "cid")
+    return cut_table(m.groupBy(*PLACE).agg(F.collect_list(F.struct("cid", "label", "n", F.col(what).alias("v"))).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")))
+
+
+def _with_members(pairs: DataFrame, packed: DataFrame) -> DataFrame:
+    for s in "xy":
+        pairs = pairs.join(packed.select("region", F.col("ring").alias(f"ring_{s}"), F.col("part").alias(f"part_{s}"), F.col("m").alias(f"m_{s}")), ["region", f"ring_{s}", f"part_{s}"])
+    return pairs
+
+
+def _grid(members: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(a, b): links that connect what has links in regions that pivots can't split. ``members``: region, cid, n, label, ring, rows (of the region).
+
+    Pairs of chunks are first compared by sketches. The few pairs that these leave are compared on their sets; a pair of chunks with more
+    than DENSE left pairs a member is compared as a whole on its sets, and gives a spanning forest."""
     chunks = F.greatest(F.lit(1), F.ceil(F.col("rows") / CHUNK)).cast("long")
-    m = members.withColumn("part", F.pmod(F.xxhash64("cid"), chunks)).join(sets.select("cid", "s"), "cid")
-    packed = m.groupBy("region", "ring", "part").agg(F.collect_list(F.struct("cid", "label", "s")).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    packed = cut_table(packed)
-    heads = packed.select("region", "ring", "part", "lo", "hi")
+    m = cut_table(members.withColumn("part", F.pmod(F.xxhash64("cid"), chunks)).select("cid", "n", "label", *PLACE))
+    packed = _packed(m, sketches)
+    heads = packed.select(*PLACE, "lo", "hi")
     x, y = (heads.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("ring", "part", "lo", "hi")]) for s in "xy")
     near = (F.col("ring_y") - F.col("ring_x")).between(0, 1)
     order = (F.col("ring_x") < F.col("ring_y")) | (F.col("part_x") <= F.col("part_y"))
     one = (F.col("lo_x") == F.col("hi_x")) & (F.col("lo_y") == F.col("hi_y")) & (F.col("lo_x") == F.col("lo_y"))
     pairs = x.join(y, "region").filter(near & order & ~one)  # chunks, not members: their number goes down with the square of CHUNK
-    for s in "xy":
-        pairs = pairs.join(packed.select("region", F.col("ring").alias(f"ring_{s}"), F.col("part").alias(f"part_{s}"), F.col("m").alias(f"m_{s}")), ["region", f"ring_{s}", f"part_{s}"])
+    place = ["region", "ring_x", "part_x", "ring_y", "part_y"]
+
+    def left(batches):
+        for b in batches:
+            at = [b.column(c).to_pylist() for c in place]
+            for k, (mx, my) in enumerate(zip(b.column("m_x"), b.column("m_y"), strict=True)):
+                (cx, lx, nx, vx), (cy, ly, ny, vy) = (_members(v) for v in (mx, my))
+                i, j = np.nonzero(may_link(vx, nx, vy, ny) & (lx[:, None] != ly[None, :]))
+                if len(i) > DENSE * (len(cx) + len(cy)):
+                    yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64())] * 2 + [pa.array([c[k]], pa.int64()) for c in at], ["a", "b", *place])
+                elif len(i):
+                    none = pa.nulls(len(i), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cx[i], cy[j])), pa.array(np.maximum(cx[i], cy[j])), *[none] * 5], ["a", "b", *place])
+
+    found = cut_table(_with_members(pairs, packed).select(*place, "m_x", "m_y").mapInArrow(left, ", ".join(f"{c} long" for c in ("a", "b", *place))))
+    links = _linked(_compared(found.filter("a IS NOT NULL").select("a", "b").distinct(), sets))
+    dense = found.filter("a IS NULL").select(*place)
+    if dense.isEmpty():
+        return links
 
     def run(batches):
         for b in batches:
             for mx, my in zip(b.column("m_x"), b.column("m_y"), strict=True):
-                (cx, lx, sx), (cy, ly, sy) = (_members(v) for v in (mx, my))
-                link = chunk_links(sx, sy) & (lx[:, None] != ly[None, :])
-                i, j = np.nonzero(link)
+                (cx, lx, _, vx), (cy, ly, _, vy) = (_members(v) for v in (mx, my))
+                i, j = np.nonzero(chunk_links(*([np.frombuffer(s, np.int64) for s in v] for v in (vx, vy))) & (lx[:, None] != ly[None, :]))
                 edges = _forest(cx[i], cy[j])
                 if edges:
                     yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], ["a", "b"])
 
-    return cut_table(pairs.select("m_x", "m_y").mapInArrow(run, "a long, b long"))
+    used = reduce(DataFrame.union, [dense.select("region", F.col(f"ring_{s}").alias("ring"), F.col(f"part_{s}").alias("part")) for s in "xy"]).distinct()
+    whole = _packed(m.join(used, list(PLACE), "left_semi"), sets.select("cid", "s"))
+    return links.unionByName(cut_table(_with_members(dense, whole).select("m_x", "m_y").mapInArrow(run, "a long, b long")))
 
 
-def _members(v) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+def _members(v) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """A chunk's ids, labels, sizes, and what else it has of its members."""
     v = v.values
-    return v.field("cid").to_numpy(), v.field("label").to_numpy(), [np.frombuffer(s.as_py(), np.int64) for s in v.field("s")]
+    return *(v.field(c).to_numpy(zero_copy_only=False) for c in ("cid", "label", "n")), v.field("v").to_pylist()
 
 
 def labelled(sets: DataFrame) -> DataFrame:
     """(node, label) of the components of the full join, for the sets that have links."""
     home = _regions(sets)
     total = home.count()
+    sketches = functools.cache(lambda: _sketches(sets))
     members = home.withColumnRenamed("token", "region").withColumn("near", F.lit(None).cast("double"))
     labels, turn = None, 0
     while True:
@@ -348,7 +414,7 @@ def labelled(sets: DataFrame) -> DataFrame:
         # a region without a worthwhile split has one more turn around its hubs, then its rest is compared in chunks
         stuck = live.filter(~F.col("pays") & F.lit(turn > 1))
         if turn > 1 and not shape.filter("NOT pays").isEmpty():
-            forest = _grid(stuck.select("region", "cid", "n", "label", F.floor(F.col("first") / (RADIUS + EPS)).alias("ring"), "rows"), sets)
+            forest = _grid(stuck.select("region", "cid", "n", "label", F.floor(F.col("first") / (RADIUS + EPS)).alias("ring"), "rows"), sets, sketches())
             if not forest.isEmpty():
                 labels = _merged(labels, forest)
         whole = live.filter(~F.col("pays") & F.lit(turn == 1)).select("region", "cid", "n", "near")

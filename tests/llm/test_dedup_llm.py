@@ -124,11 +124,11 @@ def test_jaccard_components(spark, docs, rows, invented):
     assert kept.columns == docs.columns and kept.count() == groups
 
 
-@pytest.mark.parametrize("small,pivots,chunk", [(2, 2, 8), (1, 1, 5)])
-def test_jaccard_recursion(spark, invented, monkeypatch, small, pivots, chunk):
+@pytest.mark.parametrize("small,pivots,chunk,dense", [(2, 2, 8, 8), (1, 1, 5, 0)])
+def test_jaccard_recursion(spark, invented, monkeypatch, small, pivots, chunk, dense):
     """Pivots, cells and chunks of any size find the same components: a family around a hub that only links with the hub, one at distances
     about the radius, unrelated texts with common passages, and chains."""
-    for name, value in (("SMALL", small), ("PIVOTS", pivots), ("CHUNK", chunk)):
+    for name, value in (("SMALL", small), ("PIVOTS", pivots), ("CHUNK", chunk), ("DENSE", dense)):
         monkeypatch.setattr(jaccard, name, value)
     rng = random.Random(small)
     base, rows = invented(70, 100), []
@@ -158,6 +158,9 @@ def test_chunks_are_compared_exactly():
             for j, b in enumerate(y):
                 both = len(np.intersect1d(a, b))
                 assert got[i, j] == (100 * both >= 75 * (len(a) + len(b) - both))
+    size = lambda v: np.array([len(s) for s in v])
+    room = jaccard.may_link([jaccard.sketch(s) for s in x], size(x), [jaccard.sketch(s) for s in y], size(y))
+    assert room[got].all() and not room.all()  # sketches lose no link
     assert sorted(jaccard._forest(np.array([1, 2, 3, 1, 5]), np.array([2, 3, 1, 3, 6]))) == [(1, 2), (2, 3), (5, 6)]
 
 
