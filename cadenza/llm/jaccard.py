@@ -411,15 +411,16 @@ def labelled(sets: DataFrame) -> DataFrame:
         if shape.isEmpty():
             break
         live = join_counted(cells.drop("rows"), shape, ["region"], "rows")
-        # a region without a worthwhile split has one more turn around its hubs, then its rest is compared in chunks
-        stuck = live.filter(~F.col("pays") & F.lit(turn > 1))
-        if turn > 1 and not shape.filter("NOT pays").isEmpty():
-            forest = _grid(stuck.select("region", "cid", "n", "label", F.floor(F.col("first") / (RADIUS + EPS)).alias("ring"), "rows"), sets, sketches())
+        # a region without a worthwhile split is compared in chunks
+        if not shape.filter("NOT pays").isEmpty():
+            stuck = live.filter("NOT pays").select("region", "cid", "n", "label", F.floor(F.col("first") / (RADIUS + EPS)).alias("ring"), "rows")
+            forest = _grid(stuck, sets, sketches())
             if not forest.isEmpty():
                 labels = _merged(labels, forest)
-        whole = live.filter(~F.col("pays") & F.lit(turn == 1)).select("region", "cid", "n", "near")
         split = live.filter("pays").select(F.col("region").alias("old"), "cid", "n", "near", F.explode("p.pivot").alias("pivot"))
-        members = whole.unionByName(split.select(F.xxhash64("old", "pivot", F.lit(turn)).alias("region"), "cid", "n", "near"))
+        members = split.select(F.xxhash64("old", "pivot", F.lit(turn)).alias("region"), "cid", "n", "near")
+        if shape.filter("pays").isEmpty():
+            break
         turn += 1
     return labels if labels is not None else home.select(F.col("cid").alias("node"), F.col("cid").alias("label")).limit(0)
 
