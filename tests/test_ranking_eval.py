@@ -95,3 +95,38 @@ def test_lookup_user_and_dimension(spark):
         rk.lookup_user(users, user_id=7)
     df = spark.createDataFrame([(0,), (5,)], "user_id long")
     assert [r.user_id for r in rk.in_dimension(df, users, "user_id").collect()] == [0]
+
+
+@pytest.mark.parametrize("low", [200_000, 7])
+def test_topn_unseen_gaps_with_nulls_and_repeats(spark, monkeypatch, low):
+    """Candidates are made from the gaps between seen ranks, without a shuffle or an anti join of candidates."""
+    import random
+    monkeypatch.setattr(rk, "BROADCAST_RANKS", low)
+    rnd = random.Random(3)
+    items = [(i, float(rnd.randint(0, 9))) for i in range(40)] + [(None, 4.0)]
+    seen = [(u, i) for u in (1, 2, 3) for i in range(45) if rnd.random() < {1: 0.95, 2: 0.4, 3: 0.1}[u]]
+    seen += seen[:20] + [(None, 3), (2, None), (9, 1)]
+    users = [(1,), (2,), (2,), (3,), (4,), (None,)]
+    n = 6
+    got = rk.topn_unseen_by_item_score(spark.createDataFrame(users, "user_id long"), spark.createDataFrame(seen, "user_id long, item_id long"),
+                                       spark.createDataFrame(items, "item_id long, score double"), n)
+    order = sorted(items, key=lambda r: (-r[1], -1 if r[0] is None else r[0]))
+    want = set()
+    for u in {u for u, in users}:
+        left = [r for r in order if r[0] is None or u is None or (u, r[0]) not in seen][:n]
+        want |= {(u, i, s, k) for k, (i, s) in enumerate(left)}
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    if low > 7:
+        assert "LeftAnti" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_label_join_keeps_candidates_in_place(spark):
+    cands = spark.createDataFrame([(1, 2, 0.5), (1, None, 0.4), (None, 2, 0.3), (2, 2, 0.2), (2, 2, 0.2)], "user_id long, item_id long, s double")
+    truth = spark.createDataFrame([(1, 2), (1, 2), (1, None), (None, 2), (3, 2)], "user_id long, item_id long")
+    out = rk.label_join(cands, truth)
+    assert out.columns == ["user_id", "item_id", "s", "label"]
+    assert sorted((str(r.user_id), str(r.item_id), r.label) for r in out.collect()) == [
+        ("1", "2", 1), ("1", "None", 0), ("2", "2", 0), ("2", "2", 0), ("None", "2", 0)]
+    by_user = rk.label_join(cands.repartition(4, "user_id"), truth)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user_id" in by_user and "item_id" not in "".join(x for x in by_user.splitlines() if "hashpartitioning" in x and "item_id" in x.split("hashpartitioning")[1])
