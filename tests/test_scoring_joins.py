@@ -83,3 +83,28 @@ def test_blank_names_match_no_text(spark):
     names = spark.createDataFrame([(1, "   "), (2, ""), (3, "a b"), (4, "missing words here"), (5, "long enough name to have grams")], "name_id long, name string")
     texts = spark.createDataFrame([(10, "x A B y"), (11, "   "), (12, None), (13, "a LONG enough name to have grams, twice: long enough name to have grams")], "text_id long, text string")
     assert sorted(map(tuple, contains_join(names, texts).collect())) == [(3, 10), (5, 13)]
+
+
+def test_lambda_gradients_many_users_in_a_batch(spark):
+    """Users share a Python call (blocks of whole lists); blocks without a positive label give zeros."""
+    from cadenza.operators import boosting as bo
+    rows = [(u, i, float((u * 7 + i * 3) % 11), 1 if u >= 15_000 and i == u % 3 else 0) for u in range(15_100) for i in range(3)] + [(None, 1, 0.5, 1), (None, 2, 0.7, 0)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, score double, label long")
+    out = lambda_gradients(df.repartition(1))
+    assert "FlatMapGroups" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.user_id, r.item_id): (r.grad, r.hess) for r in out.collect()}
+    assert len(got) == len(rows) > 2 * bo.BLOCK_ROWS
+    by = {}
+    for u, i, s, lab in rows:
+        by.setdefault(u, []).append((i, s, lab))
+    for u, cells in by.items():
+        place = {c[0]: k for k, c in enumerate(sorted(cells, key=lambda c: (-c[1], c[0])))}
+        for i, s, lab in cells:
+            g = h = 0.0
+            for j, t, other in cells:
+                if lab != other:
+                    hi, lo = (s, t) if lab > other else (t, s)
+                    rho = 1 / (1 + np.exp(hi - lo))
+                    delta = abs(1 / np.log2(place[i] + 2) - 1 / np.log2(place[j] + 2))
+                    g, h = g + (-rho if lab > other else rho) * delta, h + rho * (1 - rho) * delta
+            assert got[u, i] == pytest.approx((g, h), abs=1e-9)
