@@ -108,3 +108,35 @@ def test_lambda_gradients_many_users_in_a_batch(spark):
                     delta = abs(1 / np.log2(place[i] + 2) - 1 / np.log2(place[j] + 2))
                     g, h = g + (-rho if lab > other else rho) * delta, h + rho * (1 - rho) * delta
             assert got[u, i] == pytest.approx((g, h), abs=1e-9)
+
+
+@pytest.mark.parametrize("small", [200_000, 2])
+def test_contains_join_repeated_names(spark, monkeypatch, small):
+    """Ids that share a name are matched once; few names go to the texts, so that texts are never joined by id."""
+    from cadenza.operators import textjoin as tj
+    monkeypatch.setattr(tj, "BROADCAST_NAMES", small)
+    names = [(1, "hot bolt Brand#16"), (2, "HOT bolt brand#16"), (2, "blue"), (3, "blue"), (3, "blue"), (4, None), (None, "blue"), (5, "no such name here")]
+    texts = [(10, "['blue ring', 'Hot Bolt Brand#16', 'hot bolt brand#16']"), (11, "BLUE"), (11, "x"), (12, None), (13, "hot bolt Brand#1")]
+    out = contains_join(spark.createDataFrame(names, "name_id long, name string"), spark.createDataFrame(texts, "text_id long, text string"))
+    want = {(i, j) for i, a in names for j, b in texts if a and b and a.lower() in b.lower()}
+    got = [tuple(r) for r in out.collect()]
+    assert len(got) == len(want) and set(got) == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == (2 if small > 2 else 3)
+
+
+def test_best_tracks_once_a_name(spark, monkeypatch):
+    from cadenza.plans import q_text as qt
+    items = spark.createDataFrame([(1, "hot bolt"), (2, "Hot Bolt"), (3, "ring"), (3, "bolt"), (4, "none")], "item_id long, item_name string")
+    tracks = [(10, "t10", "['hot bolt']", 1.0, 0.1, 5.0), (11, "t11", "['HOT BOLT', 'ring']", 2.0, 0.2, 7.0), (12, "t12", "['ring']", 3.0, 0.3, 9.0), (13, "t13", "['hot bolt']", 4.0, 0.4, 5.0)]
+    tr = spark.createDataFrame(tracks, "track_id long, track_name string, artists string, tempo double, valence double, popularity double")
+    monkeypatch.setattr(qt.st, "items", lambda *_: items)
+    monkeypatch.setattr(qt.st, "playlist_tracks", lambda *_: tr)
+    asked = []
+    real = qt.contains_join
+    monkeypatch.setattr(qt, "contains_join", lambda names, *a: asked.append(names.count()) or real(names, *a))
+    best = qt.best_tracks_contains(spark, "")
+    assert sorted((r.item_id, r.item_name, r.track_id) for r in best.collect()) == [
+        (1, "hot bolt", 10), (1, "hot bolt", 11), (2, "Hot Bolt", 10), (2, "Hot Bolt", 11),
+        (3, "bolt", 11), (3, "bolt", 12), (3, "ring", 11), (3, "ring", 12)]
+    assert asked == [4]
