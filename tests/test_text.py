@@ -47,3 +47,15 @@ def test_lists_with_none_and_tuples(spark):
 
 def test_unicode_blanks_are_trimmed(spark):
     assert _one(spark, ["　Air ", "  x y \x1c"], tx.key_basic) == ["air", "x y"]
+
+
+def test_decompose_in_pieces(spark):
+    """A batch is decomposed in pieces: no worker holds it all as Python texts."""
+    import unicodedata
+
+    from cadenza.functions import text as tx
+    assert tx.decompose.evalType == tx.F.arrow_udf(lambda x: x, "string").evalType
+    texts = [None, "", "ﬁ Ångström", "áéí", "한글"] * 300
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, s string").coalesce(1)
+    got = {r.i: r.d for r in df.select("i", tx.decompose("s").alias("d")).collect()}
+    assert got == {i: unicodedata.normalize("NFKD", s or "") for i, s in enumerate(texts)}
