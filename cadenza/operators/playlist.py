@@ -34,10 +34,11 @@ def user_taste(user_items: DataFrame, item_audio: DataFrame) -> DataFrame:
 
 
 def dedupe_tracks(cands: DataFrame) -> DataFrame:
-    """One row per (user, track): best base_score, then popularity, then item id."""
+    """One row per (user, track): best base_score, then popularity, then item id. Rows are
+    dealt by user, so that what follows for each user (taste, playlists) needs no further move of them."""
     w = Window.partitionBy("user_id", "track_id").orderBy(
         F.col("base_score").desc(), F.col("popularity").desc(), F.col("item_id").asc())
-    return cands.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    return cands.repartition("user_id").withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
 def score_tracks(cands: DataFrame, taste: DataFrame) -> DataFrame:

@@ -72,3 +72,29 @@ def test_name_join_fanout_vs_dedup(spark):
     assert fan.count() == 2 and fan.agg(F.sum("plays")).first()[0] == 10.0
     ded = nj.matched(nj.name_join(nj.aggregate_log(log), cat, ["price"], "basic", False, "price")).collect()
     assert [(r.artist_id, r.plays) for r in ded] == [(2, 5.0)]
+
+
+@pytest.mark.parametrize("fanout", [True, False])
+def test_matched_unique_rows_do_not_move(spark, fanout):
+    from cadenza.operators import namejoin as nj
+    log = spark.createDataFrame([("u", "A b", 1.0), ("u", "A b", 2.0), ("u", "a B", 4.0), ("v", "zz", 1.0), ("v", "A b", None), (None, "A b", 1.0)], "username string, artist string, plays double")
+    cat = spark.createDataFrame([(1, "a b", 5.0), (2, "A B", 6.0), (2, "A B", 6.0), (3, "x", 1.0)], "artist_id long, artist_name string, price double")
+    joined = nj.name_join(nj.aggregate_log(log), cat, ["price"], "basic", fanout, "price")
+    plain, fast = nj.matched(joined), nj.matched(joined, unique=True)
+    assert fast.schema == plain.schema and sorted(map(str, fast.collect())) == sorted(map(str, plain.collect()))
+    count = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [")
+    assert count(fast) == count(plain) - 1
+    a, b = (sorted(map(str, nj.with_features(joined, ["price"], unique=x).collect())) for x in (False, True))
+    assert a == b
+
+
+def test_deduped_tracks_lie_by_user(spark):
+    from cadenza.operators import playlist as pl
+    rows = [(1, 5, 7, 0.5, 1.0, 100.0, 0.5), (1, 5, 8, 0.5, 2.0, 100.0, 0.5), (2, 5, 7, 0.1, 1.0, 90.0, 0.1), (2, 6, 7, 0.1, 1.0, 90.0, 0.1)]
+    cands = spark.createDataFrame(rows, "user_id long, track_id long, item_id long, base_score double, popularity double, tempo double, valence double")
+    taste = spark.createDataFrame([(1, 100.0, 0.5)], "user_id long, mean_tempo double, mean_valence double")
+    out = pl.dedupe_tracks(cands)
+    assert sorted((r.user_id, r.track_id, r.item_id) for r in out.collect()) == [(1, 5, 8), (2, 5, 7), (2, 6, 7)]
+    plan = pl.playlists(pl.score_tracks(out, taste.hint("merge")))._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(moved) == 2 and not any("track_id" in x.split("hashpartitioning(")[1].split(")")[0] for x in moved)
