@@ -83,3 +83,14 @@ def test_split_sizes_and_order(spark):
     want = [r.split for r in sorted(rows, key=lambda r: (r.h, r.user_id, r.item_id))]
     assert want == ["train"] * (n - round(n * 0.1) - round(n * 0.2)) + ["val"] * round(n * 0.1) + ["test"] * round(n * 0.2)
     assert it.split_exact(df.limit(0), 0.1, 0.2).count() == 0
+
+
+def test_pq_core_rounds_are_tables(spark, monkeypatch):
+    """A round is a table, not a checkpoint of rows; rows with null ids and repeated rows stay as the degrees say."""
+    cut = []
+    real = it.cut_table
+    monkeypatch.setattr(it, "cut_table", lambda df: cut.append(df) or real(df))
+    rows = [(1, 1), (1, 2), (2, 1), (2, 2), (2, 2), (3, 2), (3, 3), (None, 1), (None, 2), (4, None), (4, None)]
+    core = it.pq_core(spark.createDataFrame(rows, "user_id long, item_id long"), 2, 2)
+    assert len(cut) >= 3 and core.inputFiles()
+    assert sorted(map(tuple, core.collect())) == [(1, 1), (1, 2), (2, 1), (2, 2), (2, 2)]
