@@ -18,7 +18,8 @@ sets are one point. The join proceeds by regions around pivots:
    distances of about the radius, are cut into chunks of about CHUNK members by their ring, the distance to the first pivot in
    steps of RADIUS: linked documents are in the same ring or in neighbouring ones (triangle inequality). Pairs of chunks, unless
    both are in one component, are compared by sketches, an exact bound of 512 bytes a document; the few pairs left are compared on
-   their sets, and pairs of chunks with many left as matrices of shingles, giving a spanning forest of their links: no pairs are rows.
+   their sets. Pairs of chunks with more pairs left than members are compared on a spanning forest of these first, which joins most of a family,
+   and then again between what is still apart; those with many left as matrices of shingles, giving a spanning forest of their links: no pairs are rows.
 
 Distances are computed on whole sets of 64-bit shingle hashes. Components come from rounds of star contraction
 (``common.components``), nothing but counts reaches the driver, and every round is checkpointed.
@@ -225,8 +226,8 @@ def _choose(members: DataFrame, turn: int) -> DataFrame:
     return g.select("region", F.explode(F.array_distinct(F.when(F.col("hub").isNull(), F.col("c")).otherwise(F.concat(F.array("hub"), "c")))).alias("pivot"))
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of links between numbered nodes."""
+def _spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the links between numbered nodes make a spanning forest."""
     parent: dict[int, int] = {}
 
     def root(x):
@@ -236,12 +237,18 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
         return x
 
     out = []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
         rx, ry = root(x), root(y)
         if rx != ry:
             parent[rx] = ry
-            out.append((x, y))
-    return out
+            out.append(k)
+    return np.array(out, np.int64)
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of links between numbered nodes."""
+    tree = _spanning(a, b)
+    return list(zip(a[tree].tolist(), b[tree].tolist(), strict=True))
 
 
 def _incidence(sets: list[np.ndarray], tokens: np.ndarray) -> np.ndarray:
@@ -307,20 +314,13 @@ def _with_members(pairs: DataFrame, packed: DataFrame) -> DataFrame:
     return pairs
 
 
-def _grid(members: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
-    """(a, b): links that connect what has links in regions that pivots can't split. ``members``: region, cid, n, label, ring, rows (of the region).
+def _chunks_of(pairs: DataFrame) -> DataFrame:
+    return reduce(DataFrame.union, [pairs.select("region", F.col(f"ring_{s}").alias("ring"), F.col(f"part_{s}").alias("part")) for s in "xy"]).distinct()
 
-    Pairs of chunks are first compared by sketches. The few pairs that these leave are compared on their sets; a pair of chunks with more
-    than DENSE left pairs a member is compared as a whole on its sets, and gives a spanning forest."""
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("rows") / CHUNK)).cast("long")
-    m = cut_table(members.withColumn("part", F.pmod(F.xxhash64("cid"), chunks)).select("cid", "n", "label", *PLACE))
-    packed = _packed(m, sketches)
-    heads = packed.select(*PLACE, "lo", "hi")
-    x, y = (heads.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("ring", "part", "lo", "hi")]) for s in "xy")
-    near = (F.col("ring_y") - F.col("ring_x")).between(0, 1)
-    order = (F.col("ring_x") < F.col("ring_y")) | (F.col("part_x") <= F.col("part_y"))
-    one = (F.col("lo_x") == F.col("hi_x")) & (F.col("lo_y") == F.col("hi_y")) & (F.col("lo_x") == F.col("lo_y"))
-    pairs = x.join(y, "region").filter(near & order & ~one)  # chunks, not members: their number goes down with the square of CHUNK
+
+def _left(pairs: DataFrame, packed: DataFrame, sets: DataFrame, most: int, forest: bool) -> tuple[DataFrame, DataFrame | None]:
+    """(a, b): links among the pairs that sketches leave between different labels, and the pairs of chunks with more than ``most`` such pairs a
+    member, if any: of these, only a spanning forest is compared, or nothing without ``forest``."""
     place = ["region", "ring_x", "part_x", "ring_y", "part_y"]
 
     def left(batches):
@@ -329,16 +329,45 @@ def _grid(members: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame
             for k, (mx, my) in enumerate(zip(b.column("m_x"), b.column("m_y"), strict=True)):
                 (cx, lx, nx, vx), (cy, ly, ny, vy) = (_members(v) for v in (mx, my))
                 i, j = np.nonzero(may_link(vx, nx, vy, ny) & (lx[:, None] != ly[None, :]))
-                if len(i) > DENSE * (len(cx) + len(cy)):
+                if len(i) > most * (len(cx) + len(cy)):
                     yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64())] * 2 + [pa.array([c[k]], pa.int64()) for c in at], ["a", "b", *place])
-                elif len(i):
+                    tree = _spanning(lx[i], ly[j]) if forest else np.empty(0, np.int64)
+                    i, j = i[tree], j[tree]
+                if len(i):
                     none = pa.nulls(len(i), pa.int64())
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cx[i], cy[j])), pa.array(np.maximum(cx[i], cy[j])), *[none] * 5], ["a", "b", *place])
 
     found = cut_table(_with_members(pairs, packed).select(*place, "m_x", "m_y").mapInArrow(left, ", ".join(f"{c} long" for c in ("a", "b", *place))))
     links = _linked(_compared(found.filter("a IS NOT NULL").select("a", "b").distinct(), sets))
-    dense = found.filter("a IS NULL").select(*place)
-    if dense.isEmpty():
+    many = found.filter("a IS NULL").select(*place)
+    return links, None if many.isEmpty() else many
+
+
+def _grid(members: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(a, b): links that connect what has links in regions that pivots can't split. ``members``: region, cid, n, label, ring, rows (of the region).
+
+    Pairs of chunks are first compared by sketches. Where these leave at most as many pairs as there are members, the pairs are compared on
+    their sets; where they leave more, a spanning forest of them is, and its links merge the labels. Then the latter pairs of chunks are compared
+    once more: what is left between different labels is compared on its sets, or, where that is more than DENSE pairs a member, the pair
+    of chunks is compared as a whole on its sets and gives a spanning forest."""
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("rows") / CHUNK)).cast("long")
+    m = cut_table(members.withColumn("part", F.pmod(F.xxhash64("cid"), chunks)).select("cid", "n", "label", *PLACE))
+    packed = _packed(m, sketches)
+    heads = packed.select(*PLACE, "lo", "hi")
+    x, y = (heads.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("ring", "part", "lo", "hi")]) for s in "xy")
+    near = (F.col("ring_y") - F.col("ring_x")).between(0, 1)
+    order = (F.col("ring_x") < F.col("ring_y")) | (F.col("part_x") <= F.col("part_y"))
+    one = (F.col("lo_x") == F.col("hi_x")) & (F.col("lo_y") == F.col("hi_y")) & (F.col("lo_x") == F.col("lo_y"))
+    pairs = x.join(y, "region").filter(near & order & ~one)  # chunks, not members: their number goes down with the square of CHUNK
+    links, again = _left(pairs, packed, sets, 1, forest=True)
+    if again is None:
+        return links
+    m = _relabelled(m.drop("label"), _merged(m.select(F.col("cid").alias("node"), "label").distinct(), links)) if not links.isEmpty() else m
+    m = cut_table(m.join(_chunks_of(again), list(PLACE), "left_semi"))
+    packed = _packed(m, sketches)
+    more, dense = _left(again, packed, sets, DENSE, forest=False)
+    links = links.unionByName(more)
+    if dense is None:
         return links
 
     def run(batches):
@@ -350,8 +379,7 @@ def _grid(members: DataFrame, sets: DataFrame, sketches: DataFrame) -> DataFrame
                 if edges:
                     yield pa.RecordBatch.from_arrays([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], ["a", "b"])
 
-    used = reduce(DataFrame.union, [dense.select("region", F.col(f"ring_{s}").alias("ring"), F.col(f"part_{s}").alias("part")) for s in "xy"]).distinct()
-    whole = _packed(m.join(used, list(PLACE), "left_semi"), sets.select("cid", "s"))
+    whole = _packed(m.join(_chunks_of(dense), list(PLACE), "left_semi"), sets.select("cid", "s"))
     return links.unionByName(cut_table(_with_members(dense, whole).select("m_x", "m_y").mapInArrow(run, "a long, b long")))
 
 

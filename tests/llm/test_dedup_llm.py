@@ -198,6 +198,21 @@ def test_signatures_agree_inside_repeats(invented):
         assert len(windows.signatures(h)[0]) >= windows.HASHES // 2 and v.shape[0] == windows.HASHES
 
 
+def test_chunks_compare_a_forest_first(spark, invented, monkeypatch):
+    """A family whose members all link is joined by about as many comparisons as it has members, not by all of its pairs."""
+    texts = [invented(700, 200) for _ in range(16)]
+    for k, t in enumerate(texts):
+        t[5 * k] = f"edit{k}"
+    rows = [(k, len(s), s.tobytes()) for k, s in enumerate(jaccard.shingle_set(" ".join(t)) for t in texts)]
+    sets = spark.createDataFrame(rows, "cid long, n long, s binary").cache()
+    members = sets.selectExpr("7L AS region", "cid", "n", "cid AS label", "0L AS ring", "16L AS rows")
+    compared, real = [], jaccard._compared
+    monkeypatch.setattr(jaccard, "_compared", lambda pairs, sets: (compared.append(pairs.count()), real(pairs, sets))[1])
+    links = jaccard._grid(members, sets, jaccard._sketches(sets)).collect()
+    assert {r["label"] for r in common.components(spark.createDataFrame(links)).collect()} == {0}
+    assert 15 <= sum(compared) <= 2 * 16
+
+
 def edited_families(invented):
     """Families of three texts: t is near base and u is near t, but u is not near base."""
     out = []
