@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cadenza.llm.common import drop_rows, join_counted, maybe_broadcast, same, small
+from cadenza.llm.common import cut_table, drop_rows, join_counted, same, small
 from cadenza.session import cut_lineage
 
 LENGTH = 200
@@ -212,9 +212,10 @@ def _all_runs(texts: DataFrame, id_type: str) -> DataFrame:
 
 def _fetch(texts: DataFrame, wanted: DataFrame, id_type: str) -> DataFrame:
     """(h, k, id, th, lo, f): the bytes of the wanted runs."""
-    lists = cut_lineage(wanted.groupBy("id", "th").agg(F.collect_list(F.struct("h", "k", "lo", "hi")).alias("x")))
-    ids = lists.select(F.col("id").alias("id_"), F.col("th").alias("th_"))
-    some = texts.join(maybe_broadcast(ids), texts["id"].eqNullSafe(F.col("id_")) & (texts["th"] == F.col("th_")), "left_semi")
+    lists = cut_table(wanted.groupBy("id", "th").agg(F.collect_list(F.struct("h", "k", "lo", "hi")).alias("x")))
+    ids, some = lists.select(F.col("id").alias("id_"), F.col("th").alias("th_")), texts
+    if small(ids):  # else the texts move once, in the join with the lists
+        some = texts.join(F.broadcast(ids), texts["id"].eqNullSafe(F.col("id_")) & (texts["th"] == F.col("th_")), "left_semi")
     j = some.join(lists, same(some, lists, "id", "th")).select(some["id"], some["th"], "t", "x")
 
     def run(batches):
@@ -276,12 +277,37 @@ def _by_windows(fragments: DataFrame, id_type: str) -> DataFrame:
     return join_counted(rows, cut_lineage(again), ["w1", "w2"], "n").select("id", "th", "lo", F.col("lo").alias("hi"))
 
 
+def merged(lo: np.ndarray, hi: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Intervals of starts, ascending, whose windows cover the same bytes; where windows meet, intervals become one."""
+    if not len(lo):
+        return lo, hi
+    reach = np.maximum.accumulate(hi)
+    new = np.append(True, lo[1:] > reach[:-1] + length)
+    return lo[new], reach[np.append(new[1:], True)]
+
+
+def _merged(lists: DataFrame, id_type: str) -> DataFrame:
+    """(id, th, x): sorted lists of intervals, merged."""
+    def run(batches):
+        for b in batches:
+            x = b.column("x")
+            at, v = x.offsets.to_numpy(), x.flatten()
+            low, high = (v.field(c).to_numpy(zero_copy_only=False) for c in ("lo", "hi"))
+            at = at - at[0]
+            parts = [merged(low[p:q], high[p:q]) for p, q in zip(at[:-1], at[1:], strict=True)]
+            ends = np.cumsum([0, *[len(p[0]) for p in parts]]).astype(np.int32)
+            cells = pa.StructArray.from_arrays([pa.array(np.concatenate([p[k] for p in parts]) if parts else np.empty(0, np.int64), pa.int64()) for k in (0, 1)], ["lo", "hi"])
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("th"), pa.ListArray.from_arrays(pa.array(ends), cells)], ["id", "th", "x"])
+
+    return lists.select("id", "th", "x").mapInArrow(run, f"id {id_type}, th long, x array<struct<lo: long, hi: long>>")
+
+
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(copies, intervals): the documents (id, th) whose text another row has too, and for the others the intervals
     (id, th, lo, hi) of starts of windows that start elsewhere, too."""
     id_type = docs.schema[id_col].dataType.simpleString()
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    rows = cut_lineage(d.select(F.monotonically_increasing_id().alias("tag"), "id", "th", F.sha2("text", 256).alias("sha")))
+    rows = cut_table(d.select(F.monotonically_increasing_id().alias("tag"), "id", "th", F.sha2("text", 256).alias("sha")))
     texts = rows.groupBy("sha").agg(F.count(F.lit(1)).alias("n"), F.min("tag").alias("first")).filter("n > 1")
     copied = cut_lineage(join_counted(rows, cut_lineage(texts), ["sha"], "n"))
     one = drop_rows(d, copied.select("id", "th", (F.col("tag") == F.col("first")).alias("kept")), F.col("th"), "id", "th")
@@ -290,22 +316,25 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     group, equal = Window.partitionBy("h"), Window.partitionBy("h", "fh")
     every = every.withColumns({"c": F.count(F.lit(1)).over(equal), "nth": F.row_number().over(equal.orderBy(F.col("id").isNull(), "id", "th", "lo"))})
     every = every.withColumns({"total": F.count(F.lit(1)).over(group), "k": F.sum((F.col("nth") == 1).cast("long")).over(group)})
-    every = cut_lineage(every.filter("total > 1").drop("total"))
+    every = cut_table(every.filter("total > 1").drop("total"))
     kinds = every.filter("nth = 1")
     equal = every.filter("c > 1").select("id", "th", "lo", "hi")
-    fragments = cut_lineage(_fetch(one, kinds.filter("k > 1"), id_type))
-    found = equal.unionByName(_by_suffix_arrays(fragments.filter(F.col("k") <= GROUP_RUNS), id_type))
-    return copied.select("id", "th"), found.unionByName(_by_windows(fragments.filter(F.col("k") > GROUP_RUNS), id_type))
+    # fragments go straight to the suffix arrays' shuffle; only those of too large groups are stored
+    found = equal.unionByName(_by_suffix_arrays(_fetch(one, kinds.filter((F.col("k") > 1) & (F.col("k") <= GROUP_RUNS)), id_type), id_type))
+    large = kinds.filter((F.col("k") > 1) & (F.col("k") > GROUP_RUNS))
+    if not large.isEmpty():
+        found = found.unionByName(_by_windows(cut_table(_fetch(one, large, id_type)), id_type))
+    return copied.select("id", "th"), found
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans (maximal removed runs), spans (their starts and ends in bytes), kept (the remaining bytes)."""
     copied, found = repeated(docs, id_col, text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
-    lists = found.groupBy("id", "th").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("x"))
+    lists = _merged(found.groupBy("id", "th").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("x")), id_type)
     copies = copied.distinct().withColumn("x", F.expr("array(named_struct('lo', cast(0 as bigint), 'hi', cast(-1 as bigint)))"))
     lists = lists.join(copied, same(lists, copied, "id", "th"), "left_anti").unionByName(copies)
-    lists = cut_lineage(lists.withColumnsRenamed({"id": "id_", "th": "th_"}))
+    lists = cut_table(lists.withColumnsRenamed({"id": "id_", "th": "th_"}))
     few = small(lists) and (lists.agg(F.sum(F.size("x"))).first()[0] or 0) <= 1_000_000
     d = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     d = d.select("id", F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("t"))

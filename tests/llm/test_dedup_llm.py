@@ -68,6 +68,19 @@ def test_suffix_removal(docs, rows, monkeypatch, runs):
     assert got == want
 
 
+def test_suffix_fragments_are_not_stored(docs, monkeypatch):
+    """The bytes of runs go to the suffix arrays' shuffle alone; lists are merged before they meet the texts."""
+    stored = []
+    for name in ("cut_table", "cut_lineage"):
+        real = getattr(suffix, name, None)
+        monkeypatch.setattr(suffix, name, lambda df, real=real: (stored.append(df.columns), real(df))[1], raising=False)
+    assert suffix.remove(docs).count() == docs.count() and stored
+    assert not any("f" in c for c in stored)
+    lo, hi = suffix.merged(np.array([0, 5, 300, 700]), np.array([9, 100, 320, 800]))
+    assert (lo.tolist(), hi.tolist()) == ([0, 700], [320, 800])
+    assert [x.tolist() for x in suffix.merged(np.array([0, 5, 9]), np.array([50, 6, 10]))] == [[0], [50]]
+
+
 def test_suffix_order_and_matches():
     rng = random.Random(3)
     for alphabet in (b"a", b"ab", bytes(range(256))):
