@@ -33,12 +33,13 @@ def user_taste(user_items: DataFrame, item_audio: DataFrame) -> DataFrame:
     return j.groupBy("user_id").agg(F.avg("tempo").alias("mean_tempo"), F.avg("valence").alias("mean_valence"))
 
 
-def dedupe_tracks(cands: DataFrame) -> DataFrame:
+def dedupe_tracks(cands: DataFrame, placed: bool = False) -> DataFrame:
     """One row per (user, track): best base_score, then popularity, then item id. Rows are
-    dealt by user, so that what follows for each user (taste, playlists) needs no further move of them."""
+    dealt by user, so that what follows for each user (taste, playlists) needs no further move of them; ``placed``: they are already."""
     w = Window.partitionBy("user_id", "track_id").orderBy(
         F.col("base_score").desc(), F.col("popularity").desc(), F.col("item_id").asc())
-    return cands.repartition("user_id").withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    rows = cands if placed else cands.repartition("user_id")
+    return rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
 
 
 def score_tracks(cands: DataFrame, taste: DataFrame) -> DataFrame:

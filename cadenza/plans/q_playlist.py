@@ -37,11 +37,11 @@ def _taste(spark, d):
     audio = ar.audio_by_primary(tracks, "primary_artist", ["tempo", "valence"])
     items = st.items(spark, d).select("item_id", "item_name")
     item_audio = items.join(audio, items.item_name == audio.primary_artist).select("item_id", "tempo", "valence")
-    return pl.user_taste(st.interactions(spark, d, by_user=True), item_audio)
+    return pl.user_taste(st.interactions(spark, d, by="item_id"), item_audio)
 
 
 def _deduped(spark, d):
-    return pl.dedupe_tracks(qt.expand(spark, d, qt.best_tracks_exact(spark, d)))
+    return pl.dedupe_tracks(qt.expand_by_user(spark, d, qt.best_tracks_exact(spark, d)), placed=True)
 
 
 def _scored(spark, d):

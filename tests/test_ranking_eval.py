@@ -130,3 +130,39 @@ def test_label_join_keeps_candidates_in_place(spark):
         ("1", "2", 1), ("1", "None", 0), ("2", "2", 0), ("2", "2", 0), ("None", "2", 0)]
     by_user = rk.label_join(cands.repartition(4, "user_id"), truth)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(user_id" in by_user and "item_id" not in "".join(x for x in by_user.splitlines() if "hashpartitioning" in x and "item_id" in x.split("hashpartitioning")[1])
+
+
+def _orders(spark, path):
+    """Small orders, lines and parts: user 1 has most plays of a part that isn't there, an order has no user, a user has none of the lines."""
+    tables = {"orders": ("o_orderkey long, o_custkey long, o_totalprice double", [(1, 1, 50.0), (2, 1, 70.0), (3, 2, 70.0), (4, None, 90.0), (5, 3, 10.0)]),
+              "lineitem": ("l_orderkey long, l_partkey long, l_linenumber int, l_quantity double",
+                           [(1, 10, 1, 3.0), (1, 11, 2, 1.0), (2, 10, 1, 4.0), (2, 10, 2, 4.0), (2, 99, 3, 50.0), (3, 11, 1, 2.0), (3, 10, 2, 5.0), (4, 11, 1, 6.0), (4, None, 2, 1.0)]),
+              "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+                       [(10, "red", "b", "SMALL", 1, 2.0), (11, "blue", "b", "LARGE", 2, 3.0), (12, "green", "b", "SMALL", 3, 4.0)])}
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}.parquet")
+    return str(path)
+
+
+def test_expanded_by_user_equals_expand_and_moves_once(spark, tmp_path):
+    from cadenza.operators import playlist as pl
+    from cadenza.plans import q_text as qt
+    d = _orders(spark, tmp_path)
+    best = qt.best_tracks_exact(spark, d)
+    old, new = qt.expand(spark, d, best).drop("track_name"), qt.expand_by_user(spark, d, best)
+    cols = sorted(old.columns)
+    assert sorted(new.columns) == cols
+    want = sorted(map(tuple, old.select(cols).collect()))
+    assert want and sorted(map(tuple, new.select(cols).collect())) == want
+    plan = pl.dedupe_tracks(new, placed=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(user_id") == 1
+    rows = qt.recs(spark, d)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(user_id") == 1
+    # the largest number of plays is that of the part that isn't there
+    assert {(r.user_id, r.item_id): r.base_score for r in rows.collect()} == {(1, 10): 0.22, (1, 11): 0.02, (1, 99): 1.0, (2, 11): 0.4, (2, 10): 1.0}
+
+
+def test_track_items_meet_tracks_without_another_move(spark, tmp_path):
+    from cadenza.plans import q_text as qt
+    plan = qt.best_tracks_exact(spark, _orders(spark, tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(track_id") == 1
