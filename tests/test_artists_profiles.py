@@ -98,3 +98,28 @@ def test_deduped_tracks_lie_by_user(spark):
     plan = pl.playlists(pl.score_tracks(out, taste.hint("merge")))._jdf.queryExecution().executedPlan().toString()
     moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
     assert len(moved) == 2 and not any("track_id" in x.split("hashpartitioning(")[1].split(")")[0] for x in moved)
+
+
+def test_names_are_folded_and_genres_parsed_once(spark):
+    from cadenza.operators import profiles as pf
+    items = spark.createDataFrame([(5, "Björk"), (4, "bjork"), (7, "Abba"), (8, None), (9, " ")], "item_id long, item_name string")
+    named = spark.createDataFrame([("u", "BJÖRK", 2.0), ("u", "Bjork ", 1.0), ("v", "abba", 3.0), ("v", None, 4.0), (None, "abba", 1.0), ("v", "nobody", 5.0)],
+                                  "username string, artist string, plays double")
+    pairs = pf.named_pairs(named, items)
+    assert {(r.user_id, r.item_id, r.plays) for r in pairs.collect()} == {("u", 4, 3.0), ("v", 7, 3.0), (None, 7, 1.0)}
+    assert {(r.item_id, r.item_pop_users, r.item_pop_plays) for r in pf.popularity_by_name(named, items).collect()} == {(4, 1, 3.0), (7, 1, 4.0)}
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    # below each Python step is one text column: the catalog's names, or the log's different names
+    for k, line in enumerate(lines):
+        if "ArrowEvalPython" in line:
+            assert "username" not in "".join(lines[k:k + 3]) and "plays" not in "".join(lines[k:k + 3])
+    feats = spark.createDataFrame([(4, 1.0, 1.0, "['a', 'b']"), (7, 2.0, None, None)], "item_id long, size double, flag double, genre string")
+    got = pf.user_profiles(pairs, feats, ["size"], ["flag"], "genre")
+    assert {(r.user_id, r.user_genre_top1, r.user_genre_top2, r.user_genre_entropy, r.uf_size) for r in got.collect()} == {
+        ("u", "a", "b", 1.0, 1.0), ("v", None, None, 0.0, 2.0), (None, None, None, 0.0, 2.0)}
+    # the text is parsed below the join with the pairs, where an item is one row
+    lines = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = [k for k, line in enumerate(lines) if "from_json" in line]
+    joins = [k for k, line in enumerate(lines) if "Join LeftOuter" in line and "item_id" in line]
+    assert at and joins and all(k > min(joins) for k in at)
