@@ -140,3 +140,25 @@ def test_best_tracks_once_a_name(spark, monkeypatch):
         (1, "hot bolt", 10), (1, "hot bolt", 11), (2, "Hot Bolt", 10), (2, "Hot Bolt", 11),
         (3, "bolt", 11), (3, "bolt", 12), (3, "ring", 11), (3, "ring", 12)]
     assert asked == [4]
+
+
+def test_blocks_only_sort_scores_that_can_enter(monkeypatch):
+    """A block is searched whole for users whose list it may fill; later blocks only bring scores that reach the k-th."""
+    import numpy as np
+    import pyarrow as pa
+    from cadenza.operators import scoring as sc
+    rng = np.random.default_rng(3)
+    for v in (rng.normal(size=(640, 4)), rng.integers(0, 2, (640, 4)).astype(float)):  # the latter with many ties
+        ids = rng.permutation(640).astype(np.int64)
+        cell = sc.Cell([pa.RecordBatch.from_arrays([pa.array(ids[:50]), pa.array(v[:50].tolist()), pa.array([[int(i)] for i in ids[:50]])], ["id", "f", "seen"])],
+                       20, False, 0.0, 0.0, 32)
+        searched, whole = [], sc._top_cols
+        monkeypatch.setattr(sc, "_top_cols", lambda s, iid, kk: (searched.append(len(s)), whole(s, iid, kk))[1])
+        for a in range(0, 640, 64):
+            cell.take(np.arange(50), ids[a:a + 64], v[a:a + 64], np.zeros(64))
+        monkeypatch.setattr(sc, "_top_cols", whole)
+        assert 50 <= sum(searched) < 10 * 50 * 0.8
+        scores = v[:50] @ v.T
+        scores[np.arange(50), np.arange(50)] = -np.inf
+        want = [ids[np.lexsort((ids, -s))[:20]].tolist() for s in scores]
+        assert cell.item.tolist() == want
