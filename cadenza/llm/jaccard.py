@@ -40,7 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cadenza.llm.common import components, cut_sized, cut_table, drop_rows, join_counted, maybe_broadcast
+from cadenza.llm.common import components, cut_sized, cut_table, drop_rows, join_counted, maybe_broadcast, swept
 from cadenza.session import cut_lineage
 
 SHINGLE = 5
@@ -85,21 +85,6 @@ def _window(n: int, slack: int) -> int:
     return n - -(-PERCENT * n // 100) + slack
 
 
-def _points(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(tag, id, th, n, key, sid): size and digest of each document's set; sid is a short form of the digest."""
-    def run(batches):
-        for b in batches:
-            sets = [shingle_set(t.as_py()) for t in b.column("text")]
-            keys = [_digest(s) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("th"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(np.frombuffer(b"".join(k[:8] for k in keys), np.int64))], ["id", "th", "n", "key", "sid"])
-
-    d = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    id_type = docs.schema[id_col].dataType.simpleString()
-    return d.mapInArrow(run, f"id {id_type}, th long, n long, key binary, sid long").withColumn("tag", F.monotonically_increasing_id())
-
-
 def _long_rows(make, names):
     """Record batches of about _ROWS rows from arrays that ``make`` yields."""
     def run(batches):
@@ -116,23 +101,41 @@ def _long_rows(make, names):
     return run
 
 
-def _thinned(docs: DataFrame, text_col: str) -> DataFrame:
-    """(sid) of the sets that share enough of their windows with other sets to have a link."""
-    def make(b, seen):
-        for t in b.column(0):
-            s = shingle_set(t.as_py())
-            sid = _digest(s)[:8]
-            if len(s) and sid not in seen:  # a task ships equal sets once
-                seen.add(sid)
-                w = s[:_window(len(s), max(1, len(s) // SLACK))].view(np.int64)
-                yield w, np.full(len(w), np.frombuffer(sid, np.int64)[0]), np.full(len(w), len(s), np.int32)
-
-    rows = docs.select(text_col).mapInArrow(_long_rows(make, ["token", "sid", "n"]), "token long, sid long, n int")
-    rows = rows.repartition("token").dropDuplicates(["token", "sid"])
-    rows = rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("c > 1")
-    common = rows.groupBy("sid").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n"))
+def _thinned(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Points (tag, id, th, n, key, sid): size and digest of each document's set; sid is a short form of the digest. And (sid) of the sets that
+    share enough of their windows with other sets to have a link. Texts are read once: a document's point goes with its set's window, under a token of its own."""
+    def run(batches):
+        seen = set()
+        for b in batches:
+            sets = [shingle_set(t.as_py()) for t in b.column("text")]
+            keys = [_digest(s) for s in sets]
+            sids, sizes = np.frombuffer(b"".join(k[:8] for k in keys), np.int64), np.array([len(s) for s in sets], np.int64)
+            tags = b.column("tag")
+            p = pa.StructArray.from_arrays([tags, b.column("id"), b.column("th"), pa.array(keys, pa.binary())], ["tag", "id", "th", "key"])
+            own = _mix(tags.to_numpy().astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(sids), pa.array(sizes), p], ["token", "sid", "n", "p"])
+            parts, rows = [], 0
+            for k, s in enumerate(sets):
+                if len(s) and sids[k] not in seen:  # a task ships equal sets once
+                    seen.add(sids[k])
+                    w = s[:_window(len(s), max(1, len(s) // SLACK))].view(np.int64)
+                    parts.append((w, np.full(len(w), sids[k]), np.full(len(w), len(s))))
+                    rows += len(w)
+                if parts and (rows >= _ROWS or k == len(sets) - 1):
+                    yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)), pa.nulls(rows, p.type)], ["token", "sid", "n", "p"])
+                    parts, rows = [], 0
+
+    d = docs.select(F.monotonically_increasing_id().alias("tag"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    id_type = docs.schema[id_col].dataType.simpleString()
+    rows = d.mapInArrow(run, f"token long, sid long, n long, p struct<tag:long,id:{id_type},th:long,key:binary>")
+    w = Window.partitionBy("token")
+    rows = rows.repartition("token").withColumn("lo", F.min("sid").over(w)).withColumn("hi", F.max("sid").over(w)).filter("lo <> hi OR p IS NOT NULL")
+    # tags tell the points apart; a window that several tasks shipped counts once
+    rows = rows.groupBy("token", "sid", "p").agg(F.first("n").alias("n"))
+    rows = cut_table(rows.groupBy("sid", "p").agg(F.count(F.lit(1)).alias("c"), F.max("n").alias("n")))
+    points = rows.filter("p IS NOT NULL").select("p.tag", "p.id", "p.th", "n", "p.key", "sid")
     partner = F.ceil(F.col("n") * PERCENT / 100)  # the smallest size that a linked set can have
-    return cut_lineage(common.filter(F.col("c") >= F.greatest(F.lit(1), F.floor(partner / SLACK))).select("sid"))
+    return points, rows.filter(F.col("p").isNull() & (F.col("c") >= F.greatest(F.lit(1), F.floor(partner / SLACK)))).select("sid")
 
 
 def _sets(docs: DataFrame, points: DataFrame, thin: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -456,17 +459,18 @@ def labelled(sets: DataFrame) -> DataFrame:
 def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, th (hash of the text), n_shingles, component_id (smallest id reachable by links), kept
     (whether the document is the one of its component that stays: the smallest id, first of repeated rows)."""
-    points = cut_lineage(_points(docs, id_col, text_col))
-    sets = _sets(docs, points, _thinned(docs, text_col), id_col, text_col)
-    labels = labelled(sets)
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("tag").alias("tag"))).alias("first")
-    classes = cut_lineage(points.filter("n > 0").groupBy("key").agg(first, F.count(F.lit(1)).alias("rows")))
-    of = labels.join(sets.select(F.col("cid").alias("node"), "key"), "node").select("key", "label")
-    of = cut_lineage(of.join(classes, "key"))  # every set with links, with its class
-    least = of.groupBy("label").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("sets"))
-    of = cut_lineage(join_counted(of.select("key", "label"), cut_lineage(least), ["label"], "sets").select("key", "least"))
-    classes = classes.join(of, "key", "left").select("key", "rows", F.coalesce("least", "first").alias("first"))
-    full = join_counted(points.filter("n > 0"), cut_lineage(classes), ["key"], "rows")
+    with swept(docs.sparkSession):
+        points, thin = _thinned(docs, id_col, text_col)
+        sets = _sets(docs, points, thin, id_col, text_col)
+        labels = labelled(sets)
+        first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("tag").alias("tag"))).alias("first")
+        classes = cut_lineage(points.filter("n > 0").groupBy("key").agg(first, F.count(F.lit(1)).alias("rows")))
+        of = labels.join(sets.select(F.col("cid").alias("node"), "key"), "node").select("key", "label")
+        of = cut_lineage(of.join(classes, "key"))  # every set with links, with its class
+        least = of.groupBy("label").agg(F.min("first").alias("least"), F.count(F.lit(1)).alias("sets"))
+        of = cut_lineage(join_counted(of.select("key", "label"), cut_lineage(least), ["label"], "sets").select("key", "least"))
+        classes = classes.join(of, "key", "left").select("key", "rows", F.coalesce("least", "first").alias("first"))
+        full = join_counted(points.filter("n > 0"), cut_lineage(classes), ["key"], "rows")
     full = full.select("id", "th", "n", F.col("first.id").alias("component_id"), (F.col("first.tag") == F.col("tag")).alias("kept"))
     empty = points.filter("n = 0").select("id", "th", "n", F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     return full.unionByName(empty).withColumnRenamed("n", "n_shingles")

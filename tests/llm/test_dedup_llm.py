@@ -137,6 +137,22 @@ def test_jaccard_components(spark, docs, rows, invented):
     assert kept.columns == docs.columns and kept.count() == groups
 
 
+def test_jaccard_thinning_makes_the_points(spark, invented, monkeypatch):
+    """One pass over the texts gives each row's point, repeated rows too, and the sets that may link; rounds delete their shuffles' files."""
+    rows = [(1, " ".join(invented(80, 60))), (1, " ".join(invented(80, 60))), (2, " ".join(invented(80, 60)) + " end"), (3, " ".join(invented(81, 60))), (4, None), (None, "a b")]
+    points, thin = jaccard._thinned(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
+    got = points.collect()
+    assert sorted((r["id"] or 0, r["n"]) for r in got) == [(0, 1), (1, 56), (1, 56), (2, 57), (3, 56), (4, 0)] and len({r["tag"] for r in got}) == 6
+    assert all(r["key"] == jaccard._digest(jaccard.shingle_set(dict(rows)[r["id"]])) for r in got)
+    assert {r["sid"] for r in thin.collect()} == {r["sid"] for r in got if r["id"] in (1, 2)}
+
+    clean, real, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", jaccard.labelled, []
+    was = spark.conf.get(clean, None)
+    monkeypatch.setattr(jaccard, "labelled", lambda sets: (seen.append(spark.conf.get(clean)), real(sets))[1])
+    jaccard.components_of(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert seen == ["true"] and spark.conf.get(clean, None) == was
+
+
 @pytest.mark.parametrize("small,pivots,chunk,dense", [(2, 2, 8, 8), (1, 1, 5, 0)])
 def test_jaccard_recursion(spark, invented, monkeypatch, small, pivots, chunk, dense):
     """Pivots, cells and chunks of any size find the same components: a family around a hub that only links with the hub, one at distances
