@@ -305,3 +305,38 @@ def test_every_place_of_a_signature_counts(spark, invented):
     for r in windows.near_passages(docs).collect():
         spans[r["id"]].add((r["start_word"], r["end_word"]))
     assert {(0, 60), (140, 200)} <= spans[1] and (30, 90) in spans[2] and (0, 60) in spans[3]
+
+
+def test_a_line_of_many_texts_makes_no_pairs(spark, monkeypatch, invented):
+    """Texts of a crowded signature meet only where they have a run of shingles in common; none of their passages is lost."""
+    met, real = set(), windows._verified
+    monkeypatch.setattr(windows, "_verified", lambda pairs, texts: (met.update((r["a"], r["b"]) for r in pairs.collect()), real(pairs, texts))[1])
+    n = windows.CROWD + 20
+    ids = [int(x) for x in np.random.RandomState(9).randint(-2**63, 2**63 - 1, size=n)]
+    line, shared, other = invented(700, 13), invented(701, 60), invented(702, 55)
+    more = {2: shared, 40: shared, 60: shared, 41: other, 70: other}
+    rows = [(x, " ".join(invented(800 + i, 30) + line + invented(950 + i, 30) + more.get(i, []))) for i, x in enumerate(ids)]
+    spread = spark.createDataFrame([(1, x, 10) for x in ids], "key long, th long, lo int")
+    got = windows._search(spread, spark.createDataFrame(rows, "th long, text string")).collect()
+    want = {(max(a, b), min(a, b)) for a, b in ((ids[2], ids[40]), (ids[2], ids[60]), (ids[40], ids[60]), (ids[41], ids[70]))}
+    assert {(r["a"], r["b"]) for r in got} == want and met == want
+
+
+def test_prints_of_a_common_run():
+    rng = np.random.RandomState(4)
+    for k in range(50):
+        run = rng.randint(0, 2**62, size=windows.RUN).astype(np.uint64)
+        a, b = (np.concatenate([rng.randint(0, 2**62, size=k).astype(np.uint64), run, rng.randint(0, 2**62, size=30).astype(np.uint64)]) for _ in range(2))
+        assert set(windows.prints(a)) & set(windows.prints(b))
+        assert not set(windows.prints(a)) & set(windows.prints(np.concatenate([run[:windows.PRINT - 1], b[-30:][::-1]])))
+    assert not len(windows.prints(run[1:]))
+
+
+def test_a_line_repeated_in_two_texts_is_verified_in_few_steps(monkeypatch, invented):
+    """Runs with the same surroundings are looked at once, not once for each pair of places."""
+    calls, real = [], windows._Places.passage
+    monkeypatch.setattr(windows._Places, "passage", lambda *a: (calls.append(1), real(*a))[1])
+    line = invented(710, 28)
+    a, b = windows.shingles(" ".join(line * 60)), windows.shingles(" ".join([*line[:27], "edited"] * 60))
+    assert windows.passages(a, b) == [(0, 51, 0, 23, 23 / 28), (0, 1675, 1652, 1675, 23 / 28)]
+    assert 0 < len(calls) < 2000  # there are 3,540 such runs or so
