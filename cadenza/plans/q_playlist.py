@@ -36,7 +36,7 @@ def _taste(spark, d):
     tracks = st.playlist_tracks(spark, d).withColumn("primary_artist", tx.primary_item("artists"))
     audio = ar.audio_by_primary(tracks, "primary_artist", ["tempo", "valence"])
     items = st.items(spark, d).select("item_id", "item_name")
-    item_audio = items.join(audio, items.item_name == audio.primary_artist).select("item_id", "tempo", "valence")
+    item_audio = items.hint("merge").join(audio, items.item_name == audio.primary_artist)  # a name is a wide key to broadcast.select("item_id", "tempo", "valence")
     return pl.user_taste(st.interactions(spark, d, by="item_id"), item_audio)
 
 

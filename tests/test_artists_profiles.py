@@ -123,3 +123,22 @@ def test_names_are_folded_and_genres_parsed_once(spark):
     at = [k for k, line in enumerate(lines) if "from_json" in line]
     joins = [k for k, line in enumerate(lines) if "Join LeftOuter" in line and "item_id" in line]
     assert at and joins and all(k > min(joins) for k in at)
+
+
+def test_parts_of_playlists_are_not_broadcast(spark, tmp_path):
+    """Names and keys of parts meet lines, tracks and tastes by shuffles, and not through the driver; the tracks are the same without their text."""
+    from cadenza.plans import q_playlist as qp
+    from cadenza.sources import standins as st
+    part = [(i, f"name {i % 3}", "b", "SMALL", 1, 2.0) for i in range(6)]
+    lines = [(o, (o * k) % 8, k, 1.0 + k) for o in range(10) for k in (1, 2, 3)] + [(None, 1, 1, 1.0), (3, None, 4, 1.0), (3, 1, None, 1.0)]
+    tables = {"part": (part, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+              "lineitem": (lines, "l_orderkey long, l_partkey long, l_linenumber long, l_quantity double"),
+              "orders": ([(o, o % 4, float(o)) for o in range(12)] + [(2, 1, 5.0), (None, 1, 1.0)], "o_orderkey long, o_custkey long, o_totalprice double")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    d = str(tmp_path)
+    plan = qp._scored(spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and any(c in x for c in ("partkey", "item_id", "item_name"))], plan
+    key = lambda r: (r["track_id"], r["popularity"])
+    bare = sorted(st.playlist_tracks(spark, d, artists=False).collect(), key=key)
+    assert bare == sorted(st.playlist_tracks(spark, d).drop("artists").collect(), key=key) and len(bare) == 11
